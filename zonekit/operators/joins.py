@@ -1,0 +1,37 @@
+"""Joins against lookup-sized tables with a checked broadcast."""
+
+from __future__ import annotations
+
+import logging
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+log = logging.getLogger(__name__)
+
+# Above this many rows a lookup is not broadcast by us; the join is then
+# planned by Spark (sort-merge, or a runtime broadcast chosen by AQE from
+# real shuffle sizes).
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows. Runs one small job
+    that stops reading each partition after ``max_rows + 1`` rows."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when its size is proven small, else ``df`` as is."""
+    if fits_broadcast(df, max_rows):
+        return F.broadcast(df)
+    log.warning("lookup exceeds %d rows; leaving the join strategy to Spark", max_rows)
+    return df
+
+
+def attach(df: DataFrame, lookup: DataFrame, on, how: str = "left",
+           max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Join ``lookup`` to ``df`` (keeps every left row for ``how='left'``).
+    ``max_broadcast_rows=None`` skips the size check (caller proves it)."""
+    right = lookup if max_broadcast_rows is None else bounded_broadcast(lookup, max_broadcast_rows)
+    return df.join(right, on=on, how=how)
