@@ -79,7 +79,7 @@ lst AS (
 
 INCOME_YEAR_SQL = """
 inc_year AS (
-  SELECT n.n_name AS neighborhood_name, n.n_nationkey, year(o.o_orderdate) AS year,
+  SELECT n.n_name AS neighborhood_name, n.n_nationkey, CAST(year(o.o_orderdate) AS INTEGER) AS year,
          CAST(count(*) AS INTEGER) AS pop, avg(o.o_totalprice) AS RFD
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN nation n ON c.c_nationkey = n.n_nationkey
@@ -87,7 +87,7 @@ inc_year AS (
 
 DENSITY_YEAR_SQL = """
 den_year AS (
-  SELECT n.n_name AS neighborhood_name, year(l.l_shipdate) AS year,
+  SELECT n.n_name AS neighborhood_name, CAST(year(l.l_shipdate) AS INTEGER) AS year,
          CAST(count(*) AS DOUBLE) AS population, avg(l.l_quantity) AS density,
          avg(l.l_quantity * (1 - l.l_discount)) AS net_density
   FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
