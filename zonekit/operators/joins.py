@@ -7,6 +7,8 @@ import logging
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zonekit.session import ensure_checkpoint_dir
+
 log = logging.getLogger(__name__)
 
 # Above this many rows a lookup is not broadcast by us; the join is then
@@ -21,8 +23,18 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) ->
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its size is proven small, else ``df`` as is."""
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                      materialize: bool = False) -> DataFrame:
+    """``broadcast(df)`` when its size is proven small, else ``df`` as is.
+
+    ``materialize`` first writes ``df`` to the shared checkpoint folder
+    (reliable checkpoint): use it when ``df`` is an aggregate over big
+    tables, so that the size check and the join read the small result
+    instead of computing it twice.
+    """
+    if materialize:
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     if fits_broadcast(df, max_rows):
         return F.broadcast(df)
     log.warning("lookup exceeds %d rows; leaving the join strategy to Spark", max_rows)
@@ -30,8 +42,10 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS)
 
 
 def attach(df: DataFrame, lookup: DataFrame, on, how: str = "left",
-           max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+           max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+           materialize: bool = False) -> DataFrame:
     """Join ``lookup`` to ``df`` (keeps every left row for ``how='left'``).
     ``max_broadcast_rows=None`` skips the size check (caller proves it)."""
-    right = lookup if max_broadcast_rows is None else bounded_broadcast(lookup, max_broadcast_rows)
+    right = lookup if max_broadcast_rows is None else bounded_broadcast(
+        lookup, max_broadcast_rows, materialize)
     return df.join(right, on=on, how=how)

@@ -45,7 +45,8 @@ def alias_table(lookups: Sequence[tuple[DataFrame, Sequence[str]]], id_col: str
 
 def reconcile(df: DataFrame, name_col: str, aliases: DataFrame, out_name: str,
               out_id: str | None = None, mode: str = "canon",
-              max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+              max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+              materialize: bool = True) -> DataFrame:
     """Add ``out_name`` (reconciled name) and optionally ``out_id`` to every
     row of ``df``, matching ``name_col`` against ``aliases``.
 
@@ -53,6 +54,10 @@ def reconcile(df: DataFrame, name_col: str, aliases: DataFrame, out_name: str,
     table. ``mode='basic'``: the reference behaviour - ``aliases`` must
     then hold ``(alias, id, reconciled)`` keyed by the lookup's
     pre-normalised name and the match uses ``basic_norm`` on both sides.
+
+    The alias side is materialised once in the shared checkpoint folder
+    (``materialize``), its row count checked, and broadcast; the big side
+    is never shuffled for this join.
     """
     key = "_rk"
     if mode == "canon":
@@ -67,6 +72,6 @@ def reconcile(df: DataFrame, name_col: str, aliases: DataFrame, out_name: str,
     else:
         raise ValueError("mode must be 'canon' or 'basic'")
     right = right.withColumnsRenamed({"reconciled": out_name, "id": out_id or "_rid"})
-    right = bounded_broadcast(right, max_broadcast_rows)
+    right = bounded_broadcast(right, max_broadcast_rows, materialize)
     out = df.withColumn(key, left_key).join(right, key, "left").drop(key)
     return out if out_id else out.drop("_rid")

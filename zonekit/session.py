@@ -2,8 +2,8 @@
 
 The settings below are the ones that matter on a large cluster: adaptive
 query execution (runtime coalescing of small shuffle partitions, skew-join
-splitting, runtime broadcast of sides that turn out small) and a broadcast
-threshold that keeps automatic broadcasts size-checked.
+splitting of a hot key's partition, runtime broadcast of sides whose
+measured size is small) and no broadcast decided from static estimates.
 """
 
 from __future__ import annotations
@@ -18,7 +18,11 @@ SCALE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
-    "spark.sql.autoBroadcastJoinThreshold": "32m",
+    # No broadcast from static size estimates; AQE broadcasts a side whose
+    # measured (runtime) size is small, and explicit hints are used only
+    # for sides whose row count is proven (see operators.joins).
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
