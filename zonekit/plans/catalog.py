@@ -636,6 +636,32 @@ def q_gbt_metrics(spark: SparkSession, d: str) -> DataFrame:
     return rounded(regression_metrics(score(model, te)), 6)
 
 
+def q_kpi_stream(spark: SparkSession, d: str) -> DataFrame:
+    """E2/C7 incremental: the lineitem file read as a file stream, joined
+    with the static place dimension, aggregated with streaming state and
+    written per micro-batch; returns the current rent KPIs."""
+    import uuid
+
+    from zonekit.session import scratch_path
+    from zonekit.streaming.kpi_stream import current_rent_kpis, start_rent_kpi_stream
+
+    schema = star.table(spark, d, "lineitem").schema
+    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet")
+              .option("maxFilesPerTrigger", 1).parquet(d))
+    root = scratch_path(spark, "streams", f"kpi-{uuid.uuid4().hex}")
+    q = start_rent_kpi_stream(star.listings(spark, d, lineitem=stream), f"{root}/out", f"{root}/checkpoint")
+    q.awaitTermination()
+    return rounded(current_rent_kpis(spark, f"{root}/out"))
+
+
+SQL_KPI_STREAM = f"""
+WITH {LISTINGS_SQL.strip()}
+SELECT n_name AS neighborhood_name, round(avg(price), 4) AS avg_rent, round(avg(latitude), 4) AS avg_latitude,
+       round(avg(longitude), 4) AS avg_longitude, round(avg(priceByArea), 4) AS avg_price_by_area
+FROM lst GROUP BY n_name
+"""
+
+
 def queries() -> dict:
     return {
         "kpi_table": q_kpi_table,
@@ -657,6 +683,7 @@ def queries() -> dict:
         "upsert_orders": q_upsert_orders,
         "hash_split_counts": q_hash_split_counts,
         "gbt_metrics": q_gbt_metrics,
+        "kpi_stream": q_kpi_stream,
     }
 
 
@@ -679,4 +706,5 @@ def oracle_sql() -> dict:
         "string_index_flags": SQL_STRING_INDEX_FLAGS,
         "regression_metrics": SQL_REGRESSION_METRICS,
         "upsert_orders": SQL_UPSERT_ORDERS,
+        "kpi_stream": SQL_KPI_STREAM,
     }
