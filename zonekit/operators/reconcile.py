@@ -72,6 +72,8 @@ def reconcile(df: DataFrame, name_col: str, aliases: DataFrame, out_name: str,
     else:
         raise ValueError("mode must be 'canon' or 'basic'")
     right = right.withColumnsRenamed({"reconciled": out_name, "id": out_id or "_rid"})
+    # output columns are (re)computed: an existing column of that name is replaced
+    df = df.drop(*[c for c in (out_name, out_id) if c and c in df.columns])
     right = bounded_broadcast(right, max_broadcast_rows, materialize)
     out = df.withColumn(key, left_key).join(right, key, "left").drop(key)
     return out if out_id else out.drop("_rid")

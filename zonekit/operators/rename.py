@@ -34,6 +34,21 @@ def rename_columns(df: DataFrame, mapping: dict[str, str]) -> tuple[DataFrame, l
     return out, missing
 
 
+def merge_synonyms(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
+    """``{short: long}`` for frames that may carry either name or both (a
+    source read with a superset schema): ``long = coalesce(long, short)``,
+    then ``short`` is dropped; a lone ``short`` is renamed."""
+    out = df
+    for short, long_ in mapping.items():
+        if short not in out.columns:
+            continue
+        if long_ in out.columns:
+            out = out.withColumn(long_, F.coalesce(F.col(f"`{long_}`"), F.col(f"`{short}`"))).drop(short)
+        else:
+            out = out.withColumnRenamed(short, long_)
+    return out
+
+
 def trim_column_names(df: DataFrame) -> DataFrame:
     """Strip leading/trailing whitespace from top-level column names."""
     m = {c: c.strip() for c in df.columns if c != c.strip()}

@@ -18,6 +18,10 @@ LOOKUP_DISTRICT_DDL = (
     "_id STRING, district STRING, district_name STRING, district_reconciled STRING, "
     "neighborhood_id ARRAY<STRING>")
 
+# Superset used to read district lookup sources in either naming.
+LOOKUP_DISTRICT_SOURCE_DDL = LOOKUP_DISTRICT_DDL + (
+    ", di STRING, di_n STRING, di_re STRING, ne_id ARRAY<STRING>")
+
 LISTING_DDL = (
     "address STRING, bathrooms INT, country STRING, "
     "detailedType STRUCT<subTypology: STRING, typology: STRING>, distance STRING, "
