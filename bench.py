@@ -24,7 +24,8 @@ HEADLINE = ["kpi_table", "kpi_imputed", "dedup_listings", "merge_lookup_neighbor
             "merge_lookup_district", "conform_listings", "explode_listings",
             "rename_nested_density", "array_mean_embeddings", "reconcile_listings",
             "reconcile_basic", "canon_documents", "filter_project_orders", "feature_table",
-            "string_index_flags", "regression_metrics", "upsert_orders", "hash_split_counts"]
+            "string_index_flags", "regression_metrics", "upsert_orders", "hash_split_counts",
+            "kpi_stream", "zones_kpis"]
 # Model training is timed once (after no warm-up of its own: the session is warm).
 SINGLE_RUN = ["gbt_metrics"]
 

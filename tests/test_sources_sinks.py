@@ -6,7 +6,7 @@ import pytest
 from conftest import rows
 from zonekit.schemas import DISTRICT_RENAMES, lookup_district_schema
 from zonekit.sinks.writers import upsert_table, write_table
-from zonekit.sources.readers import read_json_lines, read_table
+from zonekit.sources.readers import read_collection, read_json_lines, read_table
 
 
 def test_json_lines_lookup_with_declared_schema(spark, tmp_dir):
@@ -43,3 +43,10 @@ def test_trailing_space_columns_trimmed_on_read(spark, tmp_dir):
     spark.createDataFrame([(1, "x")], "_id int, `neigh_name ` string").write.parquet(p)
     assert read_table(spark, p).columns == ["_id", "neigh_name"]
     assert read_table(spark, p, trim_names=False).columns == ["_id", "neigh_name "]
+
+
+def test_read_collection_passes_format_and_options(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "c")
+    spark.createDataFrame([(1, "x")], "_id int, v string").write.parquet(p)
+    df = read_collection(spark, "parquet", "_id int, v string", path=p)
+    assert rows(df) == [(1, "x")]

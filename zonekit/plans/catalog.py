@@ -662,6 +662,34 @@ FROM lst GROUP BY n_name
 """
 
 
+def q_zones_kpis(spark: SparkSession, d: str) -> DataFrame:
+    """The whole zone job over landing documents derived from the test
+    tables (batch de-duplication, by-name conform, renames, explode,
+    two-level reconciliation of noisy names, listing de-duplication, KPI
+    table keyed by the reconciled name); returns the written KPI table."""
+    from zonekit.plans.zones import ZoneConfig, run_zones
+
+    out = run_zones(spark, star.zone_inputs(spark, d), ZoneConfig(steps=("formatted", "kpis")))
+    return rounded(spark.read.parquet(out["kpis"]))
+
+
+SQL_ZONES_KPIS = f"""
+WITH {LISTINGS_SQL.strip()}, {INCOME_YEAR_SQL.strip()}, {DENSITY_YEAR_SQL.strip()},
+l2 AS (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, price, latitude, longitude, size,
+                       priceByArea, n_name FROM lst),
+rent AS (SELECT {_display_sql('n_name')} AS neigh_name_reconciled, avg(price) AS avg_rent,
+                avg(latitude) AS avg_latitude, avg(longitude) AS avg_longitude,
+                avg(priceByArea) AS avg_price_by_area FROM l2 GROUP BY 1),
+inc AS (SELECT {_display_sql('neighborhood_name')} AS k, avg(RFD) AS avg_income FROM inc_year GROUP BY 1),
+den AS (SELECT {_display_sql('neighborhood_name')} AS k, avg(density) AS avg_density FROM den_year GROUP BY 1)
+SELECT r.neigh_name_reconciled, round(avg_rent, 4) AS avg_rent, round(avg_latitude, 4) AS avg_latitude,
+       round(avg_longitude, 4) AS avg_longitude, round(avg_price_by_area, 4) AS avg_price_by_area,
+       round(avg_income, 4) AS avg_income, round(avg_density, 4) AS avg_density,
+       avg_income IS NULL AS avg_income_imputed, avg_density IS NULL AS avg_density_imputed
+FROM rent r LEFT JOIN inc i ON r.neigh_name_reconciled = i.k LEFT JOIN den d ON r.neigh_name_reconciled = d.k
+"""
+
+
 def queries() -> dict:
     return {
         "kpi_table": q_kpi_table,
@@ -684,6 +712,7 @@ def queries() -> dict:
         "hash_split_counts": q_hash_split_counts,
         "gbt_metrics": q_gbt_metrics,
         "kpi_stream": q_kpi_stream,
+        "zones_kpis": q_zones_kpis,
     }
 
 
@@ -707,4 +736,5 @@ def oracle_sql() -> dict:
         "regression_metrics": SQL_REGRESSION_METRICS,
         "upsert_orders": SQL_UPSERT_ORDERS,
         "kpi_stream": SQL_KPI_STREAM,
+        "zones_kpis": SQL_ZONES_KPIS,
     }

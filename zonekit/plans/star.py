@@ -215,3 +215,22 @@ def district_lookups(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
                      F.lower("r_name").alias("di_n"), F.concat(disp, F.lit(" district")).alias("di_re"),
                      F.col("ids").alias("ne_id"))
     return [long_, rent, dens]
+
+
+def zone_inputs(spark: SparkSession, sf_dir: str):
+    """Landing-zone collections for the whole zone job: rental batch
+    documents with noisy place names, income and density documents, and
+    the three district / neighbourhood lookup sources."""
+    from zonekit.plans.zones import ZoneInputs
+
+    lst = noisy_listings(spark, sf_dir).withColumn(
+        "propertyCode", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                    "price", "latitude", "longitude", "size"))
+    item = ["propertyCode", F.col("neighborhood_name").alias("neighborhood"), "district_name",
+            "municipality", "price", "size", "priceByArea", "latitude", "longitude", "rooms",
+            "bathrooms", "floor", "numPhotos", "exterior", "has360", "has3DTour", "hasLift",
+            "hasPlan", "hasStaging", "hasVideo"]
+    return ZoneInputs(rentals=listing_batches(lst, item), income=income_docs(spark, sf_dir),
+                      density=density_docs(spark, sf_dir),
+                      district_lookups=district_lookups(spark, sf_dir),
+                      neighborhood_lookups=neighborhood_lookups(spark, sf_dir))

@@ -118,9 +118,11 @@ def formatted_zone(spark: SparkSession, inp: ZoneInputs, root: str, mode: str =
                lookup_neighborhood=f"{root}/formatted/lookup_neighborhood")
 
     def place(df):
-        r = reconcile(df, "district_name", dal, "district_reconciled", "district_lookup_id", mode=mode)
+        # the alias tables are written tables already: no re-materialisation
+        r = reconcile(df, "district_name", dal, "district_reconciled", "district_lookup_id", mode=mode,
+                      materialize=False)
         return reconcile(r, "neighborhood_name", nal, "neigh_name_reconciled", "neighborhood_lookup_id",
-                         mode=mode)
+                         mode=mode, materialize=False)
 
     rentals = conform(dedup(trim_column_names(inp.rentals), "_id"), rentals_schema())
     listings = flatten_if_nested(rentals, "value", keep=["_id"]).withColumnRenamed(
