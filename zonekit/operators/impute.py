@@ -7,39 +7,53 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zonekit.session import ensure_checkpoint_dir
+
 STRATEGIES = ("none", "constant", "mean", "median", "random")
 
 
 def impute(df: DataFrame, cols: Sequence[str], strategy: str = "none", value: float | None = None,
            seed: int | None = None, scale: float = 1000.0, flag_suffix: str = "_imputed",
-           median_accuracy: int = 10000) -> DataFrame:
+           median_accuracy: int = 10000, materialize: bool = False) -> DataFrame:
     """Fill nulls of ``cols`` and add ``<col><flag_suffix>`` (true where the
     value was null).
 
     * ``none``      - leave nulls, only add the flags
     * ``constant``  - ``value``
-    * ``mean``      - column mean, as a scalar subquery (one small job)
-    * ``median``    - approximate median (``percentile_approx``), scalar subquery
+    * ``mean``      - column mean, from one scalar subquery shared by all columns
+    * ``median``    - approximate median (``percentile_approx``), likewise
     * ``random``    - ``rand(seed) * scale``: the reference's placeholder; pass
       a seed to make it repeatable
+
+    ``materialize`` checkpoints ``df`` (shared checkpoint folder) before a
+    mean/median fill, for inputs that are expensive to recompute.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}; use one of {STRATEGIES}")
+    if materialize and strategy in ("mean", "median"):
+        # the statistics and the rows read one written copy instead of
+        # computing the input plan twice
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     out = df
     for c in cols:
         out = out.withColumn(f"{c}{flag_suffix}", F.col(c).isNull())
     if strategy == "none":
         return out
+    stats = None
+    if strategy in ("mean", "median"):
+        # one scalar subquery for all columns (a struct), referenced per column
+        agg = ([F.avg(c).alias(c) for c in cols] if strategy == "mean" else
+               [F.percentile_approx(c, 0.5, median_accuracy).alias(c) for c in cols])
+        stats = df.select(F.struct(*agg).alias("s")).scalar()
     fills = {}
     for c in cols:
         if strategy == "constant":
             if value is None:
                 raise ValueError("constant strategy needs value")
             fill = F.lit(value)
-        elif strategy == "mean":
-            fill = df.select(F.avg(c)).scalar()
-        elif strategy == "median":
-            fill = df.select(F.percentile_approx(c, 0.5, median_accuracy)).scalar()
+        elif stats is not None:
+            fill = stats.getField(c)
         else:
             fill = F.rand(seed) * F.lit(scale)
         fills[c] = F.coalesce(F.col(c), fill.cast(df.schema[c].dataType))

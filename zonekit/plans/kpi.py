@@ -42,5 +42,7 @@ def kpi_table(rent: DataFrame, income: DataFrame, density: DataFrame,
     income_avg = info_average(income.where(F.col(key).isNotNull()), key, INCOME_FIELD, "avg_income")
     density_avg = info_average(density.where(F.col(key).isNotNull()), key, DENSITY_FIELD, "avg_density")
     out = rent_avg.join(income_avg, key, "left").join(density_avg, key, "left")
+    # the KPI table has one row per key: write it once before computing a
+    # global fill statistic over it
     return impute(out, ["avg_income", "avg_density"], impute_strategy,
-                  value=impute_value, seed=seed)
+                  value=impute_value, seed=seed, materialize=True)

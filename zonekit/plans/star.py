@@ -61,9 +61,17 @@ def supplier_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.join(p, s.s_nationkey == p.n_nationkey).select("s_suppkey", "n_nationkey", "n_name", "r_name")
 
 
+def with_scan_chunks(df: DataFrame, batch_rows: int = BATCH_ROWS) -> DataFrame:
+    """Add ``_chunk``: consecutive runs of ``batch_rows`` rows of one scan
+    partition. Computed directly on a file scan, whose row order is fixed,
+    so a recomputed partition gets the same chunks (not after a shuffle)."""
+    return df.withColumn("_chunk", F.floor(F.monotonically_increasing_id() / F.lit(batch_rows)))
+
+
 def listing_columns(li: DataFrame) -> DataFrame:
     """Listing attributes from lineitem columns (plain expressions)."""
-    return li.select(
+    extra = ["_chunk"] if "_chunk" in li.columns else []
+    return li.select(*extra,
         F.col("l_orderkey").alias("_id"),
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate",
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("propertyCode"),
@@ -112,9 +120,9 @@ def noisy(col, variant) -> F.Column:
             .when(variant == 2, v2).otherwise(v3))
 
 
-def noisy_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def noisy_listings(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
     """Listings whose place names come in four spellings (picked by key)."""
-    lst = listings(spark, sf_dir)
+    lst = listings(spark, sf_dir, lineitem)
     variant = F.pmod(F.col("l_orderkey") + F.col("l_linenumber"), F.lit(4))
     return (lst.withColumn("neighborhood_name", noisy(F.col("n_name"), variant))
             .withColumn("district_name", noisy(F.col("r_name"), variant)))
@@ -167,11 +175,12 @@ def density_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def listing_batches(flat: DataFrame, item_cols: list, batch_rows: int = BATCH_ROWS) -> DataFrame:
     """Nest flat listing rows into batch documents ``(_id, value[])`` of at
-    most ``batch_rows`` listings each (a chunk of consecutive rows of one
-    order key), so no document grows with the data."""
-    chunk = F.floor(F.monotonically_increasing_id() / F.lit(batch_rows))
-    return (flat.withColumn("_chunk", chunk)
-            .groupBy("l_orderkey", "_chunk")
+    most ``batch_rows`` listings each (rows of one order key within one
+    scan chunk), so no document grows with the data. ``flat`` must carry
+    ``_chunk`` from ``with_scan_chunks`` unless it is a file scan itself."""
+    if "_chunk" not in flat.columns:
+        flat = with_scan_chunks(flat, batch_rows)
+    return (flat.groupBy("l_orderkey", "_chunk")
             .agg(F.collect_list(F.struct(*item_cols)).alias("value"))
             .select(F.concat_ws(":", "l_orderkey", "_chunk").alias("_id"), "value"))
 
@@ -223,7 +232,8 @@ def zone_inputs(spark: SparkSession, sf_dir: str):
     the three district / neighbourhood lookup sources."""
     from zonekit.plans.zones import ZoneInputs
 
-    lst = noisy_listings(spark, sf_dir).withColumn(
+    li = with_scan_chunks(table(spark, sf_dir, "lineitem"))
+    lst = noisy_listings(spark, sf_dir, li).withColumn(
         "propertyCode", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                     "price", "latitude", "longitude", "size"))
     item = ["propertyCode", F.col("neighborhood_name").alias("neighborhood"), "district_name",
