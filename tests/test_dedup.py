@@ -68,3 +68,9 @@ def test_upsert_replaces_by_key(spark):
 def test_sort_result_orders_globally(spark):
     out = dedup(_data(spark), "k", ["s"], sort_result=True)
     assert [r.k for r in out.collect()] == [1, 2, 3]
+
+
+def test_dedup_with_map_column(spark):
+    df = spark.createDataFrame([(1, 2, {"a": 1}), (1, 1, {"b": 2}), (2, 5, None)], "k int, v int, m map<string,int>")
+    got = {r.k: (r.v, r.m) for r in dedup(df, "k", ["v"]).collect()}
+    assert got == {1: (1, {"b": 2}), 2: (5, None)}

@@ -16,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _SRC_RANK = "_src_rank"
 
@@ -26,6 +27,16 @@ def _as_list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
+def _orderable(t: T.DataType) -> bool:
+    if isinstance(t, T.MapType):
+        return False
+    if isinstance(t, T.ArrayType):
+        return _orderable(t.elementType)
+    if isinstance(t, T.StructType):
+        return all(_orderable(f.dataType) for f in t.fields)
+    return True
+
+
 def dedup(df: DataFrame, keys: str | Sequence[str], order_by: str | Sequence[str] | None = None,
           descending: bool = False, sort_result: bool = False) -> DataFrame:
     """Keep one row per ``keys``: the first by ``order_by`` (then by all
@@ -45,11 +56,19 @@ def dedup(df: DataFrame, keys: str | Sequence[str], order_by: str | Sequence[str
     ordered = [F.col(c).alias(f"_ord{i}") for i, c in enumerate(order)]
     packed = F.struct(*ordered, *[F.col(c) for c in rest])
     pick = F.max if descending else F.min
+    types = {f.name: f.dataType for f in df.schema.fields}
     if not payload:
         out = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).select(*keys)
     else:
         win = "_win"
-        agg = df.groupBy(*keys).agg(pick(packed).alias(win))
+        if all(_orderable(types[c]) for c in payload):
+            chosen = pick(packed)
+        else:
+            # map columns cannot be compared: order by the orderable columns
+            # only and carry the whole row as the value
+            by = F.struct(*ordered, *[F.col(c) for c in rest if _orderable(types[c])])
+            chosen = (F.max_by if descending else F.min_by)(packed, by)
+        agg = df.groupBy(*keys).agg(chosen.alias(win))
         cols = []
         for c in df.columns:
             if c in keys:
