@@ -75,3 +75,11 @@ def test_reconcile_basic_mode_is_the_reference_behaviour(spark):
     out = reconcile(src, "neighborhood_name", al, "rec", mode="basic")
     got = {r.id: r.rec for r in out.collect()}
     assert got == {1: "Sants-Montjuïc", 2: None}
+
+
+def test_reconcile_without_display_names_uses_ids(spark):
+    a = spark.createDataFrame([("Q1", "Poble Sec"), ("Q1", "el Poble-sec")], "_id string, neighborhood string")
+    al = alias_table([(a, ["neighborhood"])])
+    src = spark.createDataFrame([(1, "POBLE\u00a0SEC")], "id int, n string")
+    r = reconcile(src, "n", al, "rec", "rid").first()
+    assert r.rid == "Q1" and r.rec == "Q1"

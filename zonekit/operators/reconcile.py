@@ -60,6 +60,8 @@ def reconcile(df: DataFrame, name_col: str, aliases: DataFrame, out_name: str,
     is never shuffled for this join.
     """
     key = "_rk"
+    if "reconciled" not in aliases.columns:  # no display names: the id stands in
+        aliases = aliases.withColumn("reconciled", F.col("id"))
     if mode == "canon":
         left_key = canon(F.col(name_col))
         right = aliases.where(~F.col("ambiguous")) if "ambiguous" in aliases.columns else aliases

@@ -12,8 +12,7 @@ def rename_columns(df: DataFrame, mapping: dict[str, str]) -> tuple[DataFrame, l
     """Apply ``{old: new}`` for every old name present; also accept a
     mapping key that differs from the column name only by surrounding
     whitespace. Returns the frame and the list of names not found."""
-    actual = {}
-    missing = []
+    actual, nested, missing = {}, {}, []
     for old, new in mapping.items():
         if old in df.columns:
             actual[old] = new
@@ -22,15 +21,13 @@ def rename_columns(df: DataFrame, mapping: dict[str, str]) -> tuple[DataFrame, l
         if alt:
             actual[alt[0]] = new
         elif "." in old and _nested_exists(df.schema, old.split(".")):
-            continue
+            nested[old] = new
         else:
             missing.append(old)
-    nested = {k: v for k, v in mapping.items()
-              if k not in actual and k not in missing and "." in k}
     out = df.withColumnsRenamed(actual) if actual else df
     for path, new in nested.items():
         top, *rest = path.split(".")
-        out = rename_nested(out, top, {".".join(rest): new})
+        out = rename_nested(out, actual.get(top, top), {".".join(rest): new})
     return out, missing
 
 
