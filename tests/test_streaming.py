@@ -46,3 +46,23 @@ def test_state_is_one_row_per_key(spark):
     lst = star.listings(spark, SF)
     st = rent_kpi_state(lst)
     assert st.count() == lst.select("neighborhood_name").distinct().count()
+
+
+def test_micro_batches_do_not_shuffle_the_bucketed_static_side(spark, tmp_dir):
+    from zonekit.sinks.writers import write_bucketed_table
+
+    li = star.table(spark, SF, "lineitem")
+    landing = os.path.join(tmp_dir, "landing")
+    li.write.parquet(os.path.join(landing, "part=1"))
+    places = write_bucketed_table(star.supplier_places(spark, SF), "s_suppkey",
+                                  os.path.join(tmp_dir, "places"), "test_supplier_places")
+    stream = spark.readStream.schema(li.schema).option("recursiveFileLookup", "true").parquet(landing)
+    lst = star.listings(spark, SF, lineitem=stream, places_of_suppliers=places)
+    q = start_rent_kpi_stream(lst, os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ckpt"))
+    q.awaitTermination()
+    plan = q._jsq.explainInternal(False)  # what StreamingQuery.explain() prints
+    assert "Bucketed: true" in plan
+    # one exchange for the join (stream side) and one for the aggregation
+    assert plan.count("Exchange hashpartitioning") == 2
+    got = rows(rounded(current_rent_kpis(spark, os.path.join(tmp_dir, "out"))))
+    assert got == rows(rounded(_batch_kpis(star.listings(spark, SF))))

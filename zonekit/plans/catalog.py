@@ -638,18 +638,25 @@ def q_gbt_metrics(spark: SparkSession, d: str) -> DataFrame:
 
 def q_kpi_stream(spark: SparkSession, d: str) -> DataFrame:
     """E2/C7 incremental: the lineitem file read as a file stream, joined
-    with the static place dimension, aggregated with streaming state and
-    written per micro-batch; returns the current rent KPIs."""
+    with the static supplier places (written once as a table bucketed by
+    supplier key, so micro-batches shuffle only their own rows), aggregated
+    with streaming state and written per micro-batch; returns the current
+    rent KPIs."""
     import uuid
 
     from zonekit.session import scratch_path
+    from zonekit.sinks.writers import write_bucketed_table
     from zonekit.streaming.kpi_stream import current_rent_kpis, start_rent_kpi_stream
 
+    run = uuid.uuid4().hex
+    root = scratch_path(spark, "streams", f"kpi-{run}")
+    places = write_bucketed_table(star.supplier_places(spark, d), "s_suppkey", f"{root}/supplier_places",
+                                  f"zonekit_supplier_places_{run}")
     schema = star.table(spark, d, "lineitem").schema
     stream = (spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet")
               .option("maxFilesPerTrigger", 1).parquet(d))
-    root = scratch_path(spark, "streams", f"kpi-{uuid.uuid4().hex}")
-    q = start_rent_kpi_stream(star.listings(spark, d, lineitem=stream), f"{root}/out", f"{root}/checkpoint")
+    lst = star.listings(spark, d, lineitem=stream, places_of_suppliers=places)
+    q = start_rent_kpi_stream(lst, f"{root}/out", f"{root}/checkpoint")
     q.awaitTermination()
     return rounded(current_rent_kpis(spark, f"{root}/out"))
 

@@ -94,11 +94,13 @@ def listing_columns(li: DataFrame) -> DataFrame:
     )
 
 
-def listings(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
-    """Flat rental listings located at their supplier's nation/region."""
+def listings(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None,
+             places_of_suppliers: DataFrame | None = None) -> DataFrame:
+    """Flat rental listings located at their supplier's nation/region
+    (``places_of_suppliers``: a prepared ``supplier_places``, e.g. bucketed)."""
     li = lineitem if lineitem is not None else table(spark, sf_dir, "lineitem")
     lst = listing_columns(li)
-    sp = supplier_places(spark, sf_dir)
+    sp = places_of_suppliers if places_of_suppliers is not None else supplier_places(spark, sf_dir)
     return (lst.join(sp, lst.l_suppkey == sp.s_suppkey)
             .drop("s_suppkey")
             .withColumn("neighborhood_name", F.col("n_name"))

@@ -32,6 +32,21 @@ def upsert_table(spark: SparkSession, existing_path: str, incoming: DataFrame,
     return spark.read.format(fmt).load(out_path)
 
 
+def write_bucketed_table(df: DataFrame, key: str | Sequence[str], path: str, name: str,
+                         buckets: int | None = None) -> DataFrame:
+    """Write ``df`` as a table bucketed (and sorted) by ``key`` at ``path``
+    and return it. Joins on ``key`` against it then shuffle only the other
+    side - e.g. the micro-batches of a stream-static join, which would
+    otherwise re-shuffle the static side every batch. ``buckets`` defaults
+    to the session's shuffle partitions, the smallest count Spark reuses."""
+    spark = df.sparkSession
+    keys = [key] if isinstance(key, str) else list(key)
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.write.mode("overwrite").bucketBy(n, *keys).sortBy(*keys)
+     .option("path", path).saveAsTable(name))
+    return spark.table(name)
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, user: str | None = None,
                password: str | None = None, driver: str | None = None,
                mode: str = "overwrite", num_partitions: int | None = None,
