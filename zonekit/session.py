@@ -58,11 +58,16 @@ def checkpoint_root(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder; only when none is configured (local
-    tests) fall back to a fresh local temporary folder."""
+    """Return the checkpoint folder the cluster names in
+    ``spark.checkpoint.dir``. Only in local mode, when none is configured
+    (tests), fall back to a fresh local temporary folder; on a cluster a
+    machine-local folder would not survive the loss of an executor, so an
+    unset setting is an error there."""
     d = checkpoint_root(spark)
     if d:
         return d
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder for checkpoints")
     d = tempfile.mkdtemp(prefix="zonekit-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir() or d
