@@ -112,3 +112,20 @@ def test_run_zones_basic_mode_leaves_unmatched_spellings(spark, tmp_dir):
     assert lst["p3"].district_reconciled == "Ciutat Vella"
     assert lst["p2"].district_reconciled is None      # 'sants-montjuic' vs 'sants montjuic'
     assert lst["p4"].district_reconciled is None
+
+
+def test_command_line_runs_the_job(tmp_dir):
+    import subprocess
+    import sys
+
+    land = _landing(tmp_dir)
+    cfg = {"landing": land, "root": os.path.join(tmp_dir, "cli"), "steps": ["formatted", "kpis"]}
+    path = os.path.join(tmp_dir, "cfg.json")
+    with open(path, "w") as f:
+        json.dump(cfg, f)
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    res = subprocess.run([sys.executable, "-m", "zonekit", "run", path, "--master", "local[2]"],
+                         cwd=repo, capture_output=True, text=True, timeout=600)
+    assert res.returncode == 0, res.stderr[-2000:]
+    out = json.loads(res.stdout.strip().splitlines()[-1])
+    assert os.path.isdir(out["kpis"].replace("file:", ""))
