@@ -129,3 +129,11 @@ def test_command_line_runs_the_job(tmp_dir):
     assert res.returncode == 0, res.stderr[-2000:]
     out = json.loads(res.stdout.strip().splitlines()[-1])
     assert os.path.isdir(out["kpis"].replace("file:", ""))
+
+
+def test_batch_key_mode_keeps_one_listing_per_batch(spark, tmp_dir):
+    inputs = read_landing(spark, **_landing(tmp_dir))
+    cfg = ZoneConfig(root=os.path.join(tmp_dir, "zk"), listing_key="_id", steps=("formatted",))
+    out = run_zones(spark, inputs, cfg)
+    lst = spark.read.parquet(out["rentals_reconciled"])
+    assert sorted(r._id for r in lst.collect()) == ["2020_01_01", "2020_02_01"]

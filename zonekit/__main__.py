@@ -11,7 +11,7 @@ config.json::
                   "format": "json"},
       "root": "<shared folder for the zone tables>",       (optional)
       "steps": ["formatted", "kpis", "model"],            (optional)
-      "reconcile_mode": "canon", "key": "neigh_name_reconciled",
+      "reconcile_mode": "canon", "key": "neigh_name_reconciled", "listing_key": "propertyCode",
       "municipality": null, "impute_strategy": "none", "impute_value": null,
       "train_percent": 75, "gbt": {},
       "kpi_jdbc": {"url": "...", "table": "kpis", "user": "...", "password": "..."}   (optional)
@@ -46,6 +46,7 @@ def main(argv: list[str] | None = None) -> int:
     inputs = read_landing(spark, fmt=fmt, **land)
     zc = ZoneConfig(root=cfg.get("root"), reconcile_mode=cfg.get("reconcile_mode", "canon"),
                     key=cfg.get("key", "neigh_name_reconciled"), municipality=cfg.get("municipality"),
+                    listing_key=cfg.get("listing_key", "propertyCode"),
                     impute_strategy=cfg.get("impute_strategy", "none"),
                     impute_value=cfg.get("impute_value"), train_percent=cfg.get("train_percent", 75),
                     gbt_overrides=cfg.get("gbt", {}),

@@ -63,6 +63,9 @@ class ZoneConfig:
     root: str | None = None
     reconcile_mode: str = "canon"
     key: str = "neigh_name_reconciled"
+    # de-duplication key of reconciled listings; "_id" (the batch key)
+    # reproduces the reference's cardinality of one listing per batch
+    listing_key: str = "propertyCode"
     municipality: str | None = None
     impute_strategy: str = "none"
     impute_value: float | None = None
@@ -94,7 +97,8 @@ def _write(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def formatted_zone(spark: SparkSession, inp: ZoneInputs, root: str, mode: str = "canon") -> dict:
+def formatted_zone(spark: SparkSession, inp: ZoneInputs, root: str, mode: str = "canon",
+                   listing_key: str = "propertyCode") -> dict:
     out = {}
     dl = [merge_synonyms(d, DISTRICT_RENAMES) for d in inp.district_lookups]
     nl = [merge_synonyms(n, NEIGHBORHOOD_RENAMES) for n in inp.neighborhood_lookups]
@@ -127,7 +131,10 @@ def formatted_zone(spark: SparkSession, inp: ZoneInputs, root: str, mode: str =
     rentals = conform(dedup(trim_column_names(inp.rentals), "_id"), rentals_schema())
     listings = flatten_if_nested(rentals, "value", keep=["_id"]).withColumnRenamed(
         "neighborhood", "neighborhood_name")
-    listings = dedup(place(listings), "propertyCode", ["_id"], descending=True)
+    if listing_key == "_id":
+        listings = dedup(place(listings), "_id", ["propertyCode"])
+    else:
+        listings = dedup(place(listings), listing_key, ["_id"], descending=True)
     _write(listings, f"{root}/formatted/rentals_reconciled")
 
     for name, df, schema, ren in (("income", inp.income, income_schema(), INCOME_RENAMES),
@@ -167,5 +174,5 @@ def run_zones(spark: SparkSession, inputs: ZoneInputs, cfg: ZoneConfig | None =
     """Run the configured steps; returns the paths of the written tables."""
     cfg = cfg or ZoneConfig()
     root = (cfg.root or scratch_path(spark, "zones", uuid.uuid4().hex)).rstrip("/")
-    formatted = formatted_zone(spark, inputs, root, cfg.reconcile_mode)
+    formatted = formatted_zone(spark, inputs, root, cfg.reconcile_mode, cfg.listing_key)
     return {**formatted, **exploitation_zone(spark, formatted, root, cfg)}
