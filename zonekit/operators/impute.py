@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonekit.session import ensure_checkpoint_dir
+from zonekit.session import cut_lineage
 
 STRATEGIES = ("none", "constant", "mean", "median", "random")
 
@@ -33,8 +33,7 @@ def impute(df: DataFrame, cols: Sequence[str], strategy: str = "none", value: fl
     if materialize and strategy in ("mean", "median"):
         # the statistics and the rows read one written copy instead of
         # computing the input plan twice
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
+        df = cut_lineage(df)
     out = df
     for c in cols:
         out = out.withColumn(f"{c}{flag_suffix}", F.col(c).isNull())

@@ -7,7 +7,7 @@ import logging
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonekit.session import ensure_checkpoint_dir
+from zonekit.session import cut_lineage
 
 log = logging.getLogger(__name__)
 
@@ -33,8 +33,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     instead of computing it twice.
     """
     if materialize:
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
+        df = cut_lineage(df)
     if fits_broadcast(df, max_rows):
         return F.broadcast(df)
     log.warning("lookup exceeds %d rows; leaving the join strategy to Spark", max_rows)

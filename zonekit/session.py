@@ -87,9 +87,5 @@ def cut_lineage(df, eager: bool = True):
     return df.checkpoint(eager=eager)
 
 
-def local_path(p: str) -> str:
-    return p[len("file:"):] if p.startswith("file:") else p
-
-
 __all__ = ["build_session", "checkpoint_root", "ensure_checkpoint_dir",
-           "scratch_path", "cut_lineage", "SCALE_CONF", "local_path"]
+           "scratch_path", "cut_lineage", "SCALE_CONF"]
