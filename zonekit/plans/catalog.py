@@ -36,6 +36,14 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
                        for f in df.schema.fields])
 
 
+TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
+
+
+def ts_text(col: str) -> F.Column:
+    """Timestamp rendered as ISO text for engine-neutral comparison."""
+    return F.date_format(F.col(col), TS_FORMAT).alias(col)
+
+
 def _sources(spark, d):
     inc = star.income_docs(spark, d).withColumnRenamed("neigh_name ", "neighborhood_name")
     den = star.density_docs(spark, d).withColumnRenamed("neigh_name ", "neighborhood_name")
@@ -157,12 +165,13 @@ LINEITEM_ORDER = ["l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_exten
 def q_dedup_listings(spark: SparkSession, d: str) -> DataFrame:
     """One row per (l_orderkey, l_linenumber), deterministic survivor."""
     li = star.table(spark, d, "lineitem")
-    return dedup(li, ["l_orderkey", "l_linenumber"], LINEITEM_ORDER)
+    out = dedup(li, ["l_orderkey", "l_linenumber"], LINEITEM_ORDER)
+    return out.select(*[ts_text(c) if c == "l_shipdate" else c for c in out.columns])
 
 
 SQL_DEDUP_LISTINGS = """
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
-       l_tax, l_returnflag, l_linestatus, l_shipdate
+       l_tax, l_returnflag, l_linestatus, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate
 FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
              ORDER BY l_partkey, l_suppkey, l_shipdate, l_quantity, l_extendedprice,
                       l_discount, l_tax, l_returnflag, l_linestatus) AS rn
@@ -314,12 +323,13 @@ def q_explode_listings(spark: SparkSession, d: str) -> DataFrame:
     batches = star.listing_batches(li, item)
     flat = flatten_if_nested(batches, "value", keep=["_id"])
     return flat.select(F.split("_id", ":").getItem(0).cast("long").alias("batch_order"),
-                       "propertyCode", "price", "size", "shipped")
+                       "propertyCode", "price", "size", ts_text("shipped"))
 
 
 SQL_EXPLODE_LISTINGS = """
 SELECT l_orderkey AS batch_order, concat_ws('-', l_orderkey, l_linenumber) AS propertyCode,
-       l_extendedprice AS price, l_quantity AS size, l_shipdate AS shipped
+       l_extendedprice AS price, l_quantity AS size,
+       strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS shipped
 FROM lineitem
 """
 
@@ -598,7 +608,8 @@ def q_upsert_orders(spark: SparkSession, d: str) -> DataFrame:
     incoming = (o.where(F.col("o_orderdate") >= F.lit(UPSERT_CUTOFF_INCOMING).cast("timestamp_ntz"))
                 .withColumn("o_totalprice", F.col("o_totalprice") + F.lit(100.0))
                 .withColumn("o_orderstatus", F.lit("U")))
-    return upsert(existing, incoming, "o_orderkey")
+    out = upsert(existing, incoming, "o_orderkey")
+    return out.select(*[ts_text(c) if c == "o_orderdate" else c for c in out.columns])
 
 
 SQL_UPSERT_ORDERS = f"""
@@ -606,9 +617,11 @@ WITH ex AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '{UPSERT_CUTOFF_E
 inc AS (SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus, o_totalprice + 100.0 AS o_totalprice,
                o_orderdate, o_orderpriority
         FROM orders WHERE o_orderdate >= TIMESTAMP '{UPSERT_CUTOFF_INCOMING}')
-SELECT * FROM inc
-UNION ALL
-SELECT * FROM ex WHERE o_orderkey NOT IN (SELECT o_orderkey FROM inc)
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderpriority
+FROM (SELECT * FROM inc
+      UNION ALL
+      SELECT * FROM ex WHERE o_orderkey NOT IN (SELECT o_orderkey FROM inc)) u
 """
 
 
