@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from conftest import rows
 from zonekit.functions.arrays import array_mean

@@ -15,7 +15,6 @@ from zonekit.functions.arrays import array_mean
 from zonekit.functions.text import basic_norm, basic_norm_sql, canon, canon_sql
 from zonekit.operators.conform import conform
 from zonekit.operators.dedup import dedup, merge_by_priority, upsert
-from zonekit.operators.impute import impute
 from zonekit.operators.model import (FLAG_FEATURES, build_pipeline, hash_split, prepare_features,
                                      regression_metrics, score, train)
 from zonekit.operators.nested import explode_rows, flatten_if_nested
