@@ -1,5 +1,5 @@
 """Per-neighbourhood KPI table (rent, location, price by area, income,
-density): three pre-aggregated sides joined by key."""
+density): three sides aggregated per key, then joined."""
 
 from __future__ import annotations
 
