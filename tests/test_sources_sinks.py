@@ -50,3 +50,10 @@ def test_read_collection_passes_format_and_options(spark, tmp_dir):
     spark.createDataFrame([(1, "x")], "_id int, v string").write.parquet(p)
     df = read_collection(spark, "parquet", "_id int, v string", path=p)
     assert rows(df) == [(1, "x")]
+
+
+def test_json_lines_with_byte_order_mark(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "bom.json")
+    with open(path, "wb") as f:
+        f.write(b"\xef\xbb\xbf" + '{"_id":"Q1","ne":"Gràcia"}\n{"_id":"Q2","ne":"Sants"}\n'.encode("utf-8"))
+    assert rows(read_json_lines(spark, path, "_id string, ne string")) == [("Q1", "Gràcia"), ("Q2", "Sants")]
