@@ -137,3 +137,16 @@ def test_batch_key_mode_keeps_one_listing_per_batch(spark, tmp_dir):
     out = run_zones(spark, inputs, cfg)
     lst = spark.read.parquet(out["rentals_reconciled"])
     assert sorted(r._id for r in lst.collect()) == ["2020_01_01", "2020_02_01"]
+
+
+def test_flat_listings_and_reuse_of_formatted_zone(spark, tmp_dir):
+    inputs = read_landing(spark, **_landing(tmp_dir))
+    flat = inputs.rentals.selectExpr("_id", "inline(value)")     # one row per listing
+    inputs.rentals = flat
+    root = os.path.join(tmp_dir, "zf")
+    out = run_zones(spark, inputs, ZoneConfig(root=root, steps=("formatted",)))
+    assert spark.read.parquet(out["rentals_reconciled"]).count() == 4
+    assert spark.read.parquet(out["alias_district"]).count() > 0
+    again = run_zones(spark, None, ZoneConfig(root=root, steps=("kpis",)))
+    k = {r.neigh_name_reconciled: r.avg_rent for r in spark.read.parquet(again["kpis"]).collect()}
+    assert k["El Raval"] == (1100.0 + 1200.0) / 2

@@ -26,19 +26,20 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zonekit.operators.conform import conform
 from zonekit.operators.dedup import dedup, merge_by_priority
 from zonekit.operators.model import build_pipeline, hash_split, prepare_features, regression_metrics
 from zonekit.operators.model import save_model, score, train
-from zonekit.operators.nested import flatten_if_nested
+from zonekit.operators.nested import flatten_if_nested, has_array_of_structs
 from zonekit.operators.reconcile import alias_table, reconcile
 from zonekit.operators.rename import merge_synonyms, rename_columns, trim_column_names
 from zonekit.plans.features import LISTING_COLUMNS, feature_table
 from zonekit.plans.kpi import kpi_table
 from zonekit.schemas import (DISTRICT_RENAMES, NEIGHBORHOOD_RENAMES, density_schema, income_schema,
-                             lookup_district_schema, lookup_neighborhood_schema, parse,
-                             rentals_schema)
+                             listing_schema, lookup_district_schema, lookup_neighborhood_schema,
+                             parse, rentals_schema)
 from zonekit.session import scratch_path
 
 DISTRICT_NAME_COLS = ["district", "district_name", "district_reconciled"]
@@ -119,7 +120,9 @@ def formatted_zone(spark: SparkSession, inp: ZoneInputs, root: str, mode: str =
     dal = _write(dal, f"{root}/formatted/alias_district")
     nal = _write(nal, f"{root}/formatted/alias_neighborhood")
     out.update(lookup_district=f"{root}/formatted/lookup_district",
-               lookup_neighborhood=f"{root}/formatted/lookup_neighborhood")
+               lookup_neighborhood=f"{root}/formatted/lookup_neighborhood",
+               alias_district=f"{root}/formatted/alias_district",
+               alias_neighborhood=f"{root}/formatted/alias_neighborhood")
 
     def place(df):
         # the alias tables are written tables already: no re-materialisation
@@ -128,9 +131,14 @@ def formatted_zone(spark: SparkSession, inp: ZoneInputs, root: str, mode: str =
         return reconcile(r, "neighborhood_name", nal, "neigh_name_reconciled", "neighborhood_lookup_id",
                          mode=mode, materialize=False)
 
-    rentals = conform(dedup(trim_column_names(inp.rentals), "_id"), rentals_schema())
-    listings = flatten_if_nested(rentals, "value", keep=["_id"]).withColumnRenamed(
-        "neighborhood", "neighborhood_name")
+    raw = trim_column_names(inp.rentals)
+    if has_array_of_structs(raw, "value"):   # batch documents: one row per listing
+        rentals = conform(dedup(raw, "_id"), rentals_schema())
+        listings = flatten_if_nested(rentals, "value", keep=["_id"])
+    else:                                     # already one row per listing
+        flat = T.StructType([T.StructField("_id", T.StringType()), *listing_schema().fields])
+        listings = conform(raw, flat)
+    listings = listings.withColumnRenamed("neighborhood", "neighborhood_name")
     if listing_key == "_id":
         listings = dedup(place(listings), "_id", ["propertyCode"])
     else:
@@ -170,9 +178,20 @@ def exploitation_zone(spark: SparkSession, formatted: dict, root: str, cfg: Zone
     return out
 
 
-def run_zones(spark: SparkSession, inputs: ZoneInputs, cfg: ZoneConfig | None = None) -> dict:
-    """Run the configured steps; returns the paths of the written tables."""
+FORMATTED_TABLES = ("lookup_district", "lookup_neighborhood", "alias_district", "alias_neighborhood",
+                    "rentals_reconciled", "income_reconciled", "density_reconciled")
+
+
+def run_zones(spark: SparkSession, inputs: ZoneInputs | None, cfg: ZoneConfig | None = None) -> dict:
+    """Run the configured steps; returns the paths of the written tables.
+    Without the ``formatted`` step the formatted tables already under
+    ``cfg.root`` are used (``inputs`` may then be None)."""
     cfg = cfg or ZoneConfig()
+    if "formatted" not in cfg.steps and not cfg.root:
+        raise ValueError("without the 'formatted' step, root must name an existing zone folder")
     root = (cfg.root or scratch_path(spark, "zones", uuid.uuid4().hex)).rstrip("/")
-    formatted = formatted_zone(spark, inputs, root, cfg.reconcile_mode, cfg.listing_key)
+    if "formatted" in cfg.steps:
+        formatted = formatted_zone(spark, inputs, root, cfg.reconcile_mode, cfg.listing_key)
+    else:
+        formatted = {t: f"{root}/formatted/{t}" for t in FORMATTED_TABLES}
     return {**formatted, **exploitation_zone(spark, formatted, root, cfg)}
