@@ -6,7 +6,8 @@ from conftest import rows
 from zonekit.plans import star
 from zonekit.plans.catalog import rounded
 from zonekit.plans.kpi import RENT_KPIS
-from zonekit.streaming.kpi_stream import current_rent_kpis, rent_kpi_state, start_rent_kpi_stream
+from zonekit.streaming.kpi_stream import (compact_rent_kpis, current_rent_kpis, rent_kpi_state,
+                                          start_rent_kpi_stream)
 
 SF = "/root/testdata/sf0.001"
 
@@ -33,11 +34,15 @@ def test_stream_updates_incrementally_and_resumes(spark, tmp_dir):
     run()
     got1 = rows(rounded(current_rent_kpis(spark, out)))
     assert got1 == rows(rounded(_batch_kpis(star.listings(spark, SF, lineitem=first))))
+    # snapshot the state; the next read combines it with newer batches only
+    upto = compact_rent_kpis(spark, out)
+    assert rows(rounded(current_rent_kpis(spark, out))) == got1
 
     second.write.parquet(os.path.join(landing, "part=2"))
     q = run()
     got2 = rows(rounded(current_rent_kpis(spark, out)))
     assert got2 == rows(rounded(_batch_kpis(star.listings(spark, SF))))
+    assert upto is not None
     # the second run processed only the new files
     assert q.lastProgress is None or q.lastProgress["numInputRows"] <= second.count()
 

@@ -12,7 +12,8 @@ rent KPIs without recomputing history:
   overwrite, so a replayed batch rewrites the same folder (exactly-once
   output);
 * the current KPI table is the latest row per key
-  (``current_rent_kpis``), a keyed de-duplication.
+  (``current_rent_kpis``), a keyed de-duplication; ``compact_rent_kpis``
+  writes that state as a snapshot so later reads only touch newer batches.
 """
 
 from __future__ import annotations
@@ -50,9 +51,35 @@ def start_rent_kpi_stream(listings_stream: DataFrame, out_path: str, checkpoint_
     return w.start()
 
 
+def _latest_state(spark: SparkSession, out_path: str, key: str) -> DataFrame:
+    """Latest sums/counts per key: the newest snapshot (if any) plus the
+    batch folders written after it (partition-pruned on ``batch_id``)."""
+    from pyspark.errors import AnalysisException
+
+    rows = spark.read.parquet(f"{out_path}/data")
+    try:
+        snaps = spark.read.parquet(f"{out_path}/snapshots")
+    except AnalysisException:  # no snapshot yet
+        snaps = None
+    if snaps is not None:
+        upto = snaps.agg(F.max("upto")).first()[0]
+        snap = snaps.where(F.col("upto") == upto).drop("upto")
+        rows = snap.unionByName(rows.where(F.col("batch_id") > F.lit(upto)))
+    return dedup(rows, key, ["batch_id"], descending=True)
+
+
+def compact_rent_kpis(spark: SparkSession, out_path: str, key: str = "neighborhood_name") -> int:
+    """Write the current state (one row per key) as a snapshot up to the
+    last written batch; later reads skip the batch folders it covers.
+    Returns that batch id. Old folders are left in place."""
+    state = _latest_state(spark, out_path, key)
+    upto = state.agg(F.max("batch_id")).first()[0]
+    state.write.mode("overwrite").parquet(f"{out_path}/snapshots/upto={upto}")
+    return upto
+
+
 def current_rent_kpis(spark: SparkSession, out_path: str, key: str = "neighborhood_name") -> DataFrame:
     """The KPI table as of the last completed micro-batch."""
-    rows = spark.read.parquet(f"{out_path}/data")
-    latest = dedup(rows, key, ["batch_id"], descending=True)
+    latest = _latest_state(spark, out_path, key)
     return latest.select(key, *[F.try_divide(F.col(f"{k}__sum"), F.col(f"{k}__n")).alias(k)
                                 for k in RENT_KPIS])
