@@ -57,3 +57,25 @@ def test_json_lines_with_byte_order_mark(spark, tmp_dir):
     with open(path, "wb") as f:
         f.write(b"\xef\xbb\xbf" + '{"_id":"Q1","ne":"Gràcia"}\n{"_id":"Q2","ne":"Sants"}\n'.encode("utf-8"))
     assert rows(read_json_lines(spark, path, "_id string, ne string")) == [("Q1", "Gràcia"), ("Q2", "Sants")]
+
+
+def test_write_jdbc_passes_url_table_mode_and_credentials(spark, monkeypatch):
+    # no database is started here: the call into Spark's JDBC writer is recorded instead
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from zonekit.sinks.writers import write_jdbc
+
+    seen = {}
+
+    def fake_jdbc(self, url, table, mode=None, properties=None):
+        seen.update(url=url, table=table, mode=mode, properties=properties,
+                    partitions=self._df.rdd.getNumPartitions())
+
+    monkeypatch.setattr(DataFrameWriter, "jdbc", fake_jdbc)
+    df = spark.range(100).repartition(8)
+    write_jdbc(df, "jdbc:postgresql://db.example:5432/zones", "kpis_table", user="u", password="p",
+               driver="org.postgresql.Driver", num_partitions=2)
+    assert seen["url"] == "jdbc:postgresql://db.example:5432/zones" and seen["table"] == "kpis_table"
+    assert seen["mode"] == "overwrite" and seen["partitions"] == 2
+    assert seen["properties"] == {"batchsize": "10000", "user": "u", "password": "p",
+                                  "driver": "org.postgresql.Driver"}
