@@ -92,3 +92,18 @@ def test_regression_metrics_formulas(spark):
     m = regression_metrics(df).first()
     assert abs(m.mse - 5.0 / 3) < 1e-12 and abs(m.mae - 1.0) < 1e-12
     assert abs(m.rmse - (5.0 / 3) ** 0.5) < 1e-12 and abs(m.r2 - (1 - (5.0 / 3) / (2.0 / 3))) < 1e-12
+
+
+def test_feature_table_never_multiplies_listings(spark):
+    # two income documents reconcile to the same neighbourhood "A"
+    income = spark.createDataFrame([(1, "A", [(2017, 10, 100.0)]), (2, "A", [(2018, 10, 300.0)]),
+                                    (3, "B", [(2017, 10, 50.0)])],
+                                   "_id int, neighborhood_name string, info array<struct<year:int,pop:int,RFD:double>>")
+    density = spark.createDataFrame(
+        [("A", [(2017, 5.0, 50.0, 40.0)]), ("B", [(2017, 5.0, 10.0, 9.0)])],
+        "neighborhood_name string, info array<struct<year:int,population:double,"
+        "`density(inh/ha)`:double,`net_density (inh/ha)`:double>>")
+    ft = feature_table(_listings(spark), income, density)
+    assert ft.count() == 400
+    a = ft.where("neighborhood_name = 'A'").first()
+    assert a.income_id == 1 and a.income_year == [2017, 2018] and a.RFD == [100.0, 300.0]
