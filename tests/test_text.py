@@ -35,6 +35,11 @@ def test_canon_punctuation_spaces_quotes(spark):
         assert _one(spark, canon, raw) == want
 
 
+def test_canon_multi_letter_folds(spark):
+    assert _one(spark, canon, "Straße") == _one(spark, canon, "STRASSE") == "strasse"
+    assert _one(spark, canon, "Cœur-Æther") == "coeur aether"
+
+
 def test_basic_norm_is_the_reference_behaviour(spark):
     # combining marks are stripped, precomposed letters stay
     assert _one(spark, basic_norm, "Sants-Montjuïc") == "sants-montjuïc"

@@ -29,6 +29,9 @@ COMBINING_MARKS = "[\u0300-\u036f]"
 # accented forms of an ASCII letter in the languages we meet.
 _EXTRA_FOLDS = {"ø": "o", "đ": "d", "ł": "l", "ħ": "h", "ı": "i", "ŧ": "t"}
 
+# Letters that fold to more than one ASCII letter.
+_MULTI_FOLDS = {"ß": "ss", "æ": "ae", "œ": "oe", "þ": "th"}
+
 # Everything outside this class becomes a single space in ``canon``.
 NON_ALNUM_RUN = "[^a-z0-9]+"
 
@@ -66,8 +69,10 @@ def basic_norm(col) -> Column:
 
 def canon(col) -> Column:
     """Accent/case/punctuation-insensitive matching key."""
-    folded = F.translate(F.regexp_replace(F.lower(_c(col)), COMBINING_MARKS, ""),
-                         FOLD_FROM, FOLD_TO)
+    x = F.regexp_replace(F.lower(_c(col)), COMBINING_MARKS, "")
+    for src, dst in _MULTI_FOLDS.items():
+        x = F.replace(x, F.lit(src), F.lit(dst))
+    folded = F.translate(x, FOLD_FROM, FOLD_TO)
     return F.trim(F.regexp_replace(folded, NON_ALNUM_RUN, " "))
 
 
@@ -81,6 +86,8 @@ def basic_norm_sql(expr: str) -> str:
 
 def canon_sql(expr: str) -> str:
     """``canon`` as SQL text (regexp flags in the DuckDB dialect)."""
-    inner = (f"translate(regexp_replace(lower({expr}), {_sql_lit(COMBINING_MARKS)}, '', 'g'), "
-             f"{_sql_lit(FOLD_FROM)}, {_sql_lit(FOLD_TO)})")
+    x = f"regexp_replace(lower({expr}), {_sql_lit(COMBINING_MARKS)}, '', 'g')"
+    for src, dst in _MULTI_FOLDS.items():
+        x = f"replace({x}, {_sql_lit(src)}, {_sql_lit(dst)})"
+    inner = f"translate({x}, {_sql_lit(FOLD_FROM)}, {_sql_lit(FOLD_TO)})"
     return f"trim(regexp_replace({inner}, {_sql_lit(NON_ALNUM_RUN)}, ' ', 'g'))"
