@@ -7,6 +7,8 @@ that two engines summing in different orders agree.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -671,8 +673,12 @@ def q_kpi_stream(spark: SparkSession, d: str) -> DataFrame:
                                             "micro-batches will shuffle it", e)
         places = star.supplier_places(spark, d)
     schema = star.table(spark, d, "lineitem").schema
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet")
-              .option("maxFilesPerTrigger", 1).parquet(d))
+    src = f"{d.rstrip('/')}/lineitem.parquet"
+    reader = spark.readStream.schema(schema)
+    if os.path.isfile(src.removeprefix("file:")):   # a single file: stream its folder, filtered
+        stream = reader.option("pathGlobFilter", "lineitem.parquet").parquet(d)
+    else:                                            # a folder of part files
+        stream = reader.parquet(src)
     lst = star.listings(spark, d, lineitem=stream, places_of_suppliers=places)
     q = start_rent_kpi_stream(lst, f"{root}/out", f"{root}/checkpoint")
     q.awaitTermination()
