@@ -64,3 +64,16 @@ def test_rename_nested_in_array_of_structs(spark):
     assert e.columns == ["year", "density", "net_density"]
     with pytest.raises(ValueError):
         rename_nested(df, "info", {"absent": "x"})
+
+
+def test_conform_through_maps(spark):
+    df = spark.createDataFrame([({"a": "1", "b": "x"},)], "m map<string,string>")
+    schema = T.StructType([T.StructField("m", T.MapType(T.StringType(), T.IntegerType()))])
+    assert conform(df, schema).first().m == {"a": 1, "b": None}
+
+
+def test_rename_nested_in_plain_struct(spark):
+    df = spark.createDataFrame([(1, ("t", "s"))], "k int, suggestedTexts struct<title:string,subtitle:string>")
+    out = rename_nested(df, "suggestedTexts", {"title": "headline"})
+    assert out.schema["suggestedTexts"].dataType.fieldNames() == ["headline", "subtitle"]
+    assert out.first().suggestedTexts.headline == "t"

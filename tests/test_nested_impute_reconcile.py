@@ -82,3 +82,11 @@ def test_reconcile_without_display_names_uses_ids(spark):
     src = spark.createDataFrame([(1, "POBLE\u00a0SEC")], "id int, n string")
     r = reconcile(src, "n", al, "rec", "rid").first()
     assert r.rid == "Q1" and r.rec == "Q1"
+
+
+def test_explode_with_positions(spark):
+    df = spark.createDataFrame([("a", [(1,), (2,)]), ("b", None)], "_id string, value array<struct<n:int>>")
+    out = explode_rows(df, "value", keep=["_id"], position="pos")
+    assert rows(out, "_id", "pos", "n") == [("a", 0, 1), ("a", 1, 2)]
+    outer = explode_rows(df, "value", keep=["_id"], position="pos", outer=True)
+    assert rows(outer, "_id", "pos", "n") == [("a", 0, 1), ("a", 1, 2), ("b", None, None)]
