@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -54,8 +53,8 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def supplier_places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """supplier -> (nation name, region name); the place side is broadcast
-    after a size check, the supplier side is as big as the data."""
+    """supplier -> (nation name, region name); the place side (25 rows by
+    construction) is broadcast, the supplier side is as big as the data."""
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     p = places(spark, sf_dir)
     return s.join(p, s.s_nationkey == p.n_nationkey).select("s_suppkey", "n_nationkey", "n_name", "r_name")
