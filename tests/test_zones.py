@@ -150,3 +150,12 @@ def test_flat_listings_and_reuse_of_formatted_zone(spark, tmp_dir):
     again = run_zones(spark, None, ZoneConfig(root=root, steps=("kpis",)))
     k = {r.neigh_name_reconciled: r.avg_rent for r in spark.read.parquet(again["kpis"]).collect()}
     assert k["El Raval"] == (1100.0 + 1200.0) / 2
+
+
+def test_kpis_keyed_by_reconciled_id(spark, tmp_dir):
+    inputs = read_landing(spark, **_landing(tmp_dir))
+    cfg = ZoneConfig(root=os.path.join(tmp_dir, "zid"), key="neighborhood_lookup_id",
+                     steps=("formatted", "kpis"))
+    out = run_zones(spark, inputs, cfg)
+    k = {r.neighborhood_lookup_id: r.avg_rent for r in spark.read.parquet(out["kpis"]).collect()}
+    assert k == {"N1": 1150.0, "N2": 850.0}

@@ -1,0 +1,8 @@
+"""Composite jobs: KPI table, feature table, the whole zone job."""
+
+from zonekit.plans.features import feature_table, one_doc_per_key
+from zonekit.plans.kpi import kpi_table
+from zonekit.plans.zones import ZoneConfig, ZoneInputs, read_landing, run_zones
+
+__all__ = ["kpi_table", "feature_table", "one_doc_per_key", "ZoneConfig", "ZoneInputs",
+           "read_landing", "run_zones"]
