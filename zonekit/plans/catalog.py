@@ -25,6 +25,7 @@ from zonekit.operators.rename import rename_columns
 from zonekit.plans import star
 from zonekit.plans.features import feature_table
 from zonekit.plans.kpi import kpi_table
+from zonekit.session import cut_lineage
 from zonekit.schemas import NEIGHBORHOOD_RENAMES, DISTRICT_RENAMES, listing_schema
 
 DIGITS = 4
@@ -642,9 +643,12 @@ def model_frame(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_gbt_metrics(spark: SparkSession, d: str) -> DataFrame:
-    """Feature table -> hash split -> indexers + assembler
-    + GBT (reference parameters) -> predictions -> metrics."""
-    df = model_frame(spark, d)
+    """Feature table (materialised once) -> hash split ->
+    indexers + assembler + GBT (reference parameters) -> predictions ->
+    metrics."""
+    # written once to the checkpoint folder: the train and test sides then
+    # read it instead of each re-running the listing joins
+    df = cut_lineage(model_frame(spark, d))
     tr, te = hash_split(df, ["_id", "l_linenumber"])
     model = train(tr, build_pipeline())
     return rounded(regression_metrics(score(model, te)), 6)
