@@ -18,7 +18,7 @@ from zonekit.functions.text import basic_norm, basic_norm_sql, canon, canon_sql
 from zonekit.operators.conform import conform
 from zonekit.operators.dedup import dedup, merge_by_priority, upsert
 from zonekit.operators.model import (FLAG_FEATURES, build_pipeline, hash_split, prepare_features,
-                                     regression_metrics, score, train)
+                                     regression_metrics, score, split_label, train)
 from zonekit.operators.nested import explode_rows, flatten_if_nested
 from zonekit.operators.reconcile import alias_table, reconcile
 from zonekit.operators.rename import rename_columns
@@ -630,8 +630,7 @@ FROM (SELECT * FROM inc
 def q_hash_split_counts(spark: SparkSession, d: str) -> DataFrame:
     """M4: repeatable 75/25 split of the listings by key hash; row counts."""
     li = star.table(spark, d, "lineitem")
-    tr, te = hash_split(li, ["l_orderkey", "l_linenumber"])
-    return (tr.select(F.lit("train").alias("part")).unionByName(te.select(F.lit("test").alias("part")))
+    return (li.select(split_label(["l_orderkey", "l_linenumber"]).alias("part"))
             .groupBy("part").agg(F.count(F.lit(1)).alias("n")))
 
 
