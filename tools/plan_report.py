@@ -20,7 +20,8 @@ MULTI_JOB = {"zones_kpis": "whole job; each published table is its own job",
              "kpi_imputed": "the KPI table (plan as `kpi_table`) is written once to the checkpoint "
                             "folder; the returned frame reads it and fills from one scalar subquery",
              "kpi_stream": "streaming micro-batches (see tests/test_streaming.py)",
-             "gbt_metrics": "iterative model fit; the returned frame is the metrics pass"}
+             "gbt_metrics": "feature frame checkpointed once, then iterative model fit; the returned "
+                            "frame is the metrics pass over the checkpointed test rows"}
 
 
 def summarise(plan: str) -> dict:
