@@ -20,7 +20,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from zonekit.plans import catalog  # noqa: E402
 from zonekit.session import build_session  # noqa: E402
 
-HEADLINE = ["kpi_table", "kpi_imputed", "dedup_listings", "merge_lookup_neighborhood",
+HEADLINE = ["kpi_table", "kpi_imputed", "kpi_imputed_constant", "dedup_listings",
+            "latest_order_per_customer", "merge_lookup_neighborhood",
             "merge_lookup_district", "conform_listings", "explode_listings",
             "rename_nested_density", "array_mean_embeddings", "reconcile_listings",
             "reconcile_basic", "canon_documents", "filter_project_orders", "feature_table",

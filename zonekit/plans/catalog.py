@@ -161,6 +161,13 @@ SELECT neighborhood_name, round(avg_rent, 4) AS avg_rent, round(avg_latitude, 4)
 FROM k
 """
 
+SQL_KPI_IMPUTED_CONSTANT = (SQL_KPI_IMPUTED
+                            .replace("coalesce(avg_income, (SELECT avg(avg_income) FROM k))",
+                                     "coalesce(avg_income, 0.0)")
+                            .replace("coalesce(avg_density, (SELECT avg(avg_density) FROM k))",
+                                     "coalesce(avg_density, 0.0)"))
+assert SQL_KPI_IMPUTED_CONSTANT.count(", 0.0)") == 2
+
 LINEITEM_ORDER = ["l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice"]
 
 
@@ -182,6 +189,36 @@ WHERE rn = 1
 """
 
 
+def q_latest_order_per_customer(spark: SparkSession, d: str) -> DataFrame:
+    """D1 descending + O1: the latest order of every customer (ties broken
+    by the whole row, descending), output globally sorted by customer."""
+    o = star.table(spark, d, "orders")
+    out = dedup(o, "o_custkey", ["o_orderdate", "o_orderkey"], descending=True, sort_result=True)
+    return out.select(*[ts_text(c) if c == "o_orderdate" else c for c in out.columns])
+
+
+SQL_LATEST_ORDER_PER_CUSTOMER = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderpriority
+FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey
+             ORDER BY o_orderdate DESC, o_orderkey DESC, o_orderstatus DESC, o_totalprice DESC,
+                      o_orderpriority DESC) AS rn
+      FROM orders) t
+WHERE rn = 1
+ORDER BY o_custkey
+"""
+
+
+def q_kpi_imputed_constant(spark: SparkSession, d: str) -> DataFrame:
+    """F5 constant strategy: as ``kpi_imputed`` with unmatched income and
+    density set to 0 and flagged."""
+    inc, den = _sources(spark, d)
+    inc = inc.withColumn("neighborhood_name", basic_norm("neighborhood_name"))
+    den = den.withColumn("neighborhood_name", basic_norm("neighborhood_name"))
+    lst = star.noisy_listings(spark, d).withColumn("neighborhood_name", basic_norm("neighborhood_name"))
+    return rounded(kpi_table(lst, inc, den, impute_strategy="constant", impute_value=0.0))
+
+
 def _customer_lookups(spark, d):
     c = star.table(spark, d, "customer")
     cid = F.col("c_custkey").cast("string")
@@ -728,7 +765,9 @@ def queries() -> dict:
     return {
         "kpi_table": q_kpi_table,
         "kpi_imputed": q_kpi_imputed,
+        "kpi_imputed_constant": q_kpi_imputed_constant,
         "dedup_listings": q_dedup_listings,
+        "latest_order_per_customer": q_latest_order_per_customer,
         "merge_lookup_neighborhood": q_merge_lookup_neighborhood,
         "merge_lookup_district": q_merge_lookup_district,
         "conform_listings": q_conform_listings,
@@ -754,7 +793,9 @@ def oracle_sql() -> dict:
     return {
         "kpi_table": SQL_KPI_TABLE,
         "kpi_imputed": SQL_KPI_IMPUTED,
+        "kpi_imputed_constant": SQL_KPI_IMPUTED_CONSTANT,
         "dedup_listings": SQL_DEDUP_LISTINGS,
+        "latest_order_per_customer": SQL_LATEST_ORDER_PER_CUSTOMER,
         "merge_lookup_neighborhood": SQL_MERGE_LOOKUP_NEIGHBORHOOD,
         "merge_lookup_district": SQL_MERGE_LOOKUP_DISTRICT,
         "conform_listings": SQL_CONFORM_LISTINGS,
