@@ -18,9 +18,11 @@ DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Runs one small job
-    that stops reading each partition after ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows: an exact count (one
+    scan, partial counts combined map-side). A ``limit(n + 1).count()``
+    would instead move up to n + 1 rows of every partition into a single
+    task - the wrong cost exactly when the table is not small."""
+    return df.count() <= max_rows
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
