@@ -61,5 +61,7 @@ def write_jdbc(df: DataFrame, url: str, table: str, user: str | None = None,
         props["password"] = password
     if driver is not None:
         props["driver"] = driver
-    out = df.coalesce(num_partitions) if num_partitions else df
+    # repartition, not coalesce: a narrow coalesce would also shrink the
+    # stage computing ``df`` to ``num_partitions`` tasks
+    out = df.repartition(num_partitions) if num_partitions else df
     out.write.jdbc(url=url, table=table, mode=mode, properties=props)
