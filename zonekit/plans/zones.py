@@ -142,6 +142,7 @@ def formatted_zone(spark: SparkSession, inp: ZoneInputs, root: str, mode: str =
     if listing_key == "_id":
         listings = dedup(place(listings), "_id", ["propertyCode"])
     else:
+        # the newest batch wins: batch ids are dates, so they sort in time
         listings = dedup(place(listings), listing_key, ["_id"], descending=True)
     _write(listings, f"{root}/formatted/rentals_reconciled")
 
