@@ -107,3 +107,20 @@ def test_feature_table_never_multiplies_listings(spark):
     assert ft.count() == 400
     a = ft.where("neighborhood_name = 'A'").first()
     assert a.income_id == 1 and a.income_year == [2017, 2018] and a.RFD == [100.0, 300.0]
+
+
+def test_predict_prices_for_new_listings(spark, tmp_dir):
+    from zonekit.operators.model import load_model, prepare_features
+    from zonekit.plans.features import predict_prices
+
+    income = spark.createDataFrame([(1, "A", [(2017, 10, 100.0)]), (2, "B", [(2017, 10, 50.0)])],
+                                   "_id int, neighborhood_name string, info array<struct<year:int,pop:int,RFD:double>>")
+    density = spark.createDataFrame(
+        [("A", [(2017, 5.0, 50.0, 40.0)]), ("B", [(2017, 5.0, 10.0, 9.0)])],
+        "neighborhood_name string, info array<struct<year:int,population:double,"
+        "`density(inh/ha)`:double,`net_density (inh/ha)`:double>>")
+    model = train(prepare_features(feature_table(_listings(spark), income, density)), build_pipeline(maxIter=3))
+    save_model(model, f"{tmp_dir}/m")
+    new = _listings(spark, 20).drop("price")
+    got = predict_prices(load_model(f"{tmp_dir}/m"), new, income, density)
+    assert got.count() == 20 and got.where("prediction IS NULL").count() == 0
