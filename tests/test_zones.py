@@ -166,3 +166,30 @@ def test_kpis_keyed_by_reconciled_id(spark, tmp_dir):
     out = run_zones(spark, inputs, cfg)
     k = {r.neighborhood_lookup_id: r.avg_rent for r in spark.read.parquet(out["kpis"]).collect()}
     assert k == {"N1": 1150.0, "N2": 850.0}
+
+
+def test_command_line_predicts_with_a_saved_model(tmp_dir):
+    import subprocess
+    import sys
+
+    land = _landing(tmp_dir)
+    root = os.path.join(tmp_dir, "clim")
+    cfg = {"landing": land, "root": root, "gbt": {"maxIter": 2}, "train_percent": 50}
+    path = os.path.join(tmp_dir, "cfg.json")
+    with open(path, "w") as f:
+        json.dump(cfg, f)
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+    def cli(*a):
+        res = subprocess.run([sys.executable, "-m", "zonekit", *a, "--master", "local[2]"],
+                             cwd=repo, capture_output=True, text=True, timeout=600)
+        assert res.returncode == 0, res.stderr[-2000:]
+        return json.loads(res.stdout.strip().splitlines()[-1])
+
+    out = cli("run", path)
+    pred = cli("predict", "--model", out["model"], "--listings", out["rentals_reconciled"],
+               "--income", out["income_reconciled"], "--density", out["density_reconciled"],
+               "--key", "neigh_name_reconciled", "--out", os.path.join(tmp_dir, "pred"))
+    import pyarrow.parquet as pq
+    t = pq.read_table(pred["predictions"].replace("file:", ""))
+    assert "prediction" in t.column_names and t.num_rows >= 1

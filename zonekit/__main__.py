@@ -18,6 +18,12 @@ config.json::
     }
 
 Prints the written table paths as JSON.
+
+    python -m zonekit predict --model <dir> --listings <path> --income <path>
+                              --density <path> --out <path> [--key name] [--format parquet]
+
+prices new listings (flat rows) with a saved pipeline and writes them with a
+``prediction`` column.
 """
 
 from __future__ import annotations
@@ -36,7 +42,15 @@ def main(argv: list[str] | None = None) -> int:
     run = sub.add_parser("run", help="run the zone job")
     run.add_argument("config")
     run.add_argument("--master", default=None)
+    pr = sub.add_parser("predict", help="price new listings with a saved model")
+    for a in ("--model", "--listings", "--income", "--density", "--out"):
+        pr.add_argument(a, required=True)
+    pr.add_argument("--key", default="neighborhood_name")
+    pr.add_argument("--format", default="parquet")
+    pr.add_argument("--master", default=None)
     args = ap.parse_args(argv)
+    if args.cmd == "predict":
+        return _predict(args)
 
     with open(args.config, encoding="utf-8") as f:
         cfg = json.load(f)
@@ -62,5 +76,20 @@ def main(argv: list[str] | None = None) -> int:
     return 0
 
 
+def _predict(args) -> int:
+    from zonekit.operators.model import load_model
+    from zonekit.plans.features import predict_prices
+
+    spark = build_session(args.master, app_name="zonekit-predict")
+    rd = lambda p: spark.read.format(args.format).load(p)
+    out = predict_prices(load_model(args.model), rd(args.listings), rd(args.income), rd(args.density),
+                         key=args.key)
+    keep = [c for c in out.columns if c not in ("features",) and not c.endswith("_index")]
+    out.select(*keep).write.mode("errorifexists").parquet(args.out)
+    print(json.dumps({"predictions": args.out}))
+    spark.stop()
+    return 0
+
+
 if __name__ == "__main__":
     sys.exit(main())
