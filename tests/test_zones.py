@@ -193,3 +193,16 @@ def test_command_line_predicts_with_a_saved_model(tmp_dir):
     import pyarrow.parquet as pq
     t = pq.read_table(pred["predictions"].replace("file:", ""))
     assert "prediction" in t.column_names and t.num_rows >= 1
+
+
+def test_landing_sources_as_format_specs(spark, tmp_dir):
+    land = _landing(tmp_dir)
+    # the income collection as parquet through a spec; the rest as JSON paths
+    inc_pq = os.path.join(tmp_dir, "income_pq")
+    read_landing(spark, **land).income.write.parquet(inc_pq)
+    land["income"] = {"format": "parquet", "path": inc_pq}
+    inputs = read_landing(spark, **land)
+    assert inputs.income.count() == 3
+    out = run_zones(spark, inputs, ZoneConfig(root=os.path.join(tmp_dir, "zs"), steps=("formatted", "kpis")))
+    k = {r.neigh_name_reconciled: r.avg_income for r in spark.read.parquet(out["kpis"]).collect()}
+    assert k["El Raval"] == 70.0

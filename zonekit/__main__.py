@@ -9,6 +9,7 @@ config.json::
                   "district_lookups": ["...", "...", "..."],
                   "neighborhood_lookups": ["...", "...", "..."],
                   "format": "json"},
+                  (each source: a path, or {"format": ..., "path": ..., "options": {...}})
       "root": "<shared folder for the zone tables>",       (optional)
       "steps": ["formatted", "kpis", "model"],            (optional)
       "reconcile_mode": "canon", "key": "neigh_name_reconciled", "listing_key": "propertyCode",

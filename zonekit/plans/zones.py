@@ -75,16 +75,23 @@ class ZoneConfig:
     steps: Sequence[str] = ("formatted", "kpis", "model")
 
 
-def read_landing(spark: SparkSession, rentals: str, income: str, density: str,
-                 district_lookups: Sequence[str], neighborhood_lookups: Sequence[str],
+def read_landing(spark: SparkSession, rentals, income, density, district_lookups, neighborhood_lookups,
                  fmt: str = "json") -> ZoneInputs:
-    """Read landing collections with declared schemas (no inference pass)."""
-    def rd(path, schema):
-        r = spark.read.format(fmt)
-        if fmt == "json":
-            r = r.schema(schema)
-        return r.load(path)
+    """Read the landing collections with declared schemas (no inference
+    pass). Each source is a path, or a spec ``{"format": ..., "path": ...,
+    "options": {...}}`` for a connector that is configured by options (e.g.
+    a document-store connector on the classpath)."""
     from zonekit.schemas import LOOKUP_DISTRICT_SOURCE_DDL
+
+    def rd(src, schema):
+        spec = src if isinstance(src, dict) else {"path": src}
+        f = spec.get("format", fmt)
+        r = spark.read.format(f).options(**spec.get("options", {}))
+        # declared schema unless the format carries its own ("schema": bool overrides)
+        if spec.get("schema", f not in ("parquet", "orc")):
+            r = r.schema(schema)
+        return r.load(spec["path"]) if spec.get("path") else r.load()
+
     return ZoneInputs(
         rentals=rd(rentals, rentals_schema()),
         income=rd(income, income_schema()),
