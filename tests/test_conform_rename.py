@@ -77,3 +77,28 @@ def test_rename_nested_in_plain_struct(spark):
     out = rename_nested(df, "suggestedTexts", {"title": "headline"})
     assert out.schema["suggestedTexts"].dataType.fieldNames() == ["headline", "subtitle"]
     assert out.first().suggestedTexts.headline == "t"
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_DECLARED = [("year", "int"), ("pop", "int"), ("RFD", "double"), ("label", "string"), ("ok", "boolean")]
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.permutations(_DECLARED), st.integers(0, 4), st.integers(1, 5))
+def test_conform_by_name_for_any_field_order(spark, order, drop_at, n_rows):
+    present = [f for i, f in enumerate(order) if i != drop_at]          # one field missing
+    ddl = ", ".join(f"`{n}`: string" for n, _ in present)
+    values = {"year": lambda i: str(2000 + i), "pop": lambda i: str(10 * i), "RFD": lambda i: f"{i}.5",
+              "label": lambda i: f"n{i}", "ok": lambda i: "true" if i % 2 else "false"}
+    rows_ = [(i, [tuple(values[n](i) for n, _ in present)]) for i in range(n_rows)]
+    df = spark.createDataFrame(rows_, f"k int, info array<struct<{ddl}>>")
+    target = T.StructType([T.StructField("k", T.IntegerType()),
+                           T.StructField("info", T.ArrayType(T.StructType(
+                               [T.StructField(n, T.DataType.fromDDL(t)) for n, t in _DECLARED])))])
+    got = {r.k: r.info[0].asDict() for r in conform(df, target).collect()}
+    names = {n for n, _ in present}
+    for i in range(n_rows):
+        want = {"year": 2000 + i, "pop": 10 * i, "RFD": i + 0.5, "label": f"n{i}", "ok": bool(i % 2)}
+        assert got[i] == {n: (v if n in names else None) for n, v in want.items()}
