@@ -78,3 +78,46 @@ def test_hot_supplier_is_split_by_adaptive_skew_join(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+_keys = st.sampled_from(["A", "B", "C", None])
+_val = st.one_of(st.none(), st.floats(0, 1000, allow_nan=False).map(lambda x: round(x, 2)))
+_info = st.one_of(st.none(), st.lists(st.tuples(st.integers(2015, 2020), _val), max_size=3))
+
+
+def _mean(xs):
+    xs = [x for x in xs if x is not None]
+    return sum(xs) / len(xs) if xs else None
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(_keys, _val, _val), min_size=1, max_size=12),
+       st.lists(st.tuples(_keys, _info), max_size=5), st.lists(st.tuples(_keys, _info), max_size=5))
+def test_kpi_table_equals_brute_force(spark, rent, income, density):
+    from zonekit.plans.kpi import kpi_table
+
+    r = spark.createDataFrame([(k, p, p, p, a) for k, p, a in rent],
+                              "neighborhood_name string, price double, latitude double, longitude double, "
+                              "priceByArea double")
+    i = spark.createDataFrame([(k, None if inf is None else [(y, 1, v) for y, v in inf]) for k, inf in income],
+                              "neighborhood_name string, info array<struct<year:int,pop:int,RFD:double>>")
+    d = spark.createDataFrame([(k, None if inf is None else [(y, 1.0, v, v) for y, v in inf])
+                               for k, inf in density],
+                              "neighborhood_name string, info array<struct<year:int,population:double,"
+                              "`density(inh/ha)`:double,`net_density (inh/ha)`:double>>")
+    got = {x.neighborhood_name: (x.avg_rent, x.avg_price_by_area, x.avg_income, x.avg_density)
+           for x in kpi_table(r, i, d).collect()}
+
+    def side(docs):
+        vals = {}
+        for k, inf in docs:
+            if k is not None and inf:
+                vals.setdefault(k, []).extend(v for _, v in inf)
+        return {k: _mean(v) for k, v in vals.items()}
+
+    inc, den = side(income), side(density)
+    keys = {k for k, _, _ in rent if k is not None}
+    want = {k: (_mean([p for kk, p, _ in rent if kk == k]), _mean([a for kk, _, a in rent if kk == k]),
+                inc.get(k), den.get(k)) for k in keys}
+    approx = lambda t: tuple(None if v is None else round(v, 6) for v in t)
+    assert {k: approx(v) for k, v in got.items()} == {k: approx(v) for k, v in want.items()}
