@@ -5,6 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from canon_reference import py_canon
 from zonekit.operators.dedup import dedup, merge_by_priority
 from zonekit.plans import star
 
@@ -121,3 +122,32 @@ def test_kpi_table_equals_brute_force(spark, rent, income, density):
                 inc.get(k), den.get(k)) for k in keys}
     approx = lambda t: tuple(None if v is None else round(v, 6) for v in t)
     assert {k: approx(v) for k, v in got.items()} == {k: approx(v) for k, v in want.items()}
+
+
+_names = st.sampled_from(["Gràcia", "gracia", "GRÀCIA", "el Raval", "El  Raval", "Sant-Martí",
+                          "sant marti", "Horta", "Hòrta", "x"])
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["Q1", "Q2", "Q3"]), _names), min_size=1, max_size=6),
+       st.lists(st.one_of(st.none(), _names), min_size=1, max_size=10))
+def test_reconcile_equals_brute_force(spark, lookup, listing_names):
+    from zonekit.operators.reconcile import alias_table, reconcile
+
+    lk = spark.createDataFrame(lookup, "_id string, neighborhood string")
+    al = alias_table([(lk, ["neighborhood"])])
+    src = spark.createDataFrame(list(enumerate(listing_names)), "i int, n string")
+    out = reconcile(src, "n", al, "rec", "rid")
+    got = {r.i: r.rid for r in out.collect()}
+
+    ids = {}
+    for i, name in lookup:
+        key = py_canon(name)
+        if key:
+            ids.setdefault(key, set()).add(i)
+    want = {}
+    for i, name in enumerate(listing_names):
+        cands = ids.get(py_canon(name)) if name is not None else None
+        want[i] = next(iter(cands)) if cands and len(cands) == 1 else None
+    assert out.count() == len(listing_names)
+    assert got == want

@@ -4,6 +4,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from canon_reference import LATIN as _LATIN
+from canon_reference import py_canon as _py_canon
 from zonekit.functions.text import FOLD_FROM, FOLD_TO, basic_norm, canon
 
 
@@ -53,24 +55,6 @@ def test_canon_idempotent(spark, s):
     assert _one(spark, canon, once) == once
 
 
-# Independent reference for canon on Latin text: Unicode canonical
-# decomposition (NFD), drop combining marks, lower-case, collapse runs of
-# non-[a-z0-9] into one space. Letters with no canonical decomposition that
-# canon folds on purpose are mapped the same way here.
-_SPECIAL = {"ø": "o", "đ": "d", "ł": "l", "ħ": "h", "ı": "i", "ŧ": "t",
-            "ß": "ss", "æ": "ae", "œ": "oe", "þ": "th"}
-_LATIN = [chr(c) for c in list(range(0x20, 0x7F)) + list(range(0xC0, 0x180))
-          if unicodedata.decomposition(chr(c)) == "" or not unicodedata.decomposition(chr(c)).startswith("<")]
-
-
-def _py_canon(s: str) -> str:
-    import re
-    s = "".join(_SPECIAL.get(ch, ch) for ch in s.lower())
-    s = "".join(ch for ch in unicodedata.normalize("NFD", s) if not unicodedata.combining(ch))
-    s = "".join(_SPECIAL.get(ch, ch) for ch in s)
-    return re.sub(r"[^a-z0-9]+", " ", s).strip()
-
-
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.text(alphabet=_LATIN, max_size=25), min_size=1, max_size=20))
 def test_canon_equals_unicode_decomposition_reference(spark, texts):
