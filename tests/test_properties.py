@@ -151,3 +151,20 @@ def test_reconcile_equals_brute_force(spark, lookup, listing_names):
         want[i] = next(iter(cands)) if cands and len(cands) == 1 else None
     assert out.count() == len(listing_names)
     assert got == want
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.lists(st.one_of(st.none(), st.floats(-1e3, 1e3, allow_nan=False)),
+                                               max_size=6)), min_size=1, max_size=10))
+def test_array_mean_equals_brute_force(spark, arrays):
+    from zonekit.functions.arrays import array_mean
+
+    df = spark.createDataFrame(list(enumerate(arrays)), "i int, a array<double>")
+    got = {r.i: (r.m, r.s) for r in df.select("i", array_mean("a").alias("m"),
+                                              array_mean("a", skip_nulls=True).alias("s")).collect()}
+    for i, a in enumerate(arrays):
+        strict = None if not a or any(x is None for x in a) else sum(a) / len(a)
+        loose = _mean(a) if a else None
+        m, s = got[i]
+        assert (m is None) == (strict is None) and (m is None or abs(m - strict) < 1e-9)
+        assert (s is None) == (loose is None) and (s is None or abs(s - loose) < 1e-9)
