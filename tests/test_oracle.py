@@ -50,3 +50,12 @@ def test_every_query_has_sql_or_is_known_rows_only():
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "avg_rent" in df.columns
+
+
+def test_entry_schema_is_stable_and_callables_take_spark_and_dir(spark):
+    import inspect
+
+    assert E.entry(spark).schema == E.entry(spark).schema
+    for name, fn in E.queries().items():
+        assert list(inspect.signature(fn).parameters)[:2] == ["spark", "d"], name
+    assert set(E.oracle_sql()) <= set(E.queries())
