@@ -42,8 +42,8 @@ def start_rent_kpi_stream(listings_stream: DataFrame, out_path: str, checkpoint_
     state = rent_kpi_state(listings_stream, key)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").parquet(f"{out_path}/data/batch_id={batch_id}"))
+        # the batch id lives in the folder name (a partition column on read)
+        batch.write.mode("overwrite").parquet(f"{out_path}/data/batch_id={batch_id}")
 
     w = (state.writeStream.outputMode("update").foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint_location))
