@@ -71,3 +71,14 @@ def test_micro_batches_do_not_shuffle_the_bucketed_static_side(spark, tmp_dir):
     assert plan.count("Exchange hashpartitioning") == 2
     got = rows(rounded(current_rent_kpis(spark, os.path.join(tmp_dir, "out"))))
     assert got == rows(rounded(_batch_kpis(star.listings(spark, SF))))
+
+
+def test_current_kpis_before_the_first_batch(spark, tmp_dir):
+    li = star.table(spark, SF, "lineitem")
+    landing = os.path.join(tmp_dir, "empty")
+    os.makedirs(landing)
+    stream = spark.readStream.schema(li.schema).parquet(landing)
+    out = os.path.join(tmp_dir, "out")
+    start_rent_kpi_stream(star.listings(spark, SF, lineitem=stream), out, os.path.join(tmp_dir, "c")).awaitTermination()
+    kpis = current_rent_kpis(spark, out)
+    assert kpis.count() == 0 and kpis.columns == ["neighborhood_name", *RENT_KPIS]

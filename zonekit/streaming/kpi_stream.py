@@ -79,7 +79,13 @@ def compact_rent_kpis(spark: SparkSession, out_path: str, key: str = "neighborho
 
 
 def current_rent_kpis(spark: SparkSession, out_path: str, key: str = "neighborhood_name") -> DataFrame:
-    """The KPI table as of the last completed micro-batch."""
-    latest = _latest_state(spark, out_path, key)
+    """The KPI table as of the last completed micro-batch (empty before the
+    first batch)."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        latest = _latest_state(spark, out_path, key)
+    except AnalysisException:  # nothing written yet
+        return spark.createDataFrame([], ", ".join([f"`{key}` string"] + [f"{k} double" for k in RENT_KPIS]))
     return latest.select(key, *[F.try_divide(F.col(f"{k}__sum"), F.col(f"{k}__n")).alias(k)
                                 for k in RENT_KPIS])
