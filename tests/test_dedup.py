@@ -74,3 +74,11 @@ def test_dedup_with_map_column(spark):
     df = spark.createDataFrame([(1, 2, {"a": 1}), (1, 1, {"b": 2}), (2, 5, None)], "k int, v int, m map<string,int>")
     got = {r.k: (r.v, r.m) for r in dedup(df, "k", ["v"]).collect()}
     assert got == {1: (1, {"b": 2}), 2: (5, None)}
+
+
+def test_union_makes_mixed_text_and_number_ids_text(spark):
+    a = spark.createDataFrame([(1, "x")], "_id int, v string")
+    b = spark.createDataFrame([("1", "y"), ("Q1", "z")], "_id string, v string")
+    out = merge_by_priority([a, b], "_id")
+    assert out.schema["_id"].dataType.simpleString() == "string"
+    assert rows(out) == [("1", "x"), ("Q1", "z")]

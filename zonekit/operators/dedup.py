@@ -87,10 +87,21 @@ def union_sources(sources: Sequence[DataFrame], rename_map: dict[str, str] | Non
                   rank_col: str | None = _SRC_RANK) -> DataFrame:
     """Rename each source with ``rename_map`` (absent names ignored), tag it
     with its position and union **by name** (missing columns become null)."""
+    renamed = [s.withColumnsRenamed({k: v for k, v in rename_map.items() if k in s.columns})
+               if rename_map else s for s in sources]
+    # a column that is text in one source and not in another becomes text
+    # everywhere (ids exported as numbers by one system, as strings by
+    # another); implicit casting to the numeric side would fail on the
+    # first non-numeric value
+    types: dict[str, set] = {}
+    for s in renamed:
+        for f in s.schema.fields:
+            types.setdefault(f.name, set()).add(f.dataType)
+    to_text = {c for c, ts in types.items() if len(ts) > 1 and T.StringType() in ts}
     out = None
-    for i, s in enumerate(sources):
-        if rename_map:
-            s = s.withColumnsRenamed({k: v for k, v in rename_map.items() if k in s.columns})
+    for i, s in enumerate(renamed):
+        if to_text & set(s.columns):
+            s = s.withColumns({c: F.col(f"`{c}`").cast("string") for c in to_text if c in s.columns})
         if rank_col:
             s = s.withColumn(rank_col, F.lit(i))
         out = s if out is None else out.unionByName(s, allowMissingColumns=True)
