@@ -102,3 +102,12 @@ def test_conform_by_name_for_any_field_order(spark, order, drop_at, n_rows):
     for i in range(n_rows):
         want = {"year": 2000 + i, "pop": 10 * i, "RFD": i + 0.5, "label": f"n{i}", "ok": bool(i % 2)}
         assert got[i] == {n: (v if n in names else None) for n, v in want.items()}
+
+
+def test_rename_refuses_to_create_duplicate_names(spark):
+    df = spark.createDataFrame([(1, "a", "b")], "_id int, neighborhood string, neighborhood_name string")
+    with pytest.raises(ValueError):
+        rename_columns(df, {"neighborhood": "neighborhood_name"})
+    # swapping two names is fine
+    out, _ = rename_columns(df, {"neighborhood": "neighborhood_name", "neighborhood_name": "neighborhood"})
+    assert out.first().neighborhood == "b"

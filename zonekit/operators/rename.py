@@ -24,7 +24,12 @@ def rename_columns(df: DataFrame, mapping: dict[str, str]) -> tuple[DataFrame, l
             nested[old] = new
         else:
             missing.append(old)
-    out = df.withColumnsRenamed(actual) if actual else df
+    clash = [new for old, new in actual.items() if new in df.columns and new not in actual]
+    if clash:
+        raise ValueError(f"rename_columns: target column(s) already exist: {clash}")
+    # one projection: all renames apply at once (a swap of two names works)
+    out = (df.select(*[F.col(f"`{c}`").alias(actual.get(c, c)) for c in df.columns])
+           if actual else df)
     for path, new in nested.items():
         top, *rest = path.split(".")
         out = rename_nested(out, actual.get(top, top), {".".join(rest): new})
