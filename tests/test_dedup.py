@@ -82,3 +82,10 @@ def test_union_makes_mixed_text_and_number_ids_text(spark):
     out = merge_by_priority([a, b], "_id")
     assert out.schema["_id"].dataType.simpleString() == "string"
     assert rows(out) == [("1", "x"), ("Q1", "z")]
+
+
+def test_union_with_both_short_and_long_names(spark):
+    a = spark.createDataFrame([(1, None, "short")], "_id int, neighborhood string, ne string")
+    b = spark.createDataFrame([(2, "long")], "_id int, neighborhood string")
+    u = union_sources([a, b], {"ne": "neighborhood"}, rank_col=None)
+    assert u.columns == ["_id", "neighborhood"] and rows(u) == [(1, "short"), (2, "long")]

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from zonekit.operators.rename import merge_synonyms
+
 _SRC_RANK = "_src_rank"
 
 
@@ -85,10 +87,10 @@ def dedup(df: DataFrame, keys: str | Sequence[str], order_by: str | Sequence[str
 
 def union_sources(sources: Sequence[DataFrame], rename_map: dict[str, str] | None = None,
                   rank_col: str | None = _SRC_RANK) -> DataFrame:
-    """Rename each source with ``rename_map`` (absent names ignored), tag it
-    with its position and union **by name** (missing columns become null)."""
-    renamed = [s.withColumnsRenamed({k: v for k, v in rename_map.items() if k in s.columns})
-               if rename_map else s for s in sources]
+    """Rename each source with ``rename_map`` (absent names ignored; when a
+    source has both names, the values are coalesced), tag it with its
+    position and union **by name** (missing columns become null)."""
+    renamed = [merge_synonyms(s, rename_map) if rename_map else s for s in sources]
     # a column that is text in one source and not in another becomes text
     # everywhere (ids exported as numbers by one system, as strings by
     # another); implicit casting to the numeric side would fail on the
