@@ -45,6 +45,10 @@ def build_session(master: str | None = None, app_name: str = "zonekit",
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    if not spark.sparkContext.master.startswith("local"):
+        # on a shared cluster, coalesce shuffle output to the advisory size
+        # (128 MB) instead of maximising the number of small tasks
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
     ensure_checkpoint_dir(spark)
     return spark
 
