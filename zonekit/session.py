@@ -24,6 +24,9 @@ SCALE_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
+    # the tree learner shuffles RDDs of JVM objects: Kryo is the compact,
+    # faster serializer for those (DataFrame operators are unaffected)
+    "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     # remove reliable-checkpoint files once their DataFrame is unreachable
