@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonekit.llm import bpe_codec, chat_format, language_id, mixing, quality, secret_scan, token_files
+from zonekit.llm import bpe_codec, chat_format, jaccard_join, language_id, lsh_forest, mixing, quality, secret_scan, token_files
 from zonekit.llm.common import scratch, stored, table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -46,6 +46,11 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(sized, sources).select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = jaccard_join.link_components(table(spark, sf_dir, "documents"), k=3, percent=90)
+    return linked.select("doc_id", "n_shingles", "component_id")
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = F.lit("\\### Assistant: </turn> ok")
     extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
@@ -74,8 +79,13 @@ def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.round_trip_digests(table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
 
 
+def op10_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_files, op2_secret_scan, op3_language_id, op4_source_mix, op6_chat_format, op8_quality, op9_bpe_codec)}
+    return {f.__name__: f for f in (op1_token_files, op2_secret_scan, op3_language_id, op4_source_mix, op5_ngram_jaccard,
+                                     op6_chat_format, op8_quality, op9_bpe_codec, op10_hash_forest)}
 
 
 def oracle_sql() -> dict[str, str]:
