@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonekit.llm import bpe_codec, chat_format, jaccard_join, language_id, lsh_forest, mixing, quality, secret_scan, token_files
+from zonekit.llm import bpe_codec, chat_format, jaccard_join, language_id, lsh_forest, mixing, quality, repeats, secret_scan, token_files
 from zonekit.llm.common import scratch, stored, table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -69,6 +69,11 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.sha2(replies, 256).alias("loss_sha256"), "formatted_chars")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.remove_repeats(table(spark, sf_dir, "documents"), span=200)
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     scored = quality.quality(docs, labels, carry=["doc_id"])
@@ -85,7 +90,7 @@ def op10_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_token_files, op2_secret_scan, op3_language_id, op4_source_mix, op5_ngram_jaccard,
-                                     op6_chat_format, op8_quality, op9_bpe_codec, op10_hash_forest)}
+                                     op6_chat_format, op7_suffix_dedup, op8_quality, op9_bpe_codec, op10_hash_forest)}
 
 
 def oracle_sql() -> dict[str, str]:
