@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,8 +90,9 @@ def op10_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_files, op2_secret_scan, op3_language_id, op4_source_mix, op5_ngram_jaccard,
-                                     op6_chat_format, op7_suffix_dedup, op8_quality, op9_bpe_codec, op10_hash_forest)}
+    numbered = (op1_token_files, op2_secret_scan, op3_language_id, op4_source_mix, op5_ngram_jaccard, op6_chat_format,
+                op7_suffix_dedup, op8_quality, op9_bpe_codec, op10_hash_forest)
+    return {f.__name__: f for f in numbered} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
