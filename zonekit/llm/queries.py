@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from zonekit.llm import bpe_codec, chat_format, jaccard_join, language_id, lsh_forest, mixing, quality, repeats, secret_scan, token_files
 from zonekit.llm.common import scratch, stored, table
+from zonekit.llm.oracle import oracle_sql  # noqa: F401
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 WORD_VOCABULARY = 49408
@@ -93,7 +94,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     numbered = (op1_token_files, op2_secret_scan, op3_language_id, op4_source_mix, op5_ngram_jaccard, op6_chat_format,
                 op7_suffix_dedup, op8_quality, op9_bpe_codec, op10_hash_forest)
     return {f.__name__: f for f in numbered} | {"pipeline": corpus_pipeline.run}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
