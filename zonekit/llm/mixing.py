@@ -40,10 +40,16 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
+def hashed_order(key: Column, seed: int = 7) -> Column:
+    """A shuffled order of the keys: 60 bits of a digest (any engine can compute it)."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(key.cast("string"), F.lit(""))).cast("binary"))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+
+
 def sizes(docs: DataFrame, key: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7) -> DataFrame:
     """Slim stored table ``(row, key, source, size, order)``; ``row`` tells equal rows apart."""
     slim = docs.select(F.col(key).alias("key"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
-    slim = slim.withColumn("order", F.xxhash64(F.lit(seed), "key", "size")).withColumn("row", F.monotonically_increasing_id())
+    slim = slim.withColumn("order", hashed_order(F.col("key"), seed)).withColumn("row", F.monotonically_increasing_id())
     return stored(slim, "mix-sizes")
 
 
@@ -93,7 +99,7 @@ def schedule(sources: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
 
 def pieces(sized: DataFrame, sources: DataFrame, block_words: int = BLOCK_WORDS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """What lies in each block: ``(idx, block, row, key, epoch, from_word, to_word)``."""
-    docs = sized.where("size > 0").withColumn("bucket", F.shiftrightunsigned("order", 52))
+    docs = sized.where("size > 0").withColumn("bucket", F.shiftright("order", 48))
     docs = docs.join(sources, sized["source"].eqNullSafe(sources["source"])).select("row", "key", "size", "order", "bucket", "idx", "source_size", "target")
     earlier = Window.partitionBy("idx").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = docs.groupBy("idx", "bucket").agg(F.sum("size").alias("n")).withColumn("base", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
@@ -127,7 +133,7 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", text_col: str = "text"
     before each word stays). Documents not taken are left out."""
     docs = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-documents")
     slim = stored(docs.select(F.col("__row").alias("row"), F.col(key).alias("key"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
-                  .withColumn("order", F.xxhash64(F.lit(7), "key", "size")), "mix-sizes")
+                  .withColumn("order", hashed_order(F.col("key"))), "mix-sizes")
     sources = stored(targets(slim, weights, max_epochs), "mix-sources")
     mix = mixture(slim, sources, block_words, max_epochs)
     times = mix.groupBy("row", "epoch").agg(F.max("to_word").alias("__to"))
