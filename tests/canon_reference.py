@@ -3,10 +3,10 @@
 import re
 import unicodedata
 
-# Independent reference for canon on Latin text: Unicode canonical
-# decomposition (NFD), drop combining marks, lower-case, collapse runs of
-# non-[a-z0-9] into one space. Letters with no canonical decomposition that
-# canon folds on purpose are mapped the same way here.
+# Independent reference for canon: Unicode canonical decomposition (NFD) of
+# Latin letters, drop combining diacritical marks, lower-case, collapse runs of
+# what is no letter, mark or digit of any script into one space. Letters with no
+# canonical decomposition that canon folds on purpose are mapped the same way here.
 SPECIAL = {"ø": "o", "đ": "d", "ł": "l", "ħ": "h", "ı": "i", "ŧ": "t",
            "ß": "ss", "æ": "ae", "œ": "oe", "þ": "th"}
 LATIN = [chr(c) for c in list(range(0x20, 0x7F)) + list(range(0xC0, 0x180))
@@ -15,6 +15,8 @@ LATIN = [chr(c) for c in list(range(0x20, 0x7F)) + list(range(0xC0, 0x180))
 
 def py_canon(s: str) -> str:
     s = "".join(SPECIAL.get(ch, ch) for ch in s.lower())
-    s = "".join(ch for ch in unicodedata.normalize("NFD", s) if not unicodedata.combining(ch))
+    s = "".join(unicodedata.normalize("NFD", ch) if ch < "\u0250" else ch for ch in s)
+    s = "".join(ch for ch in s if not "\u0300" <= ch <= "\u036f")
     s = "".join(SPECIAL.get(ch, ch) for ch in s)
-    return re.sub(r"[^a-z0-9]+", " ", s).strip()
+    s = "".join(ch if unicodedata.category(ch)[0] in "LMN" else " " for ch in s)
+    return re.sub(" +", " ", s).strip()

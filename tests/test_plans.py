@@ -1,18 +1,24 @@
-"""Physical-plan properties that matter at scale."""
+"""Physical-plan properties that matter at scale, on executed plans."""
 
+from pyspark.sql import functions as F
+
+from zonekit.operators.dedup import upsert
 from zonekit.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 
 
-def _plan(df):
-    df.write.format("noop").mode("overwrite").save()  # final adaptive plan
-    return df._jdf.queryExecution().executedPlan().toString()
+def _executed(df):
+    """The plan that ran: execute this very frame, after which its adaptive plan is final."""
+    query = df._jdf.queryExecution()
+    query.toRdd().count()
+    text = query.executedPlan().toString()
+    assert "AdaptiveSparkPlan" not in text or "isFinalPlan=true" in text
+    return text.split("+- == Initial Plan ==")[0]
 
 
 def test_scans_are_pruned_and_filters_pushed(spark):
-    df = catalog.q_filter_project_orders(spark, SF)
-    text = df._jdf.queryExecution().executedPlan().toString()
+    text = _executed(catalog.q_filter_project_orders(spark, SF))
     assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,F)" in text
     # dropna() over all selected columns still needs o_custkey; the order
     # date is never read
@@ -21,22 +27,30 @@ def test_scans_are_pruned_and_filters_pushed(spark):
 
 
 def test_kpi_reads_only_needed_lineitem_columns(spark):
-    text = catalog.q_kpi_table(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    text = _executed(catalog.q_kpi_table(spark, SF))
     assert "l_returnflag" not in text and "l_linestatus" not in text
 
 
-def test_reconcile_broadcasts_alias_tables_and_never_fans_out(spark):
+def test_small_alias_tables_are_broadcast_from_measured_size(spark):
     df = catalog.q_reconcile_listings(spark, SF)
-    text = _plan(df)
-    assert text.count("BroadcastHashJoin") >= 2
+    assert _executed(df).count("BroadcastHashJoin") >= 2
     assert df.count() == catalog.q_dedup_listings(spark, SF).count()
 
 
 def test_feature_table_is_inner_and_broadcast(spark):
-    text = _plan(catalog.q_feature_table(spark, SF))
+    text = _executed(catalog.q_feature_table(spark, SF))
     assert "LeftOuter" not in text and "BroadcastHashJoin" in text
 
 
 def test_dedup_has_partial_aggregation(spark):
-    text = catalog.q_dedup_listings(spark, SF)._jdf.queryExecution().executedPlan().toString()
-    assert "partial_min" in text
+    assert "partial_min" in _executed(catalog.q_dedup_listings(spark, SF))
+
+
+def test_upsert_of_few_rows_leaves_the_stored_side_in_place(spark, tmp_dir):
+    spark.range(50000).select(F.col("id").alias("k"), F.lit("old").alias("v")).write.parquet(f"{tmp_dir}/stored")
+    stored = spark.read.parquet(f"{tmp_dir}/stored")
+    incoming = spark.createDataFrame([(7, "new"), (7, "never"), (60000, "new")], "k long, v string")
+    out = upsert(stored, incoming, "k")
+    text = _executed(out)
+    assert "BroadcastHashJoin" in text and "LeftAnti" in text and "SortMergeJoin" not in text
+    assert out.count() == 50001 and out.where("v = 'new'").count() == 1 and out.where("k = 7").first().v == "never"

@@ -27,7 +27,7 @@ def test_stream_updates_incrementally_and_resumes(spark, tmp_dir):
     def run():
         stream = (spark.readStream.schema(li.schema).option("recursiveFileLookup", "true")
                   .parquet(landing))
-        q = start_rent_kpi_stream(star.listings(spark, SF, lineitem=stream), out, ckpt)
+        q = start_rent_kpi_stream(stream, out, ckpt, prepare=lambda batch: star.listings(spark, SF, lineitem=batch))
         q.awaitTermination()
         return q
 
@@ -37,12 +37,16 @@ def test_stream_updates_incrementally_and_resumes(spark, tmp_dir):
     # snapshot the state; the next read combines it with newer batches only
     upto = compact_rent_kpis(spark, out)
     assert rows(rounded(current_rent_kpis(spark, out))) == got1
+    assert not [x for x in os.listdir(os.path.join(out, "data")) if x.startswith("batch_id=")]
 
     second.write.parquet(os.path.join(landing, "part=2"))
     q = run()
     got2 = rows(rounded(current_rent_kpis(spark, out)))
     assert got2 == rows(rounded(_batch_kpis(star.listings(spark, SF))))
     assert upto is not None
+    again = compact_rent_kpis(spark, out)
+    assert again > upto and [x for x in os.listdir(os.path.join(out, "snapshots")) if "=" in x] == [f"upto={again}"]
+    assert compact_rent_kpis(spark, out) == again and rows(rounded(current_rent_kpis(spark, out))) == got2
     # the second run read exactly the new files
     assert sum(p["numInputRows"] for p in q.recentProgress) == second.count()
 
@@ -53,24 +57,24 @@ def test_state_is_one_row_per_key(spark):
     assert st.count() == lst.select("neighborhood_name").distinct().count()
 
 
-def test_micro_batches_do_not_shuffle_the_bucketed_static_side(spark, tmp_dir):
-    from zonekit.sinks.writers import write_bucketed_table
-
+def test_micro_batches_join_adaptively_and_split_a_hot_supplier(spark, tmp_dir):
     li = star.table(spark, SF, "lineitem")
+    hot = li.withColumn("l_suppkey", F.when(F.col("l_linenumber") > 1, li.select(F.min("l_suppkey")).first()[0]).otherwise(F.col("l_suppkey")))
     landing = os.path.join(tmp_dir, "landing")
-    li.write.parquet(os.path.join(landing, "part=1"))
-    places = write_bucketed_table(star.supplier_places(spark, SF), "s_suppkey",
-                                  os.path.join(tmp_dir, "places"), "test_supplier_places")
+    hot.write.parquet(os.path.join(landing, "part=1"))
     stream = spark.readStream.schema(li.schema).option("recursiveFileLookup", "true").parquet(landing)
-    lst = star.listings(spark, SF, lineitem=stream, places_of_suppliers=places)
-    q = start_rent_kpi_stream(lst, os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ckpt"))
-    q.awaitTermination()
-    plan = q._jsq.explainInternal(False)  # what StreamingQuery.explain() prints
-    assert "Bucketed: true" in plan
-    # one exchange for the join (stream side) and one for the aggregation
-    assert plan.count("Exchange hashpartitioning") == 2
+    seen = []
+
+    def prepare(batch):
+        seen.append(batch.sparkSession.conf.get("spark.sql.adaptive.enabled"))
+        return star.listings(spark, SF, lineitem=batch)
+
+    tables = len(spark.catalog.listTables())
+    start_rent_kpi_stream(stream, os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ckpt"), prepare=prepare).awaitTermination()
+    assert seen and set(seen) == {"true"}
+    assert len(spark.catalog.listTables()) == tables
     got = rows(rounded(current_rent_kpis(spark, os.path.join(tmp_dir, "out"))))
-    assert got == rows(rounded(_batch_kpis(star.listings(spark, SF))))
+    assert got == rows(rounded(_batch_kpis(star.listings(spark, SF, lineitem=hot))))
 
 
 def test_current_kpis_before_the_first_batch(spark, tmp_dir):
@@ -79,6 +83,8 @@ def test_current_kpis_before_the_first_batch(spark, tmp_dir):
     os.makedirs(landing)
     stream = spark.readStream.schema(li.schema).parquet(landing)
     out = os.path.join(tmp_dir, "out")
-    start_rent_kpi_stream(star.listings(spark, SF, lineitem=stream), out, os.path.join(tmp_dir, "c")).awaitTermination()
+    start_rent_kpi_stream(stream, out, os.path.join(tmp_dir, "c"),
+                          prepare=lambda batch: star.listings(spark, SF, lineitem=batch)).awaitTermination()
+    assert compact_rent_kpis(spark, out) is None
     kpis = current_rent_kpis(spark, out)
     assert kpis.count() == 0 and kpis.columns == ["neighborhood_name", *RENT_KPIS]

@@ -4,13 +4,15 @@ import json
 import os
 import unicodedata
 
+import pytest
+
 from zonekit.plans.zones import ZoneConfig, read_landing, run_zones
 
 
 def _listing(code, nb, district, price, size, **kw):
     base = {"propertyCode": code, "neighborhood": nb, "district_name": district, "price": price,
             "size": size, "priceByArea": price / size, "latitude": 41.38, "longitude": 2.17,
-            "municipality": "Barcelona", "rooms": 2, "bathrooms": 1, "floor": 3, "numPhotos": 10,
+            "municipality": "Altaport", "rooms": 2, "bathrooms": 1, "floor": 3, "numPhotos": 10,
             "exterior": True, "has360": False, "has3DTour": False, "hasLift": True, "hasPlan": False,
             "hasStaging": False, "hasVideo": False}
     base.update(kw)
@@ -25,46 +27,46 @@ def _jl(path, docs):
 
 
 def _landing(d):
-    nfd = unicodedata.normalize("NFD", "Sants-Montjuïc")
+    nfd = unicodedata.normalize("NFD", "Vall-Llençol")
     rentals = [
         {"_id": "2020_01_01", "value": [
-            _listing("p1", "el Raval", "Ciutat Vella", 1000.0, 50.0),
-            _listing("p2", "Hostafrancs", nfd, 800.0, 40.0),
-            _listing("p3", "el Raval", "ciutat vella", 1200.0, 60.0, exterior=False)]},
+            _listing("p1", "el Moll", "Part Antiga", 1000.0, 50.0),
+            _listing("p2", "Tresponts", nfd, 800.0, 40.0),
+            _listing("p3", "el Moll", "part antiga", 1200.0, 60.0, exterior=False)]},
         {"_id": "2020_02_01", "value": [
-            _listing("p1", "El Raval", "Ciutat Vella", 1100.0, 50.0),  # newer copy of p1
-            _listing("p4", "HOSTAFRANCS", "Sants - Montjuïc", 900.0, 45.0, hasLift=False)]},
+            _listing("p1", "El Moll", "Part Antiga", 1100.0, 50.0),  # newer copy of p1
+            _listing("p4", "TRESPONTS", "Vall - Llençol", 900.0, 45.0, hasLift=False)]},
         {"_id": "2020_02_01", "value": [  # duplicate batch document
-            _listing("p1", "El Raval", "Ciutat Vella", 1100.0, 50.0),
-            _listing("p4", "HOSTAFRANCS", "Sants - Montjuïc", 900.0, 45.0, hasLift=False)]},
+            _listing("p1", "El Moll", "Part Antiga", 1100.0, 50.0),
+            _listing("p4", "TRESPONTS", "Vall - Llençol", 900.0, 45.0, hasLift=False)]},
     ]
     income = [
-        {"_id": 1, "neigh_name ": "el Raval", "district_id": 1, "district_name": "Ciutat Vella",
+        {"_id": 1, "neigh_name ": "el Moll", "district_id": 1, "district_name": "Part Antiga",
          "info": [{"year": 2017, "pop": 100, "RFD": 60.0}, {"year": 2018, "pop": 110, "RFD": 80.0}]},
-        {"_id": 2, "neigh_name ": "Hostafrancs", "district_id": 3, "district_name": "Sants-Montjuïc",
+        {"_id": 2, "neigh_name ": "Tresponts", "district_id": 3, "district_name": "Vall-Llençol",
          "info": [{"year": 2017, "pop": 50, "RFD": 90.0}]},
-        {"_id": 2, "neigh_name ": "Hostafrancs", "district_id": 3, "district_name": "Sants-Montjuïc",
+        {"_id": 2, "neigh_name ": "Tresponts", "district_id": 3, "district_name": "Vall-Llençol",
          "info": [{"year": 2017, "pop": 50, "RFD": 90.0}]},
     ]
     density = [
-        {"_id": "1", "neigh_name ": "el Raval", "district_id": "1", "district_name": "Ciutat Vella",
+        {"_id": "1", "neigh_name ": "el Moll", "district_id": "1", "district_name": "Part Antiga",
          "info": [{"year": 2017, "population": 100.0, "density(inh/ha)": 400.0, "net_density (inh/ha)": 800.0}]},
-        {"_id": "2", "neigh_name ": "hostafrancs", "district_id": "3", "district_name": "Sants-Montjuïc",
+        {"_id": "2", "neigh_name ": "tresponts", "district_id": "3", "district_name": "Vall-Llençol",
          "info": [{"year": 2017, "population": 50.0, "density(inh/ha)": 200.0, "net_density (inh/ha)": 300.0}]},
     ]
     dl = [
-        [{"_id": "D1", "district": "Ciutat Vella", "district_name": "ciutat vella",
-          "district_reconciled": "Ciutat Vella", "neighborhood_id": ["N1"]}],
-        [{"_id": "D3", "di": "Sants-Montjuïc", "di_n": "sants montjuic", "di_re": "Sants-Montjuïc",
+        [{"_id": "D1", "district": "Part Antiga", "district_name": "part antiga",
+          "district_reconciled": "Part Antiga", "neighborhood_id": ["N1"]}],
+        [{"_id": "D3", "di": "Vall-Llençol", "di_n": "vall llencol", "di_re": "Vall-Llençol",
           "ne_id": ["N2"]}],
-        [{"_id": "D3", "di": "Sants-Montjuïc", "di_n": "sants-montjuic", "di_re": "Sants Montjuic",
+        [{"_id": "D3", "di": "Vall-Llençol", "di_n": "vall-llencol", "di_re": "Vall Llencol",
           "ne_id": ["N2"]}],
     ]
     nl = [
-        [{"_id": "N1", "neighborhood": "el Raval", "neighborhood_name": "el raval",
-          "neighborhood_reconciled": "El Raval"}],
-        [{"_id": "N2", "ne": "Hostafrancs", "ne_n": "hostafrancs", "ne_re": "Hostafrancs"}],
-        [{"_id": "N1", "ne": "el Raval", "ne_n": "el raval", "ne_re": "Raval, el"}],
+        [{"_id": "N1", "neighborhood": "el Moll", "neighborhood_name": "el moll",
+          "neighborhood_reconciled": "El Moll"}],
+        [{"_id": "N2", "ne": "Tresponts", "ne_n": "tresponts", "ne_re": "Tresponts"}],
+        [{"_id": "N1", "ne": "el Moll", "ne_n": "el moll", "ne_re": "Moll, el"}],
     ]
     return dict(
         rentals=_jl(f"{d}/rentals.json", rentals), income=_jl(f"{d}/income.json", income),
@@ -83,17 +85,17 @@ def test_run_zones_end_to_end(spark, tmp_dir):
     lst = {r.propertyCode: r for r in spark.read.parquet(out["rentals_reconciled"]).collect()}
     assert set(lst) == {"p1", "p2", "p3", "p4"}
     assert lst["p1"].price == 1100.0 and lst["p1"]._id == "2020_02_01"   # latest batch wins
-    assert lst["p2"].district_reconciled == "Sants-Montjuïc"             # NFD spelling matched
-    assert lst["p4"].neigh_name_reconciled == "Hostafrancs" and lst["p4"].district_lookup_id == "D3"
-    assert lst["p3"].neigh_name_reconciled == "El Raval"                 # priority display name
+    assert lst["p2"].district_reconciled == "Vall-Llençol"             # NFD spelling matched
+    assert lst["p4"].neigh_name_reconciled == "Tresponts" and lst["p4"].district_lookup_id == "D3"
+    assert lst["p3"].neigh_name_reconciled == "El Moll"                 # priority display name
 
     inc = spark.read.parquet(out["income_reconciled"])
     assert inc.count() == 2 and "neighborhood_name" in inc.columns
 
     k = {r.neigh_name_reconciled: r for r in spark.read.parquet(out["kpis"]).collect()}
-    assert set(k) == {"El Raval", "Hostafrancs"}
-    assert k["El Raval"].avg_rent == (1100.0 + 1200.0) / 2 and k["El Raval"].avg_income == 70.0
-    assert k["Hostafrancs"].avg_density == 200.0 and k["Hostafrancs"].avg_income == 90.0
+    assert set(k) == {"El Moll", "Tresponts"}
+    assert k["El Moll"].avg_rent == (1100.0 + 1200.0) / 2 and k["El Moll"].avg_income == 70.0
+    assert k["Tresponts"].avg_density == 200.0 and k["Tresponts"].avg_income == 90.0
 
     mt = spark.read.parquet(out["model_table"])
     assert mt.count() == 4
@@ -115,9 +117,9 @@ def test_run_zones_basic_mode_leaves_unmatched_spellings(spark, tmp_dir):
     lst = {r.propertyCode: r for r in spark.read.parquet(out["rentals_reconciled"]).collect()}
     # the reference's lower-case + combining-mark strip matches plain
     # case differences only: punctuation and precomposed accents stay apart
-    assert lst["p1"].district_reconciled == "Ciutat Vella"
-    assert lst["p3"].district_reconciled == "Ciutat Vella"
-    assert lst["p2"].district_reconciled is None      # 'sants-montjuic' vs 'sants montjuic'
+    assert lst["p1"].district_reconciled == "Part Antiga"
+    assert lst["p3"].district_reconciled == "Part Antiga"
+    assert lst["p2"].district_reconciled is None      # 'vall-llencol' vs 'vall llencol'
     assert lst["p4"].district_reconciled is None
 
 
@@ -156,7 +158,7 @@ def test_flat_listings_and_reuse_of_formatted_zone(spark, tmp_dir):
     assert spark.read.parquet(out["alias_district"]).count() > 0
     again = run_zones(spark, None, ZoneConfig(root=root, steps=("kpis",)))
     k = {r.neigh_name_reconciled: r.avg_rent for r in spark.read.parquet(again["kpis"]).collect()}
-    assert k["El Raval"] == (1100.0 + 1200.0) / 2
+    assert k["El Moll"] == (1100.0 + 1200.0) / 2
 
 
 def test_kpis_keyed_by_reconciled_id(spark, tmp_dir):
@@ -205,4 +207,40 @@ def test_landing_sources_as_format_specs(spark, tmp_dir):
     assert inputs.income.count() == 3
     out = run_zones(spark, inputs, ZoneConfig(root=os.path.join(tmp_dir, "zs"), steps=("formatted", "kpis")))
     k = {r.neigh_name_reconciled: r.avg_income for r in spark.read.parquet(out["kpis"]).collect()}
-    assert k["El Raval"] == 70.0
+    assert k["El Moll"] == 70.0
+
+
+def test_flat_json_listings_land(spark, tmp_dir):
+    land = _landing(tmp_dir)
+    docs = [json.loads(line) for line in open(land["rentals"], encoding="utf-8")]
+    land["rentals"] = _jl(f"{tmp_dir}/flat.json", [{"_id": d["_id"], **v} for d in docs for v in d["value"]])
+    out = run_zones(spark, read_landing(spark, **land), ZoneConfig(root=os.path.join(tmp_dir, "zj"), steps=("formatted",)))
+    assert sorted(r.propertyCode for r in spark.read.parquet(out["rentals_reconciled"]).collect()) == ["p1", "p2", "p3", "p4"]
+
+
+def test_listings_without_code_all_stay(spark, tmp_dir):
+    land = _landing(tmp_dir)
+    with open(land["rentals"], "a", encoding="utf-8") as f:
+        for d in ({"_id": "2020_03_01", "value": [_listing(None, "el Moll", "Part Antiga", p, 50.0) for p in (1.0, 1.0, 2.0)]},
+                  {"value": [_listing(None, "el Moll", "Part Antiga", 3.0, 50.0)]}, {"value": [_listing("p9", "el Moll", "Part Antiga", 3.0, 50.0)]}):
+            f.write(json.dumps(d) + "\n")
+    out = run_zones(spark, read_landing(spark, **land), ZoneConfig(root=os.path.join(tmp_dir, "zn"), steps=("formatted",)))
+    lst = spark.read.parquet(out["rentals_reconciled"])
+    assert lst.where("propertyCode is null").count() == 4
+    assert lst.where("propertyCode = 'p9'").count() == 1
+
+
+def test_newest_batch_by_a_given_column(spark, tmp_dir):
+    inputs = read_landing(spark, **_landing(tmp_dir))
+    # ids that do not sort in time; a column says when
+    raw = spark.createDataFrame([("zz", 1, [("p1", 10.0)]), ("aa", 2, [("p1", 20.0)])], "_id string, loaded int, value array<struct<propertyCode:string,price:double>>")
+    inputs.rentals = raw
+    out = run_zones(spark, inputs, ZoneConfig(root=os.path.join(tmp_dir, "zo"), steps=("formatted",), batch_order="loaded"))
+    assert [r.price for r in spark.read.parquet(out["rentals_reconciled"]).collect()] == [20.0]
+
+
+def test_missing_name_column_fails(spark, tmp_dir):
+    inputs = read_landing(spark, **_landing(tmp_dir))
+    inputs.income = inputs.income.drop("neigh_name ")
+    with pytest.raises(ValueError, match="neigh_name"):
+        run_zones(spark, inputs, ZoneConfig(root=os.path.join(tmp_dir, "zm"), steps=("formatted",)))

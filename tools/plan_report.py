@@ -13,7 +13,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from zonekit.plans import catalog  # noqa: E402
 from zonekit.session import build_session  # noqa: E402
 
 MULTI_JOB = {"zones_kpis": "whole job; each published table is its own job",
@@ -51,10 +51,14 @@ def main() -> None:
     print("| query | hash shuffles | range shuffles | broadcasts | SMJ | BHJ | aggregates | scans |")
     print("|---|---|---|---|---|---|---|---|")
     notes = []
-    for name, fn in E.queries().items():
+    for name, fn in catalog.queries().items():
         df = fn(spark, sf)
-        df.write.format("noop").mode("overwrite").save()
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        query = df._jdf.queryExecution()
+        query.toRdd().count()  # executes this very frame: its adaptive plan is final afterwards
+        plan = query.executedPlan().toString()
+        if "AdaptiveSparkPlan" in plan and "isFinalPlan=true" not in plan:
+            raise RuntimeError(f"{name}: the plan is not final")
+        plan = plan.split("+- == Initial Plan ==")[0]
         s = summarise(plan)
         if name in MULTI_JOB:
             s["scans"] = "see notes"

@@ -6,8 +6,8 @@ Two levels:
   then lower-case. On NFC text (precomposed letters) it leaves accents in.
 * ``canon`` - accent, case and punctuation insensitive key: lower-case,
   strip combining marks, fold precomposed Latin letters to their base
-  letter, collapse every run of characters outside ``[a-z0-9]`` into one
-  space, trim.
+  letter, collapse every run of characters that are no letter, mark or
+  digit (of any script) into one space, trim.
 
 Both are plain built-in expressions (``lower``/``translate``/
 ``regexp_replace``/``trim``) so they stay inside whole-stage codegen; the
@@ -33,7 +33,7 @@ _EXTRA_FOLDS = {"ø": "o", "đ": "d", "ł": "l", "ħ": "h", "ı": "i", "ŧ": "t"
 _MULTI_FOLDS = {"ß": "ss", "æ": "ae", "œ": "oe", "þ": "th"}
 
 # Everything outside this class becomes a single space in ``canon``.
-NON_ALNUM_RUN = "[^a-z0-9]+"
+NON_ALNUM_RUN = r"[^\p{L}\p{M}\p{N}]+"
 
 
 def _build_fold_table(first: int = 0x00C0, last: int = 0x024F) -> tuple[str, str]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,13 +11,18 @@ from pyspark.sql import types as T
 from zonekit.functions.casting import _find_field, conform_column
 
 
-def conform(df: DataFrame, schema: T.StructType, keep_extra: bool = False) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType, keep_extra: bool = False,
+            required: Sequence[str] = ()) -> DataFrame:
     """Every declared field that exists in ``df`` (matched by name, also
     through nested structs and arrays) is converted with ``try_cast``;
     declared fields that are absent become typed nulls; undeclared columns
     are dropped unless ``keep_extra``. Unlike a per-column loop, all casts
     apply, and unlike ``Column.cast`` on structs, nothing is matched by
-    position."""
+    position. Names in ``required`` (keys) must be there: their absence is
+    an error, not a column of nulls."""
+    absent = [c for c in required if _find_field(df.schema, c) is None]
+    if absent:
+        raise ValueError(f"conform: required columns {absent} are not among {df.columns}")
     cols = []
     used = set()
     for tf in schema.fields:

@@ -126,7 +126,16 @@ def merge_by_priority(sources: Sequence[DataFrame], keys: str | Sequence[str],
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys: str | Sequence[str],
            order_by: str | Sequence[str] | None = None) -> DataFrame:
-    """Replace-by-key: rows of ``incoming`` win over rows of ``existing``
-    with the same key; keys only in ``existing`` are kept. The result is a
-    new DataFrame - write it to a fresh path, never over its own input."""
-    return merge_by_priority([incoming, existing], keys, order_by=order_by)
+    """Replace-by-key: rows of ``incoming`` (one per key: the first by
+    ``order_by``, then by the whole row) win over rows of ``existing`` with the
+    same key; other rows of ``existing`` are kept as they are. Columns are matched
+    by name. The stored side is only anti-joined with the incoming keys: when those
+    are few, adaptive execution broadcasts them and it is not shuffled. The result
+    is a new DataFrame - write it to a fresh path, never over its own input."""
+    keys = _as_list(keys)
+    fresh = dedup(incoming, keys, order_by)
+    replaced = fresh.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
+    same = F.lit(True)
+    for k in keys:  # null keys are keys too
+        same = same & F.col(k).eqNullSafe(F.col(f"_new_{k}"))
+    return fresh.unionByName(existing.join(replaced, same, "left_anti"), allowMissingColumns=True)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonekit.session import cut_lineage
@@ -12,9 +12,17 @@ from zonekit.session import cut_lineage
 STRATEGIES = ("none", "constant", "mean", "median", "random")
 
 
+def random_fill(key: Sequence[str], column: str, seed: int, scale: float) -> Column:
+    """Uniform number in [0, scale) from seed, column name and row key."""
+    text = F.concat_ws("|", F.lit(str(seed)), F.lit(column), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key])
+    digits = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("double")
+    return digits / F.lit(float(1 << 32)) * F.lit(float(scale))
+
+
 def impute(df: DataFrame, cols: Sequence[str], strategy: str = "none", value: float | None = None,
            seed: int | None = None, scale: float = 1000.0, flag_suffix: str = "_imputed",
-           median_accuracy: int = 10000, materialize: bool = False) -> DataFrame:
+           median_accuracy: int = 10000, materialize: bool = False,
+           key: Sequence[str] = ()) -> DataFrame:
     """Fill nulls of ``cols`` and add ``<col><flag_suffix>`` (true where the
     value was null).
 
@@ -22,8 +30,10 @@ def impute(df: DataFrame, cols: Sequence[str], strategy: str = "none", value: fl
     * ``constant``  - ``value``
     * ``mean``      - column mean, from one scalar subquery shared by all columns
     * ``median``    - approximate median (``percentile_approx``), likewise
-    * ``random``    - ``rand(seed) * scale``: the reference's placeholder; pass
-      a seed to make it repeatable
+    * ``random``    - uniform in [0, scale), the reference's placeholder. With
+      ``key`` columns it is a function of seed, column and row key (the
+      first 8 hex digits of an md5), the same under any partitioning; without
+      them it is ``rand(seed)``, which repeats only for equal partitions
 
     ``materialize`` checkpoints ``df`` (shared checkpoint folder) before a
     mean/median fill, for inputs that are expensive to recompute.
@@ -54,6 +64,6 @@ def impute(df: DataFrame, cols: Sequence[str], strategy: str = "none", value: fl
         elif stats is not None:
             fill = stats.getField(c)
         else:
-            fill = F.rand(seed) * F.lit(scale)
+            fill = random_fill(key, c, seed or 0, scale) if key else F.rand(seed) * F.lit(scale)
         fills[c] = F.coalesce(F.col(c), fill.cast(df.schema[c].dataType))
     return out.withColumns(fills)

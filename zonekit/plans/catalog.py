@@ -1,13 +1,14 @@
 """The registered queries: each zone operator run over the star-schema test
 tables, with an equivalent SQL text for an independent engine.
 
-Every Spark query returns a lazy DataFrame; double results are rounded so
-that two engines summing in different orders agree.
+Double results are rounded so that two engines summing in different orders
+agree. Queries that write tables, fit models or run streams do so while they are
+built; the others are lazy.
 """
 
 from __future__ import annotations
 
-import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,15 +18,15 @@ from zonekit.functions.arrays import array_mean
 from zonekit.functions.text import basic_norm, basic_norm_sql, canon, canon_sql
 from zonekit.operators.conform import conform
 from zonekit.operators.dedup import dedup, merge_by_priority, upsert
-from zonekit.operators.model import (FLAG_FEATURES, build_pipeline, hash_split, prepare_features,
-                                     regression_metrics, score, split_label, train)
+from zonekit.operators.model import (FLAG_FEATURES, NUMERIC_FEATURES, build_pipeline, hash_split, load_model,
+                                     prepare_features, regression_metrics, save_model, score, split_label, train)
 from zonekit.operators.nested import explode_rows, flatten_if_nested
 from zonekit.operators.reconcile import alias_table, reconcile
-from zonekit.operators.rename import rename_columns
+from zonekit.operators.rename import merge_synonyms, rename_columns
 from zonekit.plans import star
-from zonekit.plans.features import feature_table
+from zonekit.plans.features import feature_table, predict_prices
 from zonekit.plans.kpi import kpi_table
-from zonekit.session import cut_lineage
+from zonekit.session import scratch_path
 from zonekit.schemas import NEIGHBORHOOD_RENAMES, DISTRICT_RENAMES, listing_schema
 
 DIGITS = 4
@@ -65,7 +66,7 @@ def _noisy_sql(col: str, variant: str) -> str:
 
 def _display_sql(col: str) -> str:
     s = f"replace({col}, '_', ' ')"
-    return f"concat(upper(substring({s}, 1, 1)), lower(substring({s}, 2, 1048576)))"
+    return f"concat(upper(substring({s}, 1, 1)), lower(substring({s}, 2)))"
 
 
 LISTINGS_SQL = """
@@ -133,11 +134,7 @@ def q_kpi_imputed(spark: SparkSession, d: str) -> DataFrame:
     """C7 + F5: listings keyed by the reference's basic normalisation of
     noisy names; names without an income/density match are imputed with
     the mean and flagged."""
-    inc, den = _sources(spark, d)
-    inc = inc.withColumn("neighborhood_name", basic_norm("neighborhood_name"))
-    den = den.withColumn("neighborhood_name", basic_norm("neighborhood_name"))
-    lst = star.noisy_listings(spark, d).withColumn("neighborhood_name", basic_norm("neighborhood_name"))
-    return rounded(kpi_table(lst, inc, den, impute_strategy="mean"))
+    return _imputed(spark, d, impute_strategy="mean")
 
 
 SQL_KPI_IMPUTED = f"""
@@ -212,11 +209,7 @@ ORDER BY o_custkey
 def q_kpi_imputed_constant(spark: SparkSession, d: str) -> DataFrame:
     """F5 constant strategy: as ``kpi_imputed`` with unmatched income and
     density set to 0 and flagged."""
-    inc, den = _sources(spark, d)
-    inc = inc.withColumn("neighborhood_name", basic_norm("neighborhood_name"))
-    den = den.withColumn("neighborhood_name", basic_norm("neighborhood_name"))
-    lst = star.noisy_listings(spark, d).withColumn("neighborhood_name", basic_norm("neighborhood_name"))
-    return rounded(kpi_table(lst, inc, den, impute_strategy="constant", impute_value=0.0))
+    return _imputed(spark, d, impute_strategy="constant", impute_value=0.0)
 
 
 def _customer_lookups(spark, d):
@@ -671,6 +664,142 @@ def q_hash_split_counts(spark: SparkSession, d: str) -> DataFrame:
             .groupBy("part").agg(F.count(F.lit(1)).alias("n")))
 
 
+SQL_BUCKET = "('0x' || substr(md5(concat_ws('|', '0', l_orderkey, l_linenumber)), 1, 8))::bigint % 100"
+
+SQL_HASH_SPLIT_COUNTS = f"""
+SELECT CASE WHEN {SQL_BUCKET} < 75 THEN 'train' ELSE 'test' END AS part, count(*) AS n FROM lineitem GROUP BY 1
+"""
+
+
+def _flag_model(spark: SparkSession, d: str):
+    """(model saved and loaded again, held-out rows): one flag, one tree of
+    depth one, whose prediction has a closed form, the mean price of the training rows
+    with that flag value."""
+    li = star.listing_columns(star.table(spark, d, "lineitem"))
+    df = prepare_features(li.select("l_orderkey", "l_linenumber", "exterior", "price"), numeric=[], flags=["exterior"])
+    tr, te = hash_split(df, ["l_orderkey", "l_linenumber"])
+    model = train(tr, build_pipeline(numeric=[], flags=["exterior"], maxIter=1, maxDepth=1))
+    path = scratch_path(spark, "models", uuid.uuid4().hex)
+    save_model(model, path)
+    return load_model(path), te
+
+
+def q_model_flag_means(spark: SparkSession, d: str) -> DataFrame:
+    """Fit, save, load, score and measure a model whose
+    predictions are known (see ``_flag_model``); metrics per flag value."""
+    model, te = _flag_model(spark, d)
+    pred = score(model, te)
+    return rounded(pred.groupBy("exterior").agg(
+        F.min("prediction").alias("least"), F.max("prediction").alias("most"), F.count(F.lit(1)).alias("n"),
+        F.sqrt(F.avg((F.col("prediction") - F.col("price")) ** 2)).alias("rmse"), F.avg(F.abs(F.col("prediction") - F.col("price"))).alias("mae")))
+
+
+SQL_MODEL_FLAG_MEANS = f"""
+WITH b AS (SELECT CASE WHEN l_returnflag = 'R' THEN 'true' ELSE 'false' END AS exterior, l_extendedprice AS price,
+                  {SQL_BUCKET} AS bucket FROM lineitem),
+m AS (SELECT exterior, avg(price) AS p FROM b WHERE bucket < 75 GROUP BY 1)
+SELECT exterior, round(min(p), 4) AS least, round(max(p), 4) AS most, count(*) AS n,
+       round(sqrt(avg((p - price) * (p - price))), 4) AS rmse, round(avg(abs(p - price)), 4) AS mae
+FROM b JOIN m USING (exterior) WHERE bucket >= 75 GROUP BY 1
+"""
+
+
+def q_predict_listings(spark: SparkSession, d: str) -> DataFrame:
+    """M6: a price, or the reason why there is none, for every listing: names
+    in four spellings (most match no document), null names and null flags."""
+    model, _ = _flag_model(spark, d)
+    inc, den = _sources(spark, d)
+    inc, den = (x.withColumn("neighborhood_name", basic_norm("neighborhood_name")) for x in (inc, den))
+    new = star.noisy_listings(spark, d).drop("price")
+    name = F.when(F.col("l_linenumber") != 6, basic_norm("neighborhood_name"))
+    flag = F.when(F.col("l_linenumber") != 5, F.col("exterior"))
+    new = new.withColumns({"neighborhood_name": name, "exterior": flag, "floor": F.col("l_linenumber")})
+    out = predict_prices(model, new, inc, den)
+    return rounded(out.select("_id", F.col("floor").cast("long").alias("line"), "not_priced", "prediction"))
+
+
+SQL_PREDICT_LISTINGS = f"""
+WITH {LISTINGS_SQL.strip()}, {INCOME_YEAR_SQL.strip()}, {DENSITY_YEAR_SQL.strip()},
+m AS (SELECT l_returnflag = 'R' AS exterior, avg(l_extendedprice) AS p FROM lineitem WHERE {SQL_BUCKET} < 75 GROUP BY 1),
+nl AS (SELECT _id, l_linenumber AS line, CASE WHEN l_linenumber <> 5 THEN exterior END AS exterior,
+              CASE WHEN l_linenumber <> 6 THEN {basic_norm_sql(_noisy_sql('n_name', '((l_orderkey + l_linenumber) % 4)'))} END AS nkey FROM lst),
+k AS (SELECT DISTINCT {basic_norm_sql('i.neighborhood_name')} AS nkey FROM inc_year i JOIN den_year d USING (neighborhood_name))
+SELECT nl._id, CAST(line AS BIGINT) AS line,
+       CASE WHEN k.nkey IS NULL THEN 'no documents' WHEN nl.exterior IS NULL THEN 'incomplete' END AS not_priced,
+       CASE WHEN k.nkey IS NOT NULL AND nl.exterior IS NOT NULL THEN round(m.p, 4) END AS prediction
+FROM nl LEFT JOIN k ON nl.nkey = k.nkey LEFT JOIN m ON nl.exterior = m.exterior
+"""
+
+
+def q_conflicting_listings(spark: SparkSession, d: str) -> DataFrame:
+    """Batch documents that arrive twice, listings that occur in
+    several batches with different values, and listings without code: the newest
+    batch wins, copies of a document count once, rows without code stay."""
+    from zonekit.plans.zones import flat_listings, newest_listings
+
+    flat = flat_listings(star.conflicting_batches(spark, d))
+    return newest_listings(flat).select("_id", "propertyCode", "price", "size", "rooms")
+
+
+SQL_CONFLICTING_LISTINGS = """
+WITH l AS (SELECT concat(l_orderkey, ':', year(l_shipdate)) AS _id,
+                  CASE WHEN l_linenumber <> 5 THEN concat(l_orderkey, '-', l_linenumber) END AS propertyCode,
+                  l_extendedprice AS price, l_quantity AS size, l_linenumber AS rooms FROM lineitem),
+r AS (SELECT *, row_number() OVER (PARTITION BY propertyCode ORDER BY _id DESC, price DESC, size DESC) AS rn FROM l)
+SELECT _id, propertyCode, price, size, CAST(rooms AS INTEGER) AS rooms FROM r WHERE propertyCode IS NULL OR rn = 1
+"""
+
+
+def q_kpi_imputed_random(spark: SparkSession, d: str) -> DataFrame:
+    """As ``kpi_imputed`` with fills drawn from a hash of the row key."""
+    return _imputed(spark, d, impute_strategy="random", seed=7)
+
+
+def q_kpi_imputed_median(spark: SparkSession, d: str) -> DataFrame:
+    """as ``kpi_imputed`` with the median."""
+    return _imputed(spark, d, impute_strategy="median")
+
+
+def _imputed(spark, d, **how) -> DataFrame:
+    inc, den = _sources(spark, d)
+    inc = inc.withColumn("neighborhood_name", basic_norm("neighborhood_name"))
+    den = den.withColumn("neighborhood_name", basic_norm("neighborhood_name"))
+    lst = star.noisy_listings(spark, d).withColumn("neighborhood_name", basic_norm("neighborhood_name"))
+    return rounded(kpi_table(lst, inc, den, **how))
+
+
+def _filled_sql(fill) -> str:
+    out = SQL_KPI_IMPUTED
+    for c in ("avg_income", "avg_density"):
+        old = f"coalesce({c}, (SELECT avg({c}) FROM k))"
+        assert old in out
+        out = out.replace(old, f"coalesce({c}, {fill(c)})")
+    return out
+
+
+SQL_KPI_IMPUTED_RANDOM = _filled_sql(
+    lambda c: f"('0x' || substr(md5(concat_ws('|', '7', '{c}', coalesce(neighborhood_name, ''))), 1, 8))::bigint::double / 4294967296.0 * 1000.0")
+SQL_KPI_IMPUTED_MEDIAN = _filled_sql(lambda c: f"(SELECT quantile_disc({c}, 0.5) FROM k)")
+
+
+def q_lookup_files(spark: SparkSession, d: str) -> DataFrame:
+    """Lookup documents written as JSON lines, read with the declared
+    schema, merged, and the merged table written twice (drop-then-write)."""
+    from zonekit.schemas import lookup_neighborhood_schema
+    from zonekit.sinks.writers import write_collection, write_table
+    from zonekit.sources.readers import read_collection, read_json_lines
+
+    root = scratch_path(spark, "lookups", uuid.uuid4().hex)
+    sources = []
+    for i, s in enumerate(_customer_lookups(spark, d)):
+        write_table(s, f"{root}/source{i}", fmt="json")
+        sources.append(merge_synonyms(read_json_lines(spark, f"{root}/source{i}", lookup_neighborhood_schema()), NEIGHBORHOOD_RENAMES))
+    merged = merge_by_priority(sources, "_id", keep_rank=True).withColumnRenamed("_src_rank", "src_rank")
+    write_table(merged.where("src_rank > 0"), f"{root}/merged")
+    write_collection(merged, "parquet", path=f"{root}/merged", mode="overwrite")
+    return read_collection(spark, "parquet", path=f"{root}/merged")
+
+
 def model_frame(spark: SparkSession, d: str) -> DataFrame:
     inc, den = _sources(spark, d)
     ft = feature_table(star.listings(spark, d), inc, den)
@@ -682,45 +811,28 @@ def q_gbt_metrics(spark: SparkSession, d: str) -> DataFrame:
     """Feature table (materialised once) -> hash split ->
     indexers + assembler + GBT (reference parameters) -> predictions ->
     metrics."""
-    # written once to the checkpoint folder: the train and test sides then
-    # read it instead of each re-running the listing joins
-    df = cut_lineage(model_frame(spark, d))
-    tr, te = hash_split(df, ["_id", "l_linenumber"])
+    # the model's columns only, written once as a table: the train and test
+    # sides read it instead of each re-running the listing joins
+    path = scratch_path(spark, "model_frames", uuid.uuid4().hex)
+    keys = ["_id", "l_linenumber"]
+    model_frame(spark, d).select(*keys, *NUMERIC_FEATURES, *FLAG_FEATURES, "price").write.parquet(path)
+    tr, te = hash_split(spark.read.parquet(path), keys)
     model = train(tr, build_pipeline())
     return rounded(regression_metrics(score(model, te)), 6)
 
 
 def q_kpi_stream(spark: SparkSession, d: str) -> DataFrame:
-    """E2/C7 incremental: the lineitem file read as a file stream, joined
-    with the static supplier places (written once as a table bucketed by
-    supplier key, so micro-batches shuffle only their own rows), aggregated
-    with streaming state and written per micro-batch; returns the current
-    rent KPIs."""
-    import uuid
-
-    from zonekit.session import scratch_path
-    from zonekit.sinks.writers import write_bucketed_table
+    """E2/C7 incremental: the lineitem files read as a file stream; each
+    micro-batch joins the supplier places as a batch plan (adaptive
+    execution on) and adds its sums per key; returns the current rent KPIs."""
     from zonekit.streaming.kpi_stream import current_rent_kpis, start_rent_kpi_stream
 
-    run = uuid.uuid4().hex
-    root = scratch_path(spark, "streams", f"kpi-{run}")
-    try:
-        places = write_bucketed_table(star.supplier_places(spark, d), "s_suppkey",
-                                      f"{root}/supplier_places", f"zonekit_supplier_places_{run}")
-    except Exception as e:  # a session whose catalog cannot hold tables
-        import logging
-        logging.getLogger(__name__).warning("bucketed static side unavailable (%s); "
-                                            "micro-batches will shuffle it", e)
-        places = star.supplier_places(spark, d)
-    schema = star.table(spark, d, "lineitem").schema
-    src = f"{d.rstrip('/')}/lineitem.parquet"
-    reader = spark.readStream.schema(schema)
-    if os.path.isfile(src.removeprefix("file:")):   # a single file: stream its folder, filtered
-        stream = reader.option("pathGlobFilter", "lineitem.parquet").parquet(d)
-    else:                                            # a folder of part files
-        stream = reader.parquet(src)
-    lst = star.listings(spark, d, lineitem=stream, places_of_suppliers=places)
-    q = start_rent_kpi_stream(lst, f"{root}/out", f"{root}/checkpoint")
+    root = scratch_path(spark, "streams", f"kpi-{uuid.uuid4().hex}")
+    # a pattern, so that the source may be one file or a folder of part files
+    stream = (spark.readStream.schema(star.table(spark, d, "lineitem").schema)
+              .parquet(f"{d.rstrip('/')}/lineitem.parque[t]"))
+    q = start_rent_kpi_stream(stream, f"{root}/out", f"{root}/checkpoint",
+                              prepare=lambda batch: star.listings(spark, d, lineitem=batch))
     q.awaitTermination()
     return rounded(current_rent_kpis(spark, f"{root}/out"))
 
@@ -783,6 +895,12 @@ def queries() -> dict:
         "regression_metrics": q_regression_metrics,
         "upsert_orders": q_upsert_orders,
         "hash_split_counts": q_hash_split_counts,
+        "model_flag_means": q_model_flag_means,
+        "predict_listings": q_predict_listings,
+        "conflicting_listings": q_conflicting_listings,
+        "kpi_imputed_random": q_kpi_imputed_random,
+        "kpi_imputed_median": q_kpi_imputed_median,
+        "lookup_files": q_lookup_files,
         "gbt_metrics": q_gbt_metrics,
         "kpi_stream": q_kpi_stream,
         "zones_kpis": q_zones_kpis,
@@ -810,6 +928,13 @@ def oracle_sql() -> dict:
         "string_index_flags": SQL_STRING_INDEX_FLAGS,
         "regression_metrics": SQL_REGRESSION_METRICS,
         "upsert_orders": SQL_UPSERT_ORDERS,
+        "hash_split_counts": SQL_HASH_SPLIT_COUNTS,
+        "model_flag_means": SQL_MODEL_FLAG_MEANS,
+        "predict_listings": SQL_PREDICT_LISTINGS,
+        "conflicting_listings": SQL_CONFLICTING_LISTINGS,
+        "kpi_imputed_random": SQL_KPI_IMPUTED_RANDOM,
+        "kpi_imputed_median": SQL_KPI_IMPUTED_MEDIAN,
+        "lookup_files": SQL_MERGE_LOOKUP_NEIGHBORHOOD,
         "kpi_stream": SQL_KPI_STREAM,
         "zones_kpis": SQL_ZONES_KPIS,
     }

@@ -45,4 +45,4 @@ def kpi_table(rent: DataFrame, income: DataFrame, density: DataFrame,
     # the KPI table has one row per key: write it once before computing a
     # global fill statistic over it
     return impute(out, ["avg_income", "avg_density"], impute_strategy,
-                  value=impute_value, seed=seed, materialize=True)
+                  value=impute_value, seed=seed, materialize=True, key=[key])

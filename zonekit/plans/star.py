@@ -16,61 +16,39 @@ from pyspark.sql import functions as F
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
-# Rows per nested batch document built by ``listing_batches``.
-BATCH_ROWS = 64
-
-
-_TABLE_CACHE: dict = {}
+# Line numbers per nested batch document built by ``listing_batches``.
+BATCH_LINES = 4
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of one test table. The (lazy) DataFrame is reused per session
-    and path: resolving a parquet relation lists files and reads footers,
-    which is the dominant planning cost for small queries."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), spark.sparkContext.applicationId, path)
-    df = _TABLE_CACHE.get(key)
-    if df is None:
-        df = spark.read.parquet(path)
-        _TABLE_CACHE[key] = df
-    return df
+    """Scan of one test table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def display_name(col) -> F.Column:
     """'NATION_7' -> 'Nation 7', 'MIDDLE EAST' -> 'Middle east'."""
     s = F.replace(col, F.lit("_"), F.lit(" "))
-    return F.concat(F.upper(F.substring(s, 1, 1)), F.lower(F.substring(s, 2, 1 << 20)))
+    return F.concat(F.upper(F.substring(s, 1, 1)), F.lower(F.substr(s, F.lit(2))))
 
 
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nation x region, marked for broadcast. The bound is structural: the
-    schema fixes 25 nations and 5 regions at every scale factor (one row
-    per nation, the region join is on its key)."""
+    """nation with its region (joined on the region key)."""
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    return F.broadcast(n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
-                       .select("n_nationkey", "n_name", "n_regionkey", "r_name"))
+    return (n.join(r, n.n_regionkey == r.r_regionkey)
+            .select("n_nationkey", "n_name", "n_regionkey", "r_name"))
 
 
 def supplier_places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """supplier -> (nation name, region name); the place side (25 rows by
-    construction) is broadcast, the supplier side is as big as the data."""
+    """supplier -> (nation name, region name)."""
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     p = places(spark, sf_dir)
     return s.join(p, s.s_nationkey == p.n_nationkey).select("s_suppkey", "n_nationkey", "n_name", "r_name")
 
 
-def with_scan_chunks(df: DataFrame, batch_rows: int = BATCH_ROWS) -> DataFrame:
-    """Add ``_chunk``: consecutive runs of ``batch_rows`` rows of one scan
-    partition. Computed directly on a file scan, whose row order is fixed,
-    so a recomputed partition gets the same chunks (not after a shuffle)."""
-    return df.withColumn("_chunk", F.floor(F.monotonically_increasing_id() / F.lit(batch_rows)))
-
-
 def listing_columns(li: DataFrame) -> DataFrame:
     """Listing attributes from lineitem columns (plain expressions)."""
-    extra = ["_chunk"] if "_chunk" in li.columns else []
-    return li.select(*extra,
+    return li.select(
         F.col("l_orderkey").alias("_id"),
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate",
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("propertyCode"),
@@ -178,18 +156,30 @@ def density_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("n_regionkey").cast("string"), spark, sf_dir)
 
 
-def listing_batches(flat: DataFrame, item_cols: list, batch_rows: int = BATCH_ROWS) -> DataFrame:
-    """Nest flat listing rows into batch documents ``(_id, value[])`` of at
-    most ``batch_rows`` listings each (rows of one order key within one
-    scan chunk), so no document grows with the data. ``flat`` must carry
-    ``_chunk`` from ``with_scan_chunks`` unless it is a file scan itself."""
-    if "_chunk" not in flat.columns:
-        flat = with_scan_chunks(flat, batch_rows)
-    return (flat.groupBy("l_orderkey", "_chunk")
+def listing_batches(flat: DataFrame, item_cols: list, lines: int = BATCH_LINES) -> DataFrame:
+    """Nest flat listing rows into batch documents ``(_id, value[])``: the
+    lines of one order whose line numbers fall into one range of ``lines``.
+    The documents follow from the rows' values, not from the file layout."""
+    chunk = F.floor(F.col("l_linenumber") / F.lit(lines)).alias("_chunk")
+    return (flat.groupBy("l_orderkey", chunk)
             .agg(F.collect_list(F.struct(*item_cols)).alias("value"))
             .select(F.concat_ws(":", "l_orderkey", "_chunk").alias("_id"), "value"))
 
 
+def conflicting_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch documents per order and ship year, each of them twice: copies of
+    a listing (same order and line number) with different values meet in one
+    batch or in several, and line 5 has no property code. The listings of a
+    document are sorted, so positions follow from the data."""
+    li = table(spark, sf_dir, "lineitem")
+    item = F.struct(F.when(F.col("l_linenumber") != 5, F.concat_ws("-", "l_orderkey", "l_linenumber")).alias("propertyCode"),
+                    F.col("l_extendedprice").alias("price"), F.col("l_quantity").alias("size"),
+                    F.col("l_linenumber").alias("rooms"))
+    docs = (li.groupBy(F.concat_ws(":", "l_orderkey", F.year("l_shipdate")).alias("_id"))
+            .agg(F.array_sort(F.collect_list(item)).alias("value")))
+    return docs.union(docs)
+
+
 def neighborhood_lookups(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Three neighbourhood lookup sources (long names; two with short names)
     that spell the same nations differently."""
@@ -237,8 +227,7 @@ def zone_inputs(spark: SparkSession, sf_dir: str):
     the three district / neighbourhood lookup sources."""
     from zonekit.plans.zones import ZoneInputs
 
-    li = with_scan_chunks(table(spark, sf_dir, "lineitem"))
-    lst = noisy_listings(spark, sf_dir, li).withColumn(
+    lst = noisy_listings(spark, sf_dir).withColumn(
         "propertyCode", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                     "price", "latitude", "longitude", "size"))
     item = ["propertyCode", F.col("neighborhood_name").alias("neighborhood"), "district_name",

@@ -32,14 +32,14 @@ from zonekit.operators.conform import conform
 from zonekit.operators.dedup import dedup, merge_by_priority
 from zonekit.operators.model import build_pipeline, hash_split, prepare_features, regression_metrics
 from zonekit.operators.model import save_model, score, train
-from zonekit.operators.nested import flatten_if_nested, has_array_of_structs
+from zonekit.operators.nested import explode_rows, has_array_of_structs
 from zonekit.operators.reconcile import alias_table, reconcile
 from zonekit.operators.rename import merge_synonyms, rename_columns, trim_column_names
 from zonekit.plans.features import LISTING_COLUMNS, feature_table
 from zonekit.plans.kpi import kpi_table
 from zonekit.schemas import (DISTRICT_RENAMES, NEIGHBORHOOD_RENAMES, density_schema, income_schema,
                              listing_schema, lookup_district_schema, lookup_neighborhood_schema,
-                             parse, rentals_schema)
+                             parse, rentals_schema, rentals_source_schema)
 from zonekit.session import scratch_path
 
 DISTRICT_NAME_COLS = ["district", "district_name", "district_reconciled"]
@@ -67,6 +67,9 @@ class ZoneConfig:
     # de-duplication key of reconciled listings; "_id" (the batch key)
     # reproduces the reference's cardinality of one listing per batch
     listing_key: str = "propertyCode"
+    # column of the batch documents by which the newest copy of a listing is
+    # found (largest value); None: the batch id itself, for ids that sort in time
+    batch_order: str | None = None
     municipality: str | None = None
     impute_strategy: str = "none"
     impute_value: float | None = None
@@ -78,7 +81,8 @@ class ZoneConfig:
 def read_landing(spark: SparkSession, rentals, income, density, district_lookups, neighborhood_lookups,
                  fmt: str = "json") -> ZoneInputs:
     """Read the landing collections with declared schemas (no inference
-    pass). Each source is a path, or a spec ``{"format": ..., "path": ...,
+    pass). Rentals may be batch documents (a ``value`` array) or one listing per
+    row: both shapes are read, and ``formatted_zone`` sorts them apart. Each source is a path, or a spec ``{"format": ..., "path": ...,
     "options": {...}}`` for a connector that is configured by options (e.g.
     a document-store connector on the classpath)."""
     from zonekit.schemas import LOOKUP_DISTRICT_SOURCE_DDL
@@ -93,7 +97,7 @@ def read_landing(spark: SparkSession, rentals, income, density, district_lookups
         return r.load(spec["path"]) if spec.get("path") else r.load()
 
     return ZoneInputs(
-        rentals=rd(rentals, rentals_schema()),
+        rentals=rd(rentals, rentals_source_schema()),
         income=rd(income, income_schema()),
         density=rd(density, density_schema()),
         district_lookups=[rd(p, parse(LOOKUP_DISTRICT_SOURCE_DDL)) for p in district_lookups],
@@ -105,8 +109,49 @@ def _write(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def flat_listings(raw: DataFrame, batch_order: str | None = None) -> DataFrame:
+    """One row per listing, ``_id`` (batch), the listing columns, ``_order``
+    and ``_place`` (position in its batch), from batch documents, flat rows
+    or a mixture of both. Copies of a batch document (same ``_id``)
+    count once; a document without ``_id`` is no copy of another."""
+    raw = trim_column_names(raw)
+    order = F.col(f"`{batch_order or '_id'}`").cast("string").alias("_order")
+    listing = listing_schema()
+    parts = []
+    if has_array_of_structs(raw, "value"):
+        schema = T.StructType([*rentals_schema().fields, T.StructField("_order", T.StringType())])
+        docs = conform(raw.withColumn("_order", order), schema, required=["_id"]).where(F.col("value").isNotNull())
+        known = dedup(docs.where(F.col("_id").isNotNull()), "_id", ["_order"], descending=bool(batch_order))
+        docs = known.unionByName(docs.where(F.col("_id").isNull()))
+        parts.append(explode_rows(docs, "value", keep=["_id", "_order"], position="_place")
+                     .select("_id", "_order", "_place", *listing.fieldNames()))
+        flat = raw.where(F.col("value").isNull()) if set(listing.fieldNames()) & set(raw.columns) else None
+    else:
+        flat = raw
+    if flat is not None:
+        names = T.StructType([T.StructField("_id", T.StringType()), *listing.fields])
+        parts.append(conform(flat.withColumn("_order", order), T.StructType([*names.fields, T.StructField("_order", T.StringType())]),
+                             required=["_id", "propertyCode"])
+                     .withColumn("_place", F.lit(0)).select("_id", "_order", "_place", *listing.fieldNames()))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def newest_listings(listings: DataFrame, listing_key: str = "propertyCode") -> DataFrame:
+    """One row per listing: that of the newest batch (``_order``, then batch
+    id; ties by the whole row). A listing without key is known by batch and
+    position, so it collapses with nothing else."""
+    if listing_key == "_id":
+        return dedup(listings, "_id", ["propertyCode", "_place"]).drop("_order", "_place")
+    lost = F.concat_ws(":", F.lit("?"), F.coalesce("_id", F.lit("")), F.col("_place").cast("string"), F.xxhash64(F.struct("*")).cast("string"))
+    keyed = listings.withColumn("_key", F.when(F.col(listing_key).isNull(), lost))
+    return dedup(keyed, [listing_key, "_key"], ["_order", "_id", "_place"], descending=True).drop("_order", "_place", "_key")
+
+
 def formatted_zone(spark: SparkSession, inp: ZoneInputs, root: str, mode: str = "canon",
-                   listing_key: str = "propertyCode") -> dict:
+                   listing_key: str = "propertyCode", batch_order: str | None = None) -> dict:
     out = {}
     dl = [merge_synonyms(d, DISTRICT_RENAMES) for d in inp.district_lookups]
     nl = [merge_synonyms(n, NEIGHBORHOOD_RENAMES) for n in inp.neighborhood_lookups]
@@ -138,24 +183,15 @@ def formatted_zone(spark: SparkSession, inp: ZoneInputs, root: str, mode: str =
         return reconcile(r, "neighborhood_name", nal, "neigh_name_reconciled", "neighborhood_lookup_id",
                          mode=mode, materialize=False)
 
-    raw = trim_column_names(inp.rentals)
-    if has_array_of_structs(raw, "value"):   # batch documents: one row per listing
-        rentals = conform(dedup(raw, "_id"), rentals_schema())
-        listings = flatten_if_nested(rentals, "value", keep=["_id"])
-    else:                                     # already one row per listing
-        flat = T.StructType([T.StructField("_id", T.StringType()), *listing_schema().fields])
-        listings = conform(raw, flat)
-    listings = listings.withColumnRenamed("neighborhood", "neighborhood_name")
-    if listing_key == "_id":
-        listings = dedup(place(listings), "_id", ["propertyCode"])
-    else:
-        # the newest batch wins: batch ids are dates, so they sort in time
-        listings = dedup(place(listings), listing_key, ["_id"], descending=True)
-    _write(listings, f"{root}/formatted/rentals_reconciled")
+    # copies go before names are reconciled: discarded rows are not normalised
+    listings = newest_listings(flat_listings(inp.rentals, batch_order), listing_key)
+    _write(place(listings.withColumnRenamed("neighborhood", "neighborhood_name")), f"{root}/formatted/rentals_reconciled")
 
     for name, df, schema, ren in (("income", inp.income, income_schema(), INCOME_RENAMES),
                                   ("density", inp.density, density_schema(), DENSITY_RENAMES)):
-        typed, _ = rename_columns(conform(dedup(trim_column_names(df), "_id"), schema), ren)
+        typed, absent = rename_columns(conform(dedup(trim_column_names(df), "_id"), schema, required=list(ren)), ren)
+        if absent:
+            raise ValueError(f"{name}: columns {absent} are missing")
         _write(place(typed), f"{root}/formatted/{name}_reconciled")
     out.update({f"{n}_reconciled": f"{root}/formatted/{n}_reconciled"
                 for n in ("rentals", "income", "density")})
@@ -199,7 +235,7 @@ def run_zones(spark: SparkSession, inputs: ZoneInputs | None, cfg: ZoneConfig |
         raise ValueError("without the 'formatted' step, root must name an existing zone folder")
     root = (cfg.root or scratch_path(spark, "zones", uuid.uuid4().hex)).rstrip("/")
     if "formatted" in cfg.steps:
-        formatted = formatted_zone(spark, inputs, root, cfg.reconcile_mode, cfg.listing_key)
+        formatted = formatted_zone(spark, inputs, root, cfg.reconcile_mode, cfg.listing_key, cfg.batch_order)
     else:
         formatted = {t: f"{root}/formatted/{t}" for t in FORMATTED_TABLES}
     return {**formatted, **exploitation_zone(spark, formatted, root, cfg)}

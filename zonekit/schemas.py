@@ -2,8 +2,7 @@
 
 Fixed values: field names and types of the reference's collections
 (lookups in long and short naming, rental listings batch documents, income
-and density documents). Kept as DDL text in declaration order; parsed
-lazily because parsing needs an active session.
+and density documents), as DDL text in declaration order.
 """
 
 from __future__ import annotations
@@ -51,11 +50,10 @@ DISTRICT_RENAMES = {"di": "district", "di_n": "district_name", "di_re": "distric
                     "ne_id": "neighborhood_id"}
 NEIGHBORHOOD_RENAMES = {"ne": "neighborhood", "ne_n": "neighborhood_name",
                         "ne_re": "neighborhood_reconciled"}
-SOURCE_RENAMES = {"neigh_name ": "neighborhood_name", "neighborhood": "neighborhood_name"}
 
 
 def parse(ddl: str) -> T.StructType:
-    """DDL text -> ``StructType`` (needs an active Spark session)."""
+    """DDL text -> ``StructType``."""
     t = T.DataType.fromDDL(ddl)
     if not isinstance(t, T.StructType):
         raise ValueError("not a struct DDL")
@@ -71,6 +69,11 @@ def rentals_schema() -> T.StructType:
                          T.StructField("value", T.ArrayType(listing_schema()))])
 
 
+def rentals_source_schema() -> T.StructType:
+    """Superset used to read rentals that are batch documents or flat rows."""
+    return T.StructType([*rentals_schema().fields, *listing_schema().fields])
+
+
 def income_schema() -> T.StructType:
     return parse(INCOME_DDL)
 

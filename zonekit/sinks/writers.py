@@ -18,6 +18,15 @@ def write_table(df: DataFrame, path: str, mode: str = "errorifexists", fmt: str
     w.save(path)
 
 
+def write_collection(df: DataFrame, fmt: str, options: dict | None = None, path: str | None = None,
+                     mode: str = "errorifexists") -> None:
+    """Write through a connector that is configured by options (the twin of
+    ``sources.read_collection``): a document store, or files when ``path`` is given.
+    Replace-by-key and append-or-replace are options of the connector."""
+    w = df.write.format(fmt).mode(mode).options(**(options or {}))
+    w.save(path) if path else w.save()
+
+
 def upsert_table(spark: SparkSession, existing_path: str, incoming: DataFrame,
                  keys: str | Sequence[str], out_path: str, fmt: str = "parquet",
                  order_by: str | Sequence[str] | None = None) -> DataFrame:
@@ -49,11 +58,12 @@ def write_bucketed_table(df: DataFrame, key: str | Sequence[str], path: str, nam
 
 def write_jdbc(df: DataFrame, url: str, table: str, user: str | None = None,
                password: str | None = None, driver: str | None = None,
-               mode: str = "overwrite", num_partitions: int | None = None,
+               mode: str = "overwrite", num_partitions: int | None = 16,
                batch_size: int = 10000) -> None:
     """Write to a database table over JDBC. Credentials come from the
     caller; each task opens its own connection, so ``num_partitions``
-    caps the number of concurrent connections."""
+    caps the number of concurrent connections
+    (None: as many as the frame has partitions)."""
     props = {"batchsize": str(batch_size)}
     if user is not None:
         props["user"] = user
