@@ -43,9 +43,9 @@ from zonekit.llm.textscan import mix, slices, text_bytes
 SPAN = 200
 GRAM = 48
 #: bytes of contexts in one index
-INDEX_BYTES = 8 << 20
-#: bytes of a long document that are scanned at a time
-_PIECE = 4 << 20
+INDEX_BYTES = 3 << 20
+#: bytes that are scanned at a time, parts of a longer document too
+_PIECE = 1 << 20
 _PLACE_BITS = np.uint64(23)
 _PRIME = 0xD6E8FEB86659FD93
 _VALUES = mix((np.arange(256, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
@@ -58,11 +58,17 @@ def _powers(base: int, n: int) -> np.ndarray:
     return _POWERS[base][:n]
 
 
-def text_class(data: bytes) -> int:
+def text_class(data: bytes | memoryview) -> int:
     """Signed 64-bit digest of a text."""
     return int(np.array([xxhash.xxh3_64_intdigest(data)], np.uint64).view(np.int64)[0])
 
 
+def _texts(column) -> list[memoryview]:
+    data, offsets = text_bytes(column)
+    whole = memoryview(data)
+    return [whole[a:b] for a, b in zip(offsets.tolist()[:-1], offsets.tolist()[1:])]
+
+
 class Hashes:
     """Hashes of any stretch of a byte array."""
 
@@ -130,10 +136,11 @@ def _documents(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([text_class(t) for t in texts], pa.int64()),
-                                              pa.array([len(t) for t in texts], pa.int64()), pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string())],
-                                             ["doc_id", "e", "n_bytes", "sha"])
+            for part in slices(batch, "text", _PIECE):
+                texts = _texts(part.column("text"))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array([text_class(t) for t in texts], pa.int64()), pa.array([len(t) for t in texts], pa.int64()),
+                     pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string())], ["doc_id", "e", "n_bytes", "sha"])
 
     return stored(docs.mapInArrow(run, "doc_id long, e long, n_bytes long, sha string"), "repeat-documents")
 
@@ -154,7 +161,7 @@ def _anchors(docs: DataFrame, span: int, gram: int) -> DataFrame:
             for part in slices(batch, "text", _PIECE):
                 data, offsets = text_bytes(part.column("text"))
                 texts = [data[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
-                owners = np.array([text_class(t.tobytes()) for t in texts], np.int64)
+                owners = np.array([text_class(memoryview(t)) for t in texts], np.int64)
                 fresh = []
                 for i, (e, t) in enumerate(zip(owners.tolist(), texts)):
                     if len(t) >= span and e not in sent:
@@ -248,18 +255,18 @@ def _entries(docs: DataFrame, shared: DataFrame, classes: DataFrame) -> DataFram
 
     def run(batches):
         for batch in batches:
-            a, e, start, cut = [], [], [], []
-            for text, own, wanted in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                data = (text or "").encode()
-                if text_class(data) != own:
-                    continue
-                for p in wanted:
-                    a.append(p["a"])
-                    e.append(own)
-                    start.append(p["start"])
-                    cut.append(data[p["start"]:p["end"]])
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(e, pa.int64()), pa.array(start, pa.int64()), pa.array(cut, pa.binary())],
-                                             ["a", "e", "start", "bytes"])
+            for part in slices(batch, "text", _PIECE):
+                a, e, start, cut = [], [], [], []
+                for data, own, wanted in zip(_texts(part.column("text")), *(part.column(i).to_pylist() for i in (1, 2))):
+                    if text_class(data) != own:
+                        continue
+                    for p in wanted:
+                        a.append(p["a"])
+                        e.append(own)
+                        start.append(p["start"])
+                        cut.append(bytes(data[p["start"]:p["end"]]))
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(e, pa.int64()), pa.array(start, pa.int64()), pa.array(cut, pa.binary())],
+                                                 ["a", "e", "start", "bytes"])
 
     texts = docs.join(places, docs["doc_id"].eqNullSafe(places["rep"])).select("text", "e", "places")
     # repeated rows of one id give equal entries
@@ -350,20 +357,20 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, key: str
     partly = rows.where(~covered & F.col("spans").isNotNull()).select(F.col("doc_id").alias("id"), "e", "spans")
 
     def run(batches):
+        struct = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
-            out = []
-            for doc_id, text, own, marks in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                data = (text or "").encode()
-                if text_class(data) != own:
-                    continue
-                begin, end = (np.array([m[x] for m in marks], np.int64) for x in ("start", "end"))
-                _, begin, end = _merged(np.zeros(len(begin), np.int64), begin, end)
-                edges = [0, *np.stack([begin, end], axis=1).ravel().tolist(), len(data)]
-                kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
-                out.append((doc_id, len(data), len(data) - len(kept), [{"start": a, "end": b} for a, b in zip(begin.tolist(), end.tolist())], hashlib.sha256(kept).hexdigest()))
-            struct = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), struct, pa.string()))],
-                                             ["doc_id", "n_bytes", "n_removed", "removed", "kept_sha256"])
+            for part in slices(batch, "text", _PIECE):
+                out = []
+                for data, doc_id, own, marks in zip(_texts(part.column("text")), *(part.column(i).to_pylist() for i in (0, 2, 3))):
+                    if text_class(data) != own:
+                        continue
+                    begin, end = (np.array([m[x] for m in marks], np.int64) for x in ("start", "end"))
+                    _, begin, end = _merged(np.zeros(len(begin), np.int64), begin, end)
+                    edges = [0, *np.stack([begin, end], axis=1).ravel().tolist(), len(data)]
+                    kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
+                    out.append((doc_id, len(data), len(data) - len(kept), [{"start": a, "end": b} for a, b in zip(begin.tolist(), end.tolist())], hashlib.sha256(kept).hexdigest()))
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), struct, pa.string()))],
+                                                 ["doc_id", "n_bytes", "n_removed", "removed", "kept_sha256"])
 
     cut = docs.join(partly, docs["doc_id"].eqNullSafe(partly["id"])).select("doc_id", "text", "e", "spans")
     return simple.union(cut.mapInArrow(run, f"doc_id long, n_bytes long, n_removed long, removed {kind}, kept_sha256 string"))

@@ -24,17 +24,15 @@ class RunIndex:
         ``groups``: the group of each, in increasing order."""
         m = len(starts)
         lengths = np.diff(np.append(starts, len(data)))
-        self.first = starts + np.arange(m)  # every string is followed by a separator
         n = len(data) + m
-        symbol = np.zeros(n, np.int64)
-        string = np.repeat(np.arange(m), lengths)
-        symbol[np.arange(len(data)) + string] = data.astype(np.int64) + 1
-        self.end = np.repeat(self.first + lengths, lengths + 1)
-        group = np.repeat(groups, lengths + 1)
+        self.end = np.repeat((starts + np.arange(m) + lengths).astype(np.int32), lengths + 1)  # the separator after each string
+        symbol = np.zeros(n, np.int16)
+        symbol[self.end > np.arange(n, dtype=np.int32)] = data.astype(np.int16) + 1
+        group = np.repeat(np.asarray(groups, np.int32), lengths + 1)
         self.pack = self._packs(symbol)
         order = self._sorted(group)
         # the transform, by runs; a separator is a symbol of its own each time
-        before = np.where(order > 0, symbol[order - 1], 0)
+        before = symbol[order - 1]  # the last place of all is a separator, as it were before the first
         head = np.ones(n, bool)
         head[1:] = (before[1:] != before[:-1]) | (before[1:] == 0) | (group[order[1:]] != group[order[:-1]])
         at = np.flatnonzero(head)
@@ -52,7 +50,7 @@ class RunIndex:
         alive = np.ones(len(symbol), bool)
         for j in range(_PACK):
             out <<= 9
-            out[:len(symbol) - j] |= np.where(alive[:len(symbol) - j], symbol[j:], 0)
+            out[:len(symbol) - j] |= np.where(alive[:len(symbol) - j], symbol[j:], np.int16(0))
             alive[:len(symbol) - j] &= symbol[j:] != 0
             alive[len(symbol) - j:] = False
         return out
@@ -60,22 +58,22 @@ class RunIndex:
     def _sorted(self, group: np.ndarray) -> np.ndarray:
         """Positions in sorted order of their suffixes, by group."""
         n = len(group)
-        order = np.lexsort((self.pack, group))
-        place = np.arange(n)
+        order = np.lexsort((self.pack, group)).astype(np.int32)
+        place = np.arange(n, dtype=np.int32)
         whole = self.end - place < _PACK  # reaches its separator: differs from all others
         new = np.ones(n, bool)
         new[1:] = (self.pack[order][1:] != self.pack[order][:-1]) | (group[order][1:] != group[order][:-1]) | whole[order][1:]
-        rank = np.empty(n, np.int64)
+        rank = np.empty(n, np.int32)
         rank[order] = np.maximum.accumulate(np.where(new, place, 0))
         tied = order[~new | np.append(~new[1:], False)]
         step = _PACK
         while len(tied):
-            key = rank[tied] * n + rank[tied + step]
+            key = rank[tied].astype(np.int64) * n + rank[tied + step]
             tied = tied[np.argsort(key, kind="stable")]
             old, second = rank[tied], rank[tied + step]
             bucket = np.ones(len(tied), bool)
             bucket[1:] = old[1:] != old[:-1]
-            index = np.arange(len(tied))
+            index = np.arange(len(tied), dtype=np.int32)
             slot = old + index - np.maximum.accumulate(np.where(bucket, index, 0))
             new = bucket.copy()
             # a second part that reaches its separator has a rank of its own, so equal ranks are equal symbols
@@ -83,18 +81,18 @@ class RunIndex:
             rank[tied] = np.maximum.accumulate(np.where(new, slot, 0))
             tied = tied[~new | np.append(~new[1:], False)]
             step *= 2
-        order = np.empty(n, np.int64)
+        order = np.empty(n, np.int32)
         order[rank] = place
         return order
 
     def _match(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """How far the suffixes at a and b agree."""
         most = np.minimum(self.end[a] - a, self.end[b] - b)
-        out = np.zeros(len(a), np.int64)
+        out = np.zeros(len(a), np.int32)
         live = np.arange(len(a))
         while len(live):
             x = self.pack[a[live] + out[live]] ^ self.pack[b[live] + out[live]]
-            same = np.zeros(len(live), np.int64)
+            same = np.zeros(len(live), np.int32)
             for j in range(1, _PACK + 1):
                 same += (x >> (9 * (_PACK - j))) == 0
             out[live] += same
@@ -104,14 +102,14 @@ class RunIndex:
     def matches(self) -> np.ndarray:
         """For each byte of the data, the length of the longest string from there (within
         its own string) that also starts elsewhere in the group."""
-        best = np.zeros(len(self.end), np.int64)
+        best = np.zeros(len(self.end), np.int32)
         for sample, neighbour in ((self.head_sample, self.head_before), (self.tail_sample, self.tail_after)):
-            reach = np.zeros(len(self.end), np.int64)
+            reach = np.zeros(len(self.end), np.int32)
             reach[sample] = sample
             has = neighbour >= 0
             reach[sample[has]] += self._match(sample[has], neighbour[has])
             np.maximum(best, np.maximum.accumulate(reach), out=best)
-        length = np.maximum(best - np.arange(len(best)), 0)
+        length = np.maximum(best - np.arange(len(best), dtype=np.int32), 0)
         return np.delete(length, np.unique(self.end))
 
 
