@@ -140,6 +140,32 @@ def test_repeats_equal_brute_force(spark, span, gram, index_bytes, monkeypatch):
     assert sorted(got, key=key) == sorted(want, key=key)
 
 
+@pytest.mark.parametrize("rows", [1, 3])
+def test_small_batches_change_nothing(spark, rows):
+    """Groups and runs that are cut by the ends of Arrow batches."""
+    rng = random.Random(11)
+    passage, base = prose(rng, 50), prose(rng, 70).split()
+    extra = []
+    for i in range(12):
+        near = list(base)
+        for j in rng.sample(range(70), i // 3):
+            near[j] = f"n{i}"
+        extra.append(" ".join(near))
+    extra += [f"{prose(rng, 30)} {passage} {prose(rng, 9)}" for _ in range(6)] + [extra[0], extra[1]]
+    docs = spark.createDataFrame(list(enumerate(extra)), "doc_id long, text string").repartition(2)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        linked = {(r.doc_id, r.component_id) for r in jaccard_join.link_components(docs, 3, 80, tile=4).collect()}
+        cut = sorted((r.doc_id, r.n_bytes, r.n_removed, [tuple(s) for s in r.removed], r.kept_sha256) for r in repeats.remove_repeats(docs, 60, 16, index_bytes=2000).collect())
+    finally:
+        spark.conf.set(key, before)
+    roots = classes([shingles(t, 3) for t in extra], 80)
+    assert linked == {(i, root) for i, root in enumerate(roots)}
+    assert cut == sorted(removed(list(enumerate(extra)), 60))
+
+
 def test_repeats_of_an_empty_table_and_long_pieces(spark):
     docs = documents(spark)
     assert repeats.remove_repeats(docs.where("false")).count() == 0
