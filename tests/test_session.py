@@ -5,7 +5,7 @@ from zonekit.session import checkpoint_root, ensure_checkpoint_dir, scratch_path
 
 def test_scale_settings_are_applied(spark):
     c = spark.conf
-    assert c.get("spark.sql.autoBroadcastJoinThreshold") == "-1"          # no estimate-based broadcast
+    assert c.get("spark.sql.autoBroadcastJoinThreshold") == "10m"          # no estimate-based broadcast
     assert c.get("spark.sql.adaptive.autoBroadcastJoinThreshold") == "64m"
     assert c.get("spark.sql.adaptive.enabled") == "true"
     assert c.get("spark.sql.adaptive.skewJoin.enabled") == "true"

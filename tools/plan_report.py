@@ -20,8 +20,12 @@ MULTI_JOB = {"zones_kpis": "whole job; each published table is its own job",
              "kpi_imputed": "the KPI table (plan as `kpi_table`) is written once to the checkpoint "
                             "folder; the returned frame reads it and fills from one scalar subquery",
              "kpi_stream": "streaming micro-batches (see tests/test_streaming.py)",
-             "gbt_metrics": "feature frame checkpointed once, then iterative model fit; the returned "
-                            "frame is the metrics pass over the checkpointed test rows"}
+             "kpi_imputed_median": "as `kpi_imputed`",
+             "lookup_files": "files written and read back; the returned frame reads the last of them",
+             "model_flag_means": "model fitted, saved and loaded first; the returned frame scores the test rows",
+             "predict_listings": "model fitted, saved and loaded first; the returned frame scores all listings",
+             "gbt_metrics": "feature frame written once, then iterative model fit; the returned "
+                            "frame is the metrics pass over the written test rows"}
 
 
 def summarise(plan: str) -> dict:
@@ -45,7 +49,7 @@ def main() -> None:
                           extra_conf={"spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     print(f"# Final plans of the registered queries ({os.path.basename(sf)}, local[8], "
-          "AQE on, static broadcast off)\n")
+          "AQE on)\n")
     print("Generated by `tools/plan_report.py`. Counts are operators in the final adaptive plan "
           "(after AQE re-planning); `scans` lists each table read and how many columns it reads.\n")
     print("| query | hash shuffles | range shuffles | broadcasts | SMJ | BHJ | aggregates | scans |")
@@ -68,8 +72,8 @@ def main() -> None:
             notes.append(f"- `{name}`: {MULTI_JOB[name]}.")
     print("\nNotes:\n")
     print("\n".join(notes))
-    print("- Lookup, alias and document sides that are aggregates over big tables are written once to "
-          "the checkpoint folder and read back (`Scan ExistingRDD`), so they do not appear as file scans.")
+    print("- Alias tables are written once to the checkpoint folder and read back (`Scan ExistingRDD`), "
+          "so they do not appear as file scans.")
     spark.stop()
 
 

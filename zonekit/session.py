@@ -3,7 +3,7 @@
 The settings below are the ones that matter on a large cluster: adaptive
 query execution (runtime coalescing of small shuffle partitions, skew-join
 splitting of a hot key's partition, runtime broadcast of sides whose
-measured size is small) and no broadcast decided from static estimates.
+measured size is small). Plans carry no broadcast hints: Spark checks the size.
 """
 
 from __future__ import annotations
@@ -18,10 +18,10 @@ SCALE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
-    # No broadcast from static size estimates; AQE broadcasts a side whose
-    # measured (runtime) size is small, and explicit hints are used only
-    # for sides whose row count is proven (see operators.joins).
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    # Before a run, only tables whose files are this small are broadcast (so a
+    # join with a dimension of a few rows does not shuffle the facts); at run
+    # time AQE broadcasts a side whose measured size is small.
+    "spark.sql.autoBroadcastJoinThreshold": "10m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
     # the tree learner shuffles RDDs of JVM objects: Kryo is the compact,
