@@ -3,10 +3,11 @@
 
 1. Every text becomes its set of distinct shingles (64-bit hashes). Equal sets
    are one class with one representative; copies are never compared.
-2. Shingles are put in one order for all: those found frequent (a bounded list)
-   last, the rest by hash. Two sets that reach the similarity share a shingle among
-   the first n - ceil(t * n) + 1 of each, whatever the order is, so only these
-   are joined on. The list's bound therefore affects speed, never the result.
+2. Shingles are put in one order for all: by how frequent their words are (from a
+   bounded list of counted words, others as the rarest), then by hash. Two sets that
+   reach the similarity share a shingle among the first n - ceil(t * n) + 1 of each,
+   whatever the order is, so only these are joined on. Rare first, unrelated texts
+   hardly ever meet; the list's bound affects speed, never the result.
 3. The sets that share such a shingle are cut by size into bands whose
    neighbours are within the similarity; each band's smallest set is compared
    with the band (a star, not all pairs).
@@ -14,10 +15,12 @@
    tiles of at most ``TILE`` sets (tile pairs, if it is larger), and sets of
    different components and fitting sizes are compared by hashed bitmaps: of
    the n shingles of a set, at least as many are not shared as it has bits
-   that the other lacks, which bounds the overlap from above. Only pairs
-   within the bound go on.
-5. Pairs that remain are verified on the sorted hash arrays, and linked sets
-   become components.
+   that the other lacks, which bounds the overlap from above. In a first round a
+   tile passes on only pairs that join components not joined in it before, so a
+   large group of near copies gives a tree, not all pairs; in a second, with the
+   components that this left, every pair within the bound.
+5. Pairs that are passed on are verified on the sorted hash arrays, and linked
+   sets become components.
 
 No group is gathered whole, no pair table is more than stars and the pairs that
 pass the bitmaps, and hashes of one task's documents leave it once per class.
@@ -39,19 +42,24 @@ from pyspark.sql import functions as F
 
 from zonekit.llm.common import stored
 from zonekit.llm.components import components
-from zonekit.llm.textscan import Words, mix, slices, text_bytes
+from zonekit.llm.textscan import Words, mix, slices, slices_of_rows, text_bytes
 
 #: sets compared with each other in one task at a time
 TILE = 2048
-#: at most so many frequent shingles are put last
+#: words whose counts order the shingles
 MAX_FREQUENT = 200_000
+#: a word is counted in a batch from this many occurrences on
+_OFTEN = 8
 #: classes whose prefix a task remembers having sent
 SENT = 1_000_000
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
-    words = Words(data, offsets, lower=True)
+    return _sets_of(Words(data, offsets, lower=True), k)
+
+
+def _sets_of(words: Words, k: int) -> list[np.ndarray]:
     hashes = words.shingles(k)
     out = []
     for a, b in zip(words.bounds[:-1], words.bounds[1:]):
@@ -96,68 +104,83 @@ def may_link(n_a, bits_a, n_b, bits_b, shared_bits, percent: int):
 
 
 def _documents(docs: DataFrame, k: int) -> DataFrame:
-    """Stored ``(doc_id, n, e, gram, df)``: a row per document (gram null), and rows of
-    locally frequent shingles with the number of a batch's classes that hold them."""
+    """Stored ``(doc_id, n, e, word, times)``: a row per document (word null), and rows of
+    the words that a batch holds often."""
 
     def run(batches):
         for batch in batches:
-            classes: dict[int, np.ndarray] = {}
+            heard = []
             for part in slices(batch, "text"):
-                sets = shingle_sets(*text_bytes(part.column("text")), k)
+                words = Words(*text_bytes(part.column("text")), lower=True)
+                sets = _sets_of(words, k)
+                heard.append(words.hash)
                 ids = [class_of(s) for s in sets]
-                classes.update(zip(ids, sets))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.int64()),
-                     pa.nulls(len(ids), pa.int64()), pa.nulls(len(ids), pa.int64())], ["doc_id", "n", "e", "gram", "df"])
-            if classes:
-                grams, counts = np.unique(np.concatenate(list(classes.values())), return_counts=True)
-                often = counts >= 3
+                     pa.nulls(len(ids), pa.int64()), pa.nulls(len(ids), pa.int64())], ["doc_id", "n", "e", "word", "times"])
+            if heard:
+                known, counts = np.unique(np.concatenate(heard), return_counts=True)
+                often = counts >= _OFTEN
                 m = int(often.sum())
                 yield pa.RecordBatch.from_arrays(
                     [pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()),
-                     pa.array(grams[often].view(np.int64)), pa.array(counts[often])], ["doc_id", "n", "e", "gram", "df"])
+                     pa.array(known[often].view(np.int64)), pa.array(counts[often])], ["doc_id", "n", "e", "word", "times"])
 
-    return stored(docs.mapInArrow(run, "doc_id long, n long, e long, gram long, df long"), "jaccard-documents")
+    return stored(docs.mapInArrow(run, "doc_id long, n long, e long, word long, times long"), "jaccard-documents")
 
 
 def _frequent(rows: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles (sorted) and their counts."""
-    counts = rows.where("gram is not null").groupBy("gram").agg(F.sum("df").alias("df"))
-    table = counts.orderBy(F.col("df").desc(), "gram").limit(most).toArrow()
-    grams, df = table["gram"].to_numpy().view(np.uint64), table["df"].to_numpy()
-    order = np.argsort(grams)
-    return grams[order], df[order]
+    """The most frequent words' hashes (sorted) and the weights of their counts."""
+    counts = rows.where("word is not null").groupBy("word").agg(F.sum("times").alias("times"))
+    table = counts.orderBy(F.col("times").desc(), "word").limit(most).toArrow()
+    words, times = table["word"].to_numpy().view(np.uint64), table["times"].to_numpy()
+    order = np.argsort(words)
+    return words[order], np.round(np.log2(np.maximum(times[order], 1))).astype(np.uint64)
+
+
+def _first_shingles(words: Words, k: int, percent: int, frequent: tuple[np.ndarray, np.ndarray], wanted: list[int], sets: list[np.ndarray]):
+    """Of each wanted text, the shingles that come first in the common order."""
+    known, weight = frequent
+    weights = np.zeros(len(words.hash), np.uint64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, words.hash), len(known) - 1)
+        weights = np.where(known[at] == words.hash, weight[at], np.uint64(0))
+    hashes = words.shingles(k)
+    n = len(hashes)
+    total = np.zeros(n, np.uint64)
+    for j in range(k):
+        total += weights[j:n + j]
+    # weight, then most of the hash: one number orders the shingles
+    order = (np.minimum(total, np.uint64(1023)) << np.uint64(54)) | (hashes >> np.uint64(10))
+    for i in wanted:
+        first = len(sets[i]) - least_overlap(len(sets[i]), percent) + 1
+        a, b = words.bounds[i], words.bounds[i + 1]
+        if b - a < k:
+            yield sets[i]
+            continue
+        own, place = np.unique(order[a:b - k + 1], return_index=True)
+        yield hashes[a + place[:first]]
 
 
 def _prefixes(docs: DataFrame, k: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """``(key, n, e)``: each class's first shingles in the common order."""
-    grams, df = frequent
 
     def run(batches):
         sent: set[int] = set()
         for batch in batches:
             for part in slices(batch, "text"):
-                keys, sizes, owners = [], [], []
-                for s in shingle_sets(*text_bytes(part.column("text")), k):
-                    e = class_of(s)
-                    if not len(s) or e in sent:
-                        continue
-                    if len(sent) > SENT:
-                        sent.clear()
-                    sent.add(e)
-                    first = len(s) - least_overlap(len(s), percent) + 1
-                    if len(grams):
-                        at = np.minimum(np.searchsorted(grams, s), len(grams) - 1)
-                        late = grams[at] == s
-                        head = s[~late][:first]
-                        if len(head) < first:
-                            tail = s[late][np.lexsort((s[late], df[at[late]]))]
-                            head = np.concatenate([head, tail[:first - len(head)]])
-                    else:
-                        head = s[:first]
-                    keys.append(head)
-                    sizes.append(np.full(len(head), len(s), np.int64))
-                    owners.append(np.full(len(head), e, np.int64))
+                words = Words(*text_bytes(part.column("text")), lower=True)
+                sets = _sets_of(words, k)
+                ids, wanted = [class_of(s) for s in sets], []
+                for i, e in enumerate(ids):
+                    if len(sets[i]) and e not in sent:
+                        sent.add(e)
+                        wanted.append(i)
+                if len(sent) > SENT:
+                    sent.clear()
+                keys = list(_first_shingles(words, k, percent, frequent, wanted, sets))
+                sizes = [np.full(len(head), len(sets[i]), np.int64) for i, head in zip(wanted, keys)]
+                owners = [np.full(len(head), ids[i], np.int64) for i, head in zip(wanted, keys)]
                 if keys:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(sizes)),
                                                       pa.array(np.concatenate(owners))], ["key", "n", "e"])
@@ -223,42 +246,62 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
 
 
 def _both(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
-    one, other = (sets.select(F.col("e").alias(x), F.col("n").alias(f"n_{x}"), F.col(column).alias(f"of_{x}")) for x in "ab")
-    return pairs.join(one, "a").join(other, "b").select("a", "b", "n_a", "n_b", "of_a", "of_b")
+    """``(a, b, sides)``: each pair with size and ``column`` of its two sets. The sets move once."""
+    sides = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("e")).join(sets.select("e", "n", column), "e")
+    return sides.groupBy("a", "b").agg(F.collect_set(F.struct("e", "n", F.col(column).alias("of"))).alias("sides"))
 
 
-def _within_bound(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _kept_pairs(pairs: DataFrame, sets: DataFrame, column: str, keep) -> DataFrame:
     def run(batches):
         for batch in batches:
-            keep = []
-            for r in zip(*(batch.column(i).to_pylist() for i in range(2, 6))):
-                x, y = np.frombuffer(r[2], np.uint64), np.frombuffer(r[3], np.uint64)
-                words = min(len(x), len(y))
-                x, y = folded(x, words), folded(y, words)
-                counts = (int(np.bitwise_count(z).sum()) for z in (x, y, x & y))
-                n_x, n_y, n_both = counts
-                keep.append(bool(may_link(r[0], n_x, r[1], n_y, n_both, percent)))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            for part in slices_of_rows(batch, 256):
+                kept = [keep(*[(x["n"], np.frombuffer(x["of"], np.uint64)) for x in two]) for two in part.column("sides").to_pylist()]
+                yield part.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    return _both(pairs, sets, column).mapInArrow(run, "a long, b long")
+
+
+def _within_bound(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    def keep(one, other):
+        words = min(len(one[1]), len(other[1]))
+        x, y = folded(one[1], words), folded(other[1], words)
+        counts = [int(np.bitwise_count(z).sum()) for z in (x, y, x & y)]
+        return bool(may_link(one[0], counts[0], other[0], counts[1], counts[2], percent))
 
-    return _both(pairs, sets, "bits").mapInArrow(run, "a long, b long")
+    return _kept_pairs(pairs, sets, "bits", keep)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs that truly link, by intersecting the sorted arrays."""
 
-    def run(batches):
-        for batch in batches:
-            keep = []
-            for r in zip(*(batch.column(i).to_pylist() for i in range(2, 6))):
-                shared = len(np.intersect1d(np.frombuffer(r[2], np.uint64), np.frombuffer(r[3], np.uint64), assume_unique=True))
-                keep.append(100 * shared >= percent * (r[0] + r[1] - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    def keep(one, other):
+        shared = len(np.intersect1d(one[1], other[1], assume_unique=True))
+        return 100 * shared >= percent * (one[0] + other[0] - shared)
+
+    return _kept_pairs(pairs, sets, "grams", keep)
+
+
+class _Forest:
+    """Which components a tile has joined so far."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def _top(self, x: int) -> int:
+        while (y := self.up.get(x, x)) != x:
+            self.up[x] = x = self.up.get(y, y)
+        return x
 
-    return _both(pairs, sets, "grams").mapInArrow(run, "a long, b long").distinct()
+    def joins(self, x: int, y: int) -> bool:
+        x, y = self._top(x), self._top(y)
+        self.up[max(x, y)] = min(x, y)
+        return x != y
 
 
-def _tile_pairs(e, n, root, side, maps, percent: int, alone: bool):
-    """Pairs of one tile (or of two tiles with each other) that the bitmaps let pass."""
+def _tile_pairs(e, n, root, side, maps, percent: int, alone: bool, tree: bool):
+    """Pairs of one tile (or of two tiles with each other) that the bitmaps let
+    pass; with ``tree`` only those that join components."""
+    forest = _Forest()
     words = min(len(m) for m in maps)
     maps = np.stack([folded(m, words) for m in maps])
     counts = np.bitwise_count(maps).sum(axis=1).astype(np.int64)
@@ -272,12 +315,17 @@ def _tile_pairs(e, n, root, side, maps, percent: int, alone: bool):
             p, q = x[a:a + (1 << 16)] + i, y[a:a + (1 << 16)]
             shared = np.bitwise_count(maps[p] & maps[q]).sum(axis=1).astype(np.int64)
             ok = may_link(n[p], counts[p], n[q], counts[q], shared, percent)
-            if ok.any():
-                yield e[p[ok]], e[q[ok]]
+            p, q = p[ok], q[ok]
+            if tree:
+                new = [forest.joins(a, b) for a, b in zip(root[p].tolist(), root[q].tolist())]
+                p, q = p[new], q[new]
+            if len(p):
+                yield e[p], e[q]
 
 
-def _across(groups: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, tile: int) -> DataFrame:
-    """``(a, b)``: pairs of different components within a group that the bitmaps let pass."""
+def _across(groups: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, tile: int, tree: bool) -> DataFrame:
+    """``(a, b)``: pairs of different components within a group that the bitmaps let
+    pass; with ``tree`` only as many as join the components of each tile."""
     known = groups.join(roots, groups["e"] == roots["node"], "left").select("grp", "e", F.coalesce("root", "e").alias("root"))
     mixed = (known.groupBy("grp").agg(F.count(F.lit(1)).alias("g"), F.min("root").alias("r0"), F.max("root").alias("r1"))
              .where("g > 2 and r0 <> r1").select("grp", F.ceil(F.col("g") / tile).cast("int").alias("tiles")))
@@ -305,7 +353,7 @@ def _across(groups: DataFrame, roots: DataFrame, sets: DataFrame, percent: int,
             t0, t1 = group["t0"][0].as_py(), group["t1"][0].as_py()
             e, n, root, side = (group[c].to_numpy() for c in ("e", "n", "root", "own"))
             maps = [np.frombuffer(b, np.uint64) for b in group["bits"].to_pylist()]
-            for p, q in _tile_pairs(e, n, root, side, maps, percent, t0 == t1):
+            for p, q in _tile_pairs(e, n, root, side, maps, percent, t0 == t1, tree):
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], ["a", "b"])
 
     return dealt.select(*names).mapInArrow(run, "a long, b long").distinct()
@@ -318,7 +366,7 @@ def link_components(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "
     ``component_id`` is the smallest id of the component, ``class_id`` that of the documents with an equal set."""
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = _documents(docs, k)
-    documents = rows.where("gram is null").select("doc_id", "n", "e")
+    documents = rows.where("word is null").select("doc_id", "n", "e")
     classes = stored(documents.where("n > 0").groupBy("e").agg(F.min("doc_id").alias("rep")), "jaccard-classes")
     groups = stored(_groups(_prefixes(docs, k, percent, _frequent(rows, max_frequent)), percent), "jaccard-groups")
     wanted = groups.select("e").distinct().join(classes, "e")
@@ -326,10 +374,13 @@ def link_components(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "
     stars = groups.where("e <> hub").select(F.col("hub").alias("a"), F.col("e").alias("b")).distinct()
     links = stored(_verified(stored(_within_bound(stars, sets, percent), "jaccard-pairs"), sets, percent), "jaccard-links")
     roots = stored(components(links), "jaccard-roots")
-    across = stored(_across(groups, roots, sets, percent, tile), "jaccard-pairs")
-    more = stored(_verified(across, sets, percent), "jaccard-links")
-    if more.head(1):
-        roots = stored(components(links.union(more)), "jaccard-roots")
+    for tree in (True, False):
+        across = stored(_across(groups, roots, sets, percent, tile, tree), "jaccard-pairs")
+        more = stored(_verified(across, sets, percent), "jaccard-links")
+        if more.head(1):
+            # links of earlier rounds are in the roots already
+            links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more)
+            roots = stored(components(links), "jaccard-roots")
     member = classes.join(roots, classes["e"] == roots["node"], "left").select("e", "rep", F.coalesce("root", "e").alias("root"))
     named = member.join(member.groupBy("root").agg(F.min("rep").alias("component_id")), "root").select("e", "rep", "component_id")
     alone: Column = F.col("n") == 0

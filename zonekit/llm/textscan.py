@@ -73,6 +73,12 @@ def slices(batch, column: str, at_most: int = 4 << 20):
         yield batch.slice(start)
 
 
+def slices_of_rows(batch, rows: int):
+    """Parts of a batch of at most ``rows`` rows."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def _runs(data, offsets, separator) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs without separators; none crosses a document."""
     inside = ~separator[data]
@@ -137,4 +143,4 @@ def lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, _hash_runs(data, starts, ends, LINE, False)
 
 
-__all__ = ["Words", "lines", "mix", "slices", "text_bytes", "IS_SPACE", "LOWER"]
+__all__ = ["Words", "lines", "mix", "slices", "slices_of_rows", "text_bytes", "IS_SPACE", "LOWER"]
