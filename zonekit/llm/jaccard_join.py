@@ -17,8 +17,8 @@
    the n shingles of a set, at least as many are not shared as it has bits
    that the other lacks, which bounds the overlap from above. In a first round a
    tile passes on only pairs that join components not joined in it before, so a
-   large group of near copies gives a tree, not all pairs; in a second, with the
-   components that this left, every pair within the bound.
+   large group of near copies gives a tree, not all pairs; in a second, the groups
+   where this left pairs out pass on every pair of components that are still apart.
 5. Pairs that are passed on are verified on the sorted hash arrays, and linked
    sets become components.
 
@@ -300,7 +300,7 @@ class _Forest:
 
 def _tile_pairs(e, n, root, side, maps, percent: int, alone: bool, tree: bool):
     """Pairs of one tile (or of two tiles with each other) that the bitmaps let
-    pass; with ``tree`` only those that join components."""
+    pass, and how many were left out; with ``tree`` those that join nothing are."""
     forest = _Forest()
     words = min(len(m) for m in maps)
     maps = np.stack([folded(m, words) for m in maps])
@@ -316,16 +316,18 @@ def _tile_pairs(e, n, root, side, maps, percent: int, alone: bool, tree: bool):
             shared = np.bitwise_count(maps[p] & maps[q]).sum(axis=1).astype(np.int64)
             ok = may_link(n[p], counts[p], n[q], counts[q], shared, percent)
             p, q = p[ok], q[ok]
+            passed = len(p)
             if tree:
                 new = [forest.joins(a, b) for a, b in zip(root[p].tolist(), root[q].tolist())]
                 p, q = p[new], q[new]
-            if len(p):
-                yield e[p], e[q]
+            if passed:
+                yield e[p], e[q], passed - len(p)
 
 
 def _across(groups: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, tile: int, tree: bool) -> DataFrame:
-    """``(a, b)``: pairs of different components within a group that the bitmaps let
-    pass; with ``tree`` only as many as join the components of each tile."""
+    """``(a, b, grp)``: pairs of different components within a group that the bitmaps let
+    pass (grp null); with ``tree`` only as many as join the components of each
+    tile, and the groups in which pairs were left out (a, b null)."""
     known = groups.join(roots, groups["e"] == roots["node"], "left").select("grp", "e", F.coalesce("root", "e").alias("root"))
     mixed = (known.groupBy("grp").agg(F.count(F.lit(1)).alias("g"), F.min("root").alias("r0"), F.max("root").alias("r1"))
              .where("g > 2 and r0 <> r1").select("grp", F.ceil(F.col("g") / tile).cast("int").alias("tiles")))
@@ -353,10 +355,14 @@ def _across(groups: DataFrame, roots: DataFrame, sets: DataFrame, percent: int,
             t0, t1 = group["t0"][0].as_py(), group["t1"][0].as_py()
             e, n, root, side = (group[c].to_numpy() for c in ("e", "n", "root", "own"))
             maps = [np.frombuffer(b, np.uint64) for b in group["bits"].to_pylist()]
-            for p, q in _tile_pairs(e, n, root, side, maps, percent, t0 == t1, tree):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], ["a", "b"])
+            left_out = 0
+            for p, q, more in _tile_pairs(e, n, root, side, maps, percent, t0 == t1, tree):
+                left_out += more
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q)), pa.nulls(len(p), pa.int64())], ["a", "b", "grp"])
+            if left_out:
+                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), group["grp"].combine_chunks()[:1]], ["a", "b", "grp"])
 
-    return dealt.select(*names).mapInArrow(run, "a long, b long").distinct()
+    return dealt.select(*names).mapInArrow(run, "a long, b long, grp long").distinct()
 
 
 def link_components(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", text_col: str = "text",
@@ -376,7 +382,8 @@ def link_components(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "
     roots = stored(components(links), "jaccard-roots")
     for tree in (True, False):
         across = stored(_across(groups, roots, sets, percent, tile, tree), "jaccard-pairs")
-        more = stored(_verified(across, sets, percent), "jaccard-links")
+        groups = groups.join(across.where("grp is not null").select("grp").distinct(), "grp", "left_semi")
+        more = stored(_verified(across.where("grp is null").select("a", "b"), sets, percent), "jaccard-links")
         if more.head(1):
             # links of earlier rounds are in the roots already
             links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more)
