@@ -23,9 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from zonekit.llm.common import carried
+from zonekit.llm.textscan import slices, slices_of_rows
 
 #: texts longer than this are cut at safe boundaries into parts of about it
 PART_CHARS = 1 << 16
+#: bytes of text encoded at a time
+PART_BYTES = 1 << 20
 _SAFE = re.compile(r"(?<=[A-Za-z0-9])(?=[ \n])")
 _LOADED: dict = {}
 
@@ -68,8 +71,9 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "text"
     def run(batches):
         encoding = codec(rank_file, pattern)
         for batch in batches:
-            ids = [encode_text(encoding, t.as_py(), part_chars) for t in batch.column(text_col)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(ids, pa.list_(pa.int32()))], schema.names)
+            for part in slices(batch, text_col, PART_BYTES):  # lists of ids are many times the text
+                ids = [encode_text(encoding, t.as_py(), part_chars) for t in part.column(text_col)]
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(ids, pa.list_(pa.int32()))], schema.names)
 
     return docs.mapInArrow(run, schema)
 
@@ -81,8 +85,9 @@ def decode(encoded: DataFrame, rank_file: str, pattern: str, ids_col: str = "ids
     def run(batches):
         encoding = codec(rank_file, pattern)
         for batch in batches:
-            out = [None if ids is None else encoding.decode_bytes(ids) for ids in batch.column(ids_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(out, pa.binary())], schema.names)
+            for part in slices_of_rows(batch, 256):
+                out = [None if ids is None else encoding.decode_bytes(ids) for ids in part.column(ids_col).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(out, pa.binary())], schema.names)
 
     return encoded.mapInArrow(run, schema)
 
