@@ -113,13 +113,14 @@ def _documents(docs: DataFrame, k: int) -> DataFrame:
             for part in slices(batch, "text"):
                 words = Words(*text_bytes(part.column("text")), lower=True)
                 sets = _sets_of(words, k)
-                heard.append(words.hash)
+                heard.append(np.unique(words.hash, return_counts=True))
                 ids = [class_of(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.int64()),
                      pa.nulls(len(ids), pa.int64()), pa.nulls(len(ids), pa.int64())], ["doc_id", "n", "e", "word", "times"])
             if heard:
-                known, counts = np.unique(np.concatenate(heard), return_counts=True)
+                known, place = np.unique(np.concatenate([h for h, _ in heard]), return_inverse=True)
+                counts = np.bincount(place, np.concatenate([c for _, c in heard]), len(known)).astype(np.int64)
                 often = counts >= _OFTEN
                 m = int(often.sum())
                 yield pa.RecordBatch.from_arrays(

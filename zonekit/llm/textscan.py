@@ -60,7 +60,7 @@ def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def slices(batch, column: str, at_most: int = 4 << 20):
+def slices(batch, column: str, at_most: int = 1 << 20):
     """Parts of a batch of about ``at_most`` text bytes, at least one row each."""
     start, size = 0, 0
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
