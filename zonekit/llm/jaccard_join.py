@@ -335,7 +335,9 @@ def _across(groups: DataFrame, roots: DataFrame, sets: DataFrame, percent: int,
     rows = known.join(mixed, "grp").withColumn("own", F.pmod(F.xxhash64("e"), F.col("tiles")).cast("int"))
     dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     dealt = dealt.select("grp", F.least("own", "other").alias("t0"), F.greatest("own", "other").alias("t1"), "own", "e", "root")
-    dealt = dealt.join(sets.select("e", "n", "bits"), "e").repartition("grp", "t0", "t1").sortWithinPartitions("grp", "t0", "t1")
+    dealt = dealt.join(sets.select("e", "n", "bits"), "e").repartition("grp", "t0", "t1")
+    # by class, so that the trees of groups with the same members are the same pairs
+    dealt = dealt.sortWithinPartitions("grp", "t0", "t1", "e")
     names = ["grp", "t0", "t1", "own", "e", "root", "n", "bits"]
 
     def runs(batches):
