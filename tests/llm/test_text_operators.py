@@ -197,6 +197,19 @@ def test_ratio_tells_junk_from_target(spark):
     assert quality.quality(docs.where("false"), labels).count() == 0
 
 
+def test_clean_documents_outside_a_small_target_are_kept(spark):
+    folder = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    good = {r.doc_id for r in labels.where("quality = 1 and toxic = 0").collect()}
+    kept = passed = 0
+    for fold in range(4):
+        out = {i for i in good if i % 4 == fold}
+        scored = quality.quality(docs, labels.where(~F.col("doc_id").isin(out)), carry=["doc_id"]).where(F.col("doc_id").isin(out) & ~F.col("base_failed")).collect()
+        passed += len(scored)
+        kept += sum(r.kept for r in scored)
+    assert passed > 50 and kept >= 0.97 * passed
+
+
 def test_ngram_counts_equal_brute_force():
     text = "Été à la MER, x2 日本"
     letters = "".join(c if c.isalpha() else " " for c in text.lower())

@@ -3,22 +3,28 @@
 Base rules count, per document, words, code points in words, symbol
 characters, repeated lines and words in repeated 3-word windows. The verdict
 on documents that pass them is a log-likelihood ratio: word uni- and bigrams
-are hashed into a fixed number of buckets; one multinomial is counted over a trusted
-target (documents labelled good), one over the whole raw corpus, both
-add-one smoothed; a document's score is the mean of log(target / raw) over its
-n-grams. A document is kept when the score reaches a fixed threshold, so equal
-texts always get equal verdicts.
-
-Scale: two passes over the text and one shuffle of at most ``buckets`` rows per
-task. Only the bucket table (its size is the parameter) and the target ids
+are hashed into a fixed number of buckets, counted over a trusted target
+(documents labelled good) and over the whole raw corpus. A bucket's weight is
+log((seen + s) / (expected + s)): how often the target has it, against how often
+it would at the raw corpus's rate, so a bucket the target is too small to
+speak of weighs nothing. A document's score is the mean over its n-grams.
+
+The threshold is ``THRESHOLD``, or lower where clean documents outside the target
+score lower: the target is dealt into folds by text (copies stay together), each fold is
+scored by weights counted without it, and the threshold is not above the median
+of these scores less ``SPREAD`` times its distance to their tenth
+percentile. One threshold holds for all rows, so equal texts always get equal verdicts.
+
+Scale: three passes over the text (the second hashes target documents only) and
+one shuffle of at most ``FOLDS`` + 1 times ``buckets`` rows per task; held-out scores are
+counted in steps of 1 / ``STEPS``. Only the bucket tables (their size is the parameter) and the target ids
 (at most ``max_target``, chosen by hash among the labelled good documents; a
 parameter, only for the fitted side) go to the tasks; the raw counts
 cover every document.
 
 Edge cases: a null or empty text has zero counts and fails the base rules;
 repeated document ids are scored row by row; empty tables give an empty result;
-without target documents the ratio is 0 for every n-gram and only the base
-rules decide; null labels or ids in ``labels`` are no target.
+without target documents every weight is 0 and only the base rules decide; null labels or ids in ``labels`` are no target.
 """
 
 from __future__ import annotations
@@ -34,6 +40,12 @@ from zonekit.llm.textscan import Words, lines, mix, slices, text_bytes
 BUCKETS = 1 << 13
 MAX_TARGET = 20_000
 THRESHOLD = -0.05
+#: occurrences of a bucket that the target is taken to hold at the raw rate besides its own
+SMOOTHING = 10
+#: parts of the target that are scored without being counted
+FOLDS = 10
+SPREAD = 2.5
+STEPS = 1000
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
@@ -110,45 +122,108 @@ def target_ids(labels: DataFrame, max_target: int = MAX_TARGET, key: str = "doc_
     return sorted(r.id for r in good.orderBy(F.xxhash64("id"), "id").limit(max_target).collect())
 
 
-def fit(docs: DataFrame, targets: list[int], key: str = "doc_id", text_col: str = "text",
-        buckets: int = BUCKETS) -> np.ndarray:
-    """log(target / raw) per bucket."""
+def _folds(words: Words) -> np.ndarray:
+    """The fold of each document; equal texts share one."""
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(words.hash), dtype=np.uint64)])
+    return (mix(total[words.bounds[1:]] - total[words.bounds[:-1]]) % np.uint64(FOLDS)).astype(np.int64)
+
+
+def _means(words: Words, ones: np.ndarray, twos: np.ndarray, inside: np.ndarray, ratio: np.ndarray) -> np.ndarray:
+    """Mean weight of each document's n-grams (nan without words)."""
+    gain = np.zeros(len(ones))
+    gain += ratio[ones]
+    gain[:-1] += np.where(inside, ratio[twos], 0.0)
+    return np.array([gain[a:b].sum() / (2 * (b - a) - 1) if b > a else np.nan
+                     for a, b in zip(words.bounds[:-1], words.bounds[1:])])
+
+
+def _failed(n_words: np.ndarray, n_repeat_words: np.ndarray, min_words: int, max_repeat_percent: int) -> np.ndarray:
+    return (n_words < min_words) | (100 * n_repeat_words > max_repeat_percent * n_words)
+
+
+def weights(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """log of target against raw rate per bucket, towards 0 where the target is small."""
+    expected = raw * (target.sum() / max(1, raw.sum()))
+    return np.log((target + SMOOTHING) / (expected + SMOOTHING))
+
+
+def counts(docs: DataFrame, targets: list[int], key: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
+    """Occurrences per bucket: in all documents, and in the target by fold."""
     targets = np.array(targets, np.int64)
 
     def run(batches):
-        raw, target = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
+        # the last row is the raw corpus
+        seen = np.zeros((FOLDS + 1, buckets), np.int64)
         for batch in batches:
             for part in slices(batch, "text"):
                 data, offsets = text_bytes(part.column("text"))
                 words = Words(data, offsets)
                 ids = part.column("id").fill_null(-1 << 63).to_numpy(zero_copy_only=False)
-                good = np.repeat(np.isin(ids, targets), np.diff(words.bounds))
+                fold = np.repeat(np.where(np.isin(ids, targets), _folds(words), -1), np.diff(words.bounds))
                 ones, twos, inside = _grams(words, buckets)
-                raw += np.bincount(ones, minlength=buckets) + np.bincount(twos[inside], minlength=buckets)
-                target += np.bincount(ones[good], minlength=buckets) + np.bincount(twos[inside & good[:-1]], minlength=buckets)
-        used = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(raw[used]), pa.array(target[used])], ["bucket", "raw", "target"])
-
-    counted = docs.select(F.col(key).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "bucket long, raw long, target long")
-    rows = counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow()
-    raw, target = np.ones(buckets), np.ones(buckets)
-    at = rows["bucket"].to_numpy()
-    raw[at] += rows["raw"].to_numpy()
-    target[at] += rows["target"].to_numpy()
-    if target.sum() == buckets:
-        return np.zeros(buckets)
-    return np.log(target / target.sum()) - np.log(raw / raw.sum())
+                seen[FOLDS] += np.bincount(ones, minlength=buckets) + np.bincount(twos[inside], minlength=buckets)
+                good, both = fold >= 0, inside & (fold[:-1] >= 0)
+                places = np.concatenate([fold[good] * buckets + ones[good], fold[:-1][both] * buckets + twos[both]])
+                seen[:FOLDS] += np.bincount(places, minlength=FOLDS * buckets).reshape(FOLDS, buckets)
+        fold, bucket = np.nonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(fold), pa.array(bucket), pa.array(seen[fold, bucket])], ["fold", "bucket", "n"])
+
+    counted = docs.select(F.col(key).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "fold long, bucket long, n long")
+    rows = counted.groupBy("fold", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    seen = np.zeros((FOLDS + 1, buckets), np.int64)
+    seen[rows["fold"].to_numpy(), rows["bucket"].to_numpy()] = rows["n"].to_numpy()
+    return seen[FOLDS], seen[:FOLDS]
+
+
+def held_out_threshold(docs: DataFrame, targets: list[int], raw: np.ndarray, folds: np.ndarray, key: str = "doc_id", text_col: str = "text",
+                       most: float = THRESHOLD, min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT) -> float:
+    """``most``, or less where target documents that are not counted score less."""
+    targets, buckets = np.array(targets, np.int64), len(raw)
+    ratios = [weights(raw, folds.sum(axis=0) - own) for own in folds]
+
+    def run(batches):
+        times: dict[int, int] = {}
+        for batch in batches:
+            ids = batch.column("id").fill_null(-1 << 63).to_numpy(zero_copy_only=False)
+            for part in slices(batch.filter(pa.array(np.isin(ids, targets))), "text"):
+                data, offsets = text_bytes(part.column("text"))
+                words = Words(data, offsets)
+                out, fold = measure(data, offsets, words), _folds(words)
+                passed = ~_failed(out["n_words"], out["n_repeat_words"], min_words, max_repeat_percent)
+                grams = _grams(words, buckets)
+                for i in np.unique(fold[passed]):
+                    means = _means(words, *grams, ratios[i])[passed & (fold == i)]
+                    for step in np.floor(means * STEPS).astype(np.int64).tolist():
+                        times[step] = times.get(step, 0) + 1
+        yield pa.RecordBatch.from_arrays([pa.array(list(times), pa.int64()), pa.array(list(times.values()), pa.int64())], ["step", "n"])
+
+    scored = docs.select(F.col(key).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "step long, n long")
+    rows = scored.groupBy("step").agg(F.sum("n").alias("n")).orderBy("step").toArrow()
+    if not rows.num_rows:
+        return most
+    steps, upto = rows["step"].to_numpy(), np.cumsum(rows["n"].to_numpy())
+    low, middle = (steps[np.searchsorted(upto, share * upto[-1])] / STEPS for share in (0.1, 0.5))
+    return min(most, float(middle - SPREAD * (middle - low)))
+
+
+def fit(docs: DataFrame, targets: list[int], key: str = "doc_id", text_col: str = "text",
+        buckets: int = BUCKETS, most: float = THRESHOLD) -> tuple[np.ndarray, float]:
+    """Weight per bucket, and the threshold."""
+    raw, folds = counts(docs, targets, key, text_col, buckets)
+    if not folds.any():
+        return np.zeros(buckets), most
+    return weights(raw, folds.sum(axis=0)), held_out_threshold(docs, targets, raw, folds, key, text_col, most)
 
 
 def score(docs: DataFrame, ratio: np.ndarray, text_col: str = "text", threshold: float = THRESHOLD,
           min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT,
           carry: list[str] | None = None) -> DataFrame:
-    """Add the base counts, ``base_failed``, ``score`` (mean log ratio; null without
+    """Add the base counts, ``base_failed``, ``score`` (mean weight; null without
     words) and ``kept`` to every row. Input columns of these names are replaced;
     ``carry`` names the input columns to pass on (default: all)."""
     new = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, score double, kept boolean"
     names, schema = carried(docs, new, carry)
-    counts = schema.names[len(names):len(names) + 5]
+    counted = schema.names[len(names):len(names) + 5]
     buckets = len(ratio)
 
     def run(batches):
@@ -158,16 +233,11 @@ def score(docs: DataFrame, ratio: np.ndarray, text_col: str = "text", threshold:
                 words = Words(data, offsets)
                 out = measure(data, offsets, words)
                 n = out["n_words"]
-                ones, twos, inside = _grams(words, buckets)
-                gain = np.zeros(len(ones))
-                gain += ratio[ones]
-                gain[:-1] += np.where(inside, ratio[twos], 0.0)
-                means = np.array([gain[a:b].sum() / (2 * (b - a) - 1) if b > a else np.nan
-                                  for a, b in zip(words.bounds[:-1], words.bounds[1:])])
-                failed = (n < min_words) | (100 * out["n_repeat_words"] > max_repeat_percent * n)
+                means = _means(words, *_grams(words, buckets), ratio)
+                failed = _failed(n, out["n_repeat_words"], min_words, max_repeat_percent)
                 kept = ~failed & (means >= threshold)
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in names), *(pa.array(out[k], pa.int64()) for k in counts), pa.array(failed), pa.array(means, mask=n == 0), pa.array(kept)],
+                    [*(part.column(c) for c in names), *(pa.array(out[k], pa.int64()) for k in counted), pa.array(failed), pa.array(means, mask=n == 0), pa.array(kept)],
                     schema.names)
 
     return docs.select(*{*names, text_col}).mapInArrow(run, schema)
@@ -176,8 +246,9 @@ def score(docs: DataFrame, ratio: np.ndarray, text_col: str = "text", threshold:
 def quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text_col: str = "text",
             buckets: int = BUCKETS, max_target: int = MAX_TARGET, threshold: float = THRESHOLD,
             carry: list[str] | None = None) -> DataFrame:
-    """Fit on ``docs`` and ``labels``, then score every row of ``docs``."""
-    return score(docs, fit(docs, target_ids(labels, max_target, key), key, text_col, buckets), text_col, threshold, carry=carry)
+    """Fit on ``docs`` and ``labels``, then score every row of ``docs``; ``threshold`` is the highest allowed."""
+    ratio, threshold = fit(docs, target_ids(labels, max_target, key), key, text_col, buckets, threshold)
+    return score(docs, ratio, text_col, threshold, carry=carry)
 
 
-__all__ = ["measure", "target_ids", "fit", "score", "quality", "BUCKETS", "MAX_TARGET", "THRESHOLD"]
+__all__ = ["measure", "target_ids", "weights", "counts", "held_out_threshold", "fit", "score", "quality", "BUCKETS", "MAX_TARGET", "THRESHOLD"]
