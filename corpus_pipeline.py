@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonekit.llm import bpe_codec, jaccard_join, mixing, quality, secret_scan
@@ -25,12 +25,14 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (five-word shingles, similarity 0.8 or more) keep the
-    document with the smallest id; of repeated rows of an id, one. Documents without id stay."""
-    linked = jaccard_join.link_components(docs, k=5, percent=80)
-    first = linked.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi")
-    kept = kept.withColumn("__row", F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where("__row = 1")
-    return kept.select(*docs.columns).union(docs.where("doc_id is null"))
+    row with the smallest id (null last, then by a digest of the text). Rows are told apart by a
+    number of their own, so equal or missing ids neither join rows nor keep copies; a text without words is in no group."""
+    rows = docs.withColumn("__row", F.monotonically_increasing_id()).withColumn("__digest", F.xxhash64("text"))
+    rows = stored(rows, "near-copies")
+    linked = jaccard_join.link_components(rows, k=5, percent=80, key="__row").select(F.col("doc_id").alias("__row"), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "__digest", "__row")
+    first = linked.join(rows.select("__row", "doc_id", "__digest"), "__row").groupBy("component_id").agg(F.min(order).alias("first"))
+    return rows.join(first.select(F.col("first.__row").alias("__row")), "__row", "left_semi").select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -305,3 +305,16 @@ def test_near_copies_stage_keeps_one_of_each(spark):
     kept = sorted((r.doc_id if r.doc_id is not None else -1) for r in corpus_pipeline.keep_one_of_each(spark, docs, "").collect())
     assert kept == [-1, 2, 7, 8]
 
+
+def test_near_copies_stage_tells_rows_with_equal_ids_apart(spark):
+    import corpus_pipeline
+
+    rng = random.Random(4)
+    alone, copied, lost, *own = (prose(rng, 100, 9000) for _ in range(9))
+    rows = [(3, copied), (7, alone), (7, copied), (None, lost), (None, lost + " tail"), (None, own[0]), *((1, t) for t in own[1:]), (2, own[1])]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.keep_one_of_each(spark, docs, "")
+    assert out.columns == docs.columns
+    kept = [(r.doc_id, r.text) for r in out.collect()]
+    without, want = [k for k in kept if k[1] not in (lost, lost + " tail")], [(3, copied), (7, alone), (None, own[0]), *((1, t) for t in own[1:])]
+    assert sorted(map(str, without)) == sorted(map(str, want)) and len(kept) == len(want) + 1
