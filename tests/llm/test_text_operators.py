@@ -75,6 +75,20 @@ def test_redaction_leaves_the_rest(spark):
     assert sorted((r.text for r in clean.collect()), key=key) == sorted((cut(r.text) for r in docs.collect()), key=key)
 
 
+def test_hex_keys_within_longer_runs_are_found(spark):
+    rng = random.Random(12)
+    rows = []
+    for before, digits, n in (("", "0123456789ABCDEF", 32), ("KEY=", "0123456789ABCDEF", 32), ("id-", "0123456789ABCDEF", 32), ("sig_", "0123456789ABCDEF", 32),
+                              ("x/", "0123456789ABCDEF", 32), ("KEY=", "0123456789ABCDEF", 64), ("k=", "0123456789abcdefABCDEF", 40)):
+        rows += [(f"é {before}", "".join(rng.choice(digits) for _ in range(n))) for _ in range(30)]
+    docs = spark.createDataFrame([(i, a + b + "-z .") for i, (a, b) in enumerate(rows)], "doc_id long, text string")
+    found = {r.doc_id: [(s.start, s.end) for s in r.all_spans if s.kind == "entropy_hex"] for r in secret_scan.scan(docs).collect()}
+    assert found == {i: [(len(a), len(a + b))] for i, (a, b) in enumerate(rows)}
+    assert all(b not in r.text for (_, b), r in zip(rows, secret_scan.redact(docs).orderBy("doc_id").collect()))
+    odd = ["A" * 30 + "=x", "=0123456789" * 5, "KEY=" + "AB12" * 10, "K=" + "0123456789ABCDEF01234567"[:23], "x-0123456789abcdef01234567"]
+    assert all(s.kind != "entropy_hex" for r in secret_scan.scan(docs.limit(0).union(spark.createDataFrame(list(enumerate(odd)), docs.schema))).collect() for s in r.all_spans)
+
+
 def fill(sizes, weights=(5, 2, 1), most=3):
     names = sorted(sizes, key=lambda s: (s is None, s))
     weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}

@@ -7,7 +7,8 @@ a pattern's matches (``split``) with the matches themselves
 (``regexp_extract_all``), in code points, end exclusive.
 
 The method adds ``entropy_hex`` and ``entropy_token`` spans: maximal runs of a
-character class that are long enough are candidates; a window slides over each, with
+character class that are long enough are candidates (a hex run also within a
+longer token run; a token run that is all hex is a hex run); a window slides over each, with
 counts per character updated incrementally by the entering and the leaving
 character, and the candidate is a secret if some window's Shannon entropy
 reaches its class's limit. Sums of c * log2(c) are whole millionths, so results do
@@ -37,6 +38,8 @@ HEX = r"[0-9a-f]{24,}"
 #: candidates of the method: kind, run, window, least entropy in bits
 CLASSES = {"entropy_hex": (r"[0-9A-Fa-f]+", 24, 3.0), "entropy_token": (r"[A-Za-z0-9+/_=-]+", 20, 3.8)}
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+#: every match lies in a match of CANDIDATE
+HEX_CANDIDATE = r"[0-9A-Fa-f]{24,}"
 #: a candidate that one of these matches whole is no secret
 ALLOW = (r"[A-Za-z_-]+", r"[0-9_=+/-]+", r"[A-Z]?[a-z]+([0-9]{1,4}|[_/-][A-Za-z]+)*",
          r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",
@@ -88,23 +91,21 @@ def least_sum(candidate: Column, window: int) -> Column:
 
 
 def _entropy_spans(text: Column, base: Column, allow: tuple[str, ...]) -> Column:
-    hex_run, hex_window, hex_bits = CLASSES["entropy_hex"]
-    _, window, bits = CLASSES["entropy_token"]
-    is_hex = lambda s: s.rlike(f"^{hex_run}$") & (F.length(s) >= hex_window)
+    hex_run, hex_window, _ = CLASSES["entropy_hex"]
 
-    def secret(span: Column) -> Column:
-        s = span["found"]
-        allowed = s.rlike("^(" + "|".join(f"({p})" for p in allow) + ")$")
-        inside = F.exists(base, lambda b: (b["start"] <= span["start"]) & (span["end"] <= b["end"]))
-        high = F.when(is_hex(s), least_sum(s, hex_window) <= limit(hex_window, hex_bits)).otherwise(least_sum(s, window) <= limit(window, bits))
-        return F.when(allowed | inside, F.lit(False)).otherwise(high)
+    def secrets(pattern: str, kind: str) -> Column:
+        _, window, bits = CLASSES[kind]
 
-    def named(span: Column) -> Column:
-        kind = F.when(is_hex(span["found"]), "entropy_hex").otherwise("entropy_token")
-        rank = F.when(is_hex(span["found"]), KINDS.index("entropy_hex")).otherwise(KINDS.index("entropy_token"))
-        return F.struct(span["start"].alias("start"), rank.alias("rank"), span["end"].alias("end"), kind.alias("kind"), span["found"].alias("found"))
+        def secret(span: Column) -> Column:
+            s = span["found"]
+            allowed = s.rlike("^(" + "|".join(f"({p})" for p in allow) + ")$")
+            inside = F.exists(base, lambda b: (b["start"] <= span["start"]) & (span["end"] <= b["end"]))
+            other = s.rlike(f"^{hex_run}$") & (F.length(s) >= hex_window) if kind == "entropy_token" else F.lit(False)
+            return F.when(allowed | inside | other, F.lit(False)).otherwise(least_sum(s, window) <= limit(window, bits))
 
-    return F.transform(F.filter(_spans(text, CANDIDATE, "entropy_token"), secret), named)
+        return F.filter(_spans(text, pattern, kind), secret)
+
+    return F.concat(secrets(HEX_CANDIDATE, "entropy_hex"), secrets(CANDIDATE, "entropy_token"))
 
 
 def scan(docs: DataFrame, text_col: str = "text", allow: tuple[str, ...] = ALLOW) -> DataFrame:
@@ -142,4 +143,4 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", allo
     return found.select(*[text.alias(text_col) if c == text_col else F.col(c) for c in docs.columns])
 
 
-__all__ = ["scan", "redact", "listed", "least_sum", "limit", "KINDS", "CLASSES", "CANDIDATE", "ALLOW", "ASSIGN", "ACCESS", "HEX"]
+__all__ = ["scan", "redact", "listed", "least_sum", "limit", "KINDS", "CLASSES", "CANDIDATE", "HEX_CANDIDATE", "ALLOW", "ASSIGN", "ACCESS", "HEX"]
