@@ -152,6 +152,14 @@ def test_mixed_documents_take_what_the_mix_says(spark):
     assert mixing.mixed_documents(docs.where("doc_id < 3")).count() == 0  # no words at all
 
 
+def test_mixed_documents_come_in_the_order_of_the_schedule(spark):
+    docs = plain(spark)
+    sized = mixing.sizes(docs)
+    mix = mixing.mixture(sized, mixing.targets(sized), 16).groupBy("row", "epoch").agg(F.min("time").alias("time"))
+    want = [r.key for r in mix.join(sized, "row").orderBy("time", "epoch", "order", "key").collect()]
+    assert len(want) > 20 and [r.doc_id for r in mixing.mixed_documents(docs, block_words=16).collect()] == want
+
+
 def turns(spark):
     rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "<turn>a</turn>\n & &lt; &amp;lt; \\### Assistant: "), (1, 2, "user", None), (1, 3, "assistant", "b\n\nc"),
             (2, 5, "assistant", ""), (2, 5, "assistant", "same turn"), (2, None, "system", "no number"), (3, 0, "user", "no reply"),

@@ -130,15 +130,18 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", text_col: str = "text"
                     weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` as the mix takes them: a row per epoch in which a document is
     taken, its text cut to the words taken where the target ends inside it (its white space
-    before each word stays). Documents not taken are left out."""
+    before each word stays). Documents not taken are left out. Rows are dealt by ranges of, and sorted
+    by, the time of the first block that holds them, and in a block in the source's order."""
     docs = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-documents")
     slim = stored(docs.select(F.col("__row").alias("row"), F.col(key).alias("key"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
                   .withColumn("order", hashed_order(F.col("key"))), "mix-sizes")
     sources = stored(targets(slim, weights, max_epochs), "mix-sources")
     mix = mixture(slim, sources, block_words, max_epochs)
-    times = mix.groupBy("row", "epoch").agg(F.max("to_word").alias("__to"))
-    whole = slim.select(F.col("row").alias("__row"), F.col("size").alias("__size"))
-    out = docs.join(times.select(F.col("row").alias("__row"), "__to"), "__row").join(whole, "__row")
+    times = mix.groupBy("row", "epoch").agg(F.max("to_word").alias("__to"), F.min("time").alias("__time"))
+    whole = slim.select(F.col("row").alias("__row"), F.col("size").alias("__size"), F.col("order").alias("__order"), F.col("key").alias("__key"))
+    out = docs.join(times.select(F.col("row").alias("__row"), F.col("epoch").alias("__epoch"), "__to", "__time"), "__row").join(whole, "__row")
+    place = ["__time", "__epoch", "__order", "__key", "__row"]
+    out = out.repartitionByRange(*place).sortWithinPartitions(*place)
     first = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), 0), F.lit(1), F.col("__to").cast("int")), "")
     text = F.when(F.col("__to") < F.col("__size"), first).otherwise(F.col(text_col))
     return out.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns if c != "__row"])
