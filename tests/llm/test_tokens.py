@@ -1,4 +1,5 @@
 import base64
+import functools
 import hashlib
 import zlib
 
@@ -18,9 +19,7 @@ from zonekit.llm.common import scratch
 
 @pytest.fixture(scope="module")
 def words():
-    t = Tokenizer.from_file(queries.WORD_TOKENIZER)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(queries.WORD_TOKENIZER)
 
 
 @pytest.fixture(scope="module")
@@ -55,10 +54,21 @@ def test_token_files_with_null_and_repeated_ids_and_empty(spark):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(alphabet=st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from("aA'sS tl1éÉßÿ×÷\x1c\x85\xa0 <|endoftext|>"))))
+@given(st.lists(st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from([*"aA'sS tl1éÉßÿ×÷\x1c\x85\xa0 ", "<|endoftext|>", "<|startoftext|>"]))).map("".join))
 def test_word_encoder_is_the_library(text):
     enc = token_files.encoder(queries.WORD_TOKENIZER)
-    assert np.frombuffer(enc.encode(text), enc.dtype).tolist() == enc.tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(enc.encode(text), enc.dtype).tolist() == _untouched().encode(text, add_special_tokens=False).ids
+
+
+@functools.cache
+def _untouched():
+    return Tokenizer.from_file(queries.WORD_TOKENIZER)
+
+
+@pytest.mark.parametrize("text", ["a <|endoftext|> b", "x<|endoftext|><|startoftext|>y", "<|ENDOFTEXT|>", "<|endoftext|", "É\u0301<|endoftext|>\u0301 日本<|startoftext|>語"])
+def test_added_tokens_as_the_library_recognises_them(text):
+    enc = token_files.encoder(queries.WORD_TOKENIZER)
+    assert np.frombuffer(enc.encode(text), enc.dtype).tolist() == _untouched().encode(text, add_special_tokens=False).ids
 
 
 @settings(max_examples=200, deadline=None)

@@ -64,7 +64,9 @@ class WordEncoder:
     lower-cased and split here, as the file's own normaliser and splitter do
     for these characters; each distinct piece is merged once by the library's
     model and remembered. In any other text, words are the unit, and a word
-    with other characters goes through the library's whole pipeline.
+    with other characters goes through the library's whole pipeline. The file's
+    added tokens (``<|endoftext|>``) are recognised in texts as the library does
+    by default: their strings become their ids, what lies between is encoded apart.
     """
 
     #: splitting pattern of the vocabulary file, for the characters above (fixed values)
@@ -75,7 +77,11 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(t.normalized or t.lstrip or t.rstrip or t.single_word for t in added.values()):
+            raise ValueError("added tokens must match texts as they stand")
+        self.added = {t.content: i for i, t in added.items()}
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if added else None
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if self.vocabulary <= 1 << 16 else "<u4")
         self.one = [i.to_bytes(self.dtype.itemsize, "little") for i in range(self.vocabulary)]
@@ -94,6 +100,11 @@ class WordEncoder:
         if len(self.pieces) > CACHE_PIECES:
             self.pieces.clear()
         text = text or ""
+        if self.cut and self.cut.search(text):
+            return b"".join([self.one[self.added[t]] if t in self.added else self._part(t) for t in self.cut.split(text)])
+        return self._part(text)
+
+    def _part(self, text: str) -> bytes:
         if _PLAIN.fullmatch(text):
             return self._plain(text)
         return b"".join([self._word(word) for word in _SPACE.split(text)])
