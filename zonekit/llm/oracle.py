@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from zonekit.llm import chat_format, mixing, secret_scan
+from zonekit.llm import chat_format, mixing, ranked_search, secret_scan
 
 
 def _quoted(text: str) -> str:
@@ -100,8 +100,25 @@ select conv_id, count(*)::bigint as n_turns,
 from t group by conv_id"""
 
 
+def op11(k: int = 20) -> str:
+    found = f"unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_quoted(ranked_search.TERM)})) as term"
+    return f"""
+with d as (select row_number() over () as row, doc_id, text from documents),
+q as (select row_number() over () as query, item_id, text from benchmark),
+t as (select row, doc_id, term, count(*) as tf from (select row, doc_id, {found} from d) group by all),
+n as (select row, sum(tf)::bigint as n from t group by row),
+s as (select count(*)::bigint as n_all, sum(n)::bigint as l_all from n),
+w as (select term, floor(1000 * ln((2 * n_all + 2) / (2 * count(*) + 1)))::bigint as w from t, s group by term, n_all),
+u as (select query, item_id, term, count(*)::bigint as times from (select query, item_id, {found} from q) group by all),
+scored as (select query, item_id, t.row, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_all) // l_all))))::bigint as score
+           from u join w using (term) join t using (term) join n on n.row = t.row, s group by all)
+select item_id, rank::int as rank, doc_id, score
+from (select *, row_number() over (partition by query order by score desc, doc_id nulls last) as rank from scored where score > 0) where rank <= {k}"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_secret_scan": op2(), "op4_source_mix": op4(), "op5_ngram_jaccard": op5(), "op6_chat_format": op6()}
+    return {"op2_secret_scan": op2(), "op4_source_mix": op4(), "op5_ngram_jaccard": op5(), "op6_chat_format": op6(),
+            "op11_ranked_search": op11()}
 
 
 __all__ = ["oracle_sql"]

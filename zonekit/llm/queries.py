@@ -9,13 +9,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonekit.llm import bpe_codec, chat_format, jaccard_join, language_id, lsh_forest, mixing, quality, repeats, secret_scan, token_files
+from zonekit.llm import bpe_codec, chat_format, jaccard_join, language_id, lsh_forest, mixing, packing, quality, ranked_search, repeats, secret_scan, token_files
 from zonekit.llm.common import scratch, stored, table
 from zonekit.llm.oracle import oracle_sql  # noqa: F401
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 WORD_VOCABULARY = 49408
 END_ID = 2
+PACKED_END_ID = 1
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -90,7 +91,17 @@ def op10_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), WORD_TOKENIZER, PACKED_END_ID, length=2048)
+    return packed.select("doc_id", "start", F.col("length").cast("long").alias("length"), F.crc32("ids").alias("ids_crc32"),
+                         "doc_tokens", "sequence_id", F.col("offset").cast("long").alias("offset"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     numbered = (op1_token_files, op2_secret_scan, op3_language_id, op4_source_mix, op5_ngram_jaccard, op6_chat_format,
-                op7_suffix_dedup, op8_quality, op9_bpe_codec, op10_hash_forest)
+                op7_suffix_dedup, op8_quality, op9_bpe_codec, op10_hash_forest, op11_ranked_search, op12_packing)
     return {f.__name__: f for f in numbered} | {"pipeline": corpus_pipeline.run}
