@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
+import zlib
 
-from zonekit.llm import chat_format, mixing, ranked_search, secret_scan
+from zonekit.llm import chat_format, chat_repair, mixing, ranked_search, secret_scan
 
 
 def _quoted(text: str) -> str:
@@ -116,9 +117,60 @@ select item_id, rank::int as rank, doc_id, score
 from (select *, row_number() over (partition by query order by score desc, doc_id nulls last) as rank from scored where score > 0) where rank <= {k}"""
 
 
+def op13() -> str:
+    # CRC-32 over ASCII: the register after one byte, for each low byte (its start and end are inverted)
+    step = [zlib.crc32(bytes([b]), 0xFFFFFFFF) ^ 0xFFFFFFFF for b in range(256)]
+    crc = f"xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(key, ''), lambda c: ascii(c)::bigint)), lambda r, b: xor(r >> 8, ({step}::bigint[])[(xor(r, b) & 255) + 1])), 4294967295)"
+    c = chat_repair
+    # a way to a state is its cost, padded, and its letters: the least string is the cheapest and first
+    add = lambda way, cost, letter: f"case when {way} is not null then lpad((left({way}, 9)::bigint + {cost})::varchar, 9, '0') || substr({way}, 10) || '{letter}' end"
+    cut = f"(case when truncated then {c.TRUNCATED} else 0 end)"
+    moves = {c.START: [], c.SYSTEM: [], c.USER: [], c.ASSISTANT: []}
+    for state in range(4):
+        moves[state].append(add(f"w{state}", c.DELETE, "D"))
+        moves[c.NEXT[state]].append(f"case when not gone then {add(f'w{state}', f'{c.REROLE} + {cut}', 'R')} end")
+    for (state, initial), after in c.KEPT.items():
+        moves[after].append(f"case when not gone and initial = '{initial}' then {add(f'w{state}', cut, 'K')} end")
+    after = {k: f"list_min([{', '.join(v)}])" for k, v in moves.items()}
+    inserted = f"""select conv, i, v0 as w0, v1 as w1, u as w2, list_min([v3, {add('u', c.INSERT, 'I')}]) as w3
+                   from (select *, list_min([v2, {add('v0', c.INSERT, 'I')}, {add('v1', c.INSERT, 'I')}, {add('v3', c.INSERT, 'I')}]) as u from x)"""
+    return f"""
+with recursive keyed as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+                                coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as key from conversations),
+marked as (select *, {crc} % 20 as fault from keyed),
+damaged as (select conv_id, turn, case when fault = 4 then 'user' else role end as role,
+                   case when fault = 1 then '' when fault = 2 then translate(text, '.!?', '') else text end as text,
+                   unnest(range(case when fault = 3 then 2 else 1 end)) as copy from marked where fault <> 0),
+convs as (select conv_id, row_number() over () as conv from (select distinct conv_id from conversations)),
+placed as (select conv, turn, role, text, row_number() over (partition by conv order by turn nulls first, role, left(text, 64), sha256(text), copy) as i
+           from damaged d join convs c on d.conv_id is not distinct from c.conv_id),
+faulty as (select *, not regexp_matches(text, '[^\\x20\\x09-\\x0D]') as blank, row_number() over (partition by conv, role, text order by i) > 1 as again,
+                  not regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') as open_, left(role, 1) as initial,
+                  lag(left(role, 1)) over (partition by conv order by i) as previous from placed),
+rows_ as (select *, blank or again as gone, open_ and not blank and not again as truncated from faulty),
+ways as (
+  select conv, 0::bigint as i, lpad('0', 9, '0') as w0, null::varchar as w1, lpad('{c.INSERT}', 9, '0') || 'I' as w2, lpad('{2 * c.INSERT}', 9, '0') || 'II' as w3 from convs
+  union all
+  select * from ({inserted.replace("from x)", f"from (select conv, r.i, {', '.join(f'{after[k]} as v{k}' for k in range(4))} from ways join rows_ r using (conv) where r.i = ways.i + 1))")})),
+best as (select conv, arg_max(list_min([w0, w3]), i) as way from ways group by conv),
+letters as (select conv, unnest(string_split(substr(way, 10), '')) as letter, unnest(range(1, length(way) - 8)) as k from best where length(way) > 9),
+edits as (select *, sum(case when letter <> 'I' then 1 else 0 end) over (partition by conv order by k) as i,
+                 sum(case when letter <> 'D' then 1 else 0 end) over (partition by conv order by k) as e from letters),
+lined as (select t.conv, t.k, t.e, t.letter, r.role, r.text, r.initial from edits t left join rows_ r on r.conv = t.conv and r.i = t.i and t.letter <> 'I' where t.letter <> 'D'),
+shifted as (select *, max(case when e = 1 and letter = 'K' and initial = 's' then 1 else 0 end) over (partition by conv) as has_system from lined),
+texts as (select conv, string_agg(case when letter = 'K' then role when (e - has_system) % 2 = 1 then 'user' else 'assistant' end
+                                  || ':' || case when letter = 'I' then '' else text end, chr(10) order by k) as repaired from shifted group by conv),
+counts as (select conv, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count_if(blank) as blank, count_if(again and not blank) as duplicate,
+                  count_if(truncated) as truncated, count_if(previous is not null and previous || initial not in ('su', 'ua', 'au')) as illegal from rows_ group by conv)
+select conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+       coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, left(way, 9)::bigint as cost, substr(way, 10) as audit,
+       sha256(coalesce(repaired, '')) as repaired_sha256
+from convs join best using (conv) left join counts using (conv) left join texts using (conv)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op2_secret_scan": op2(), "op4_source_mix": op4(), "op5_ngram_jaccard": op5(), "op6_chat_format": op6(),
-            "op11_ranked_search": op11()}
+            "op11_ranked_search": op11(), "op13_chat_repair": op13()}
 
 
 __all__ = ["oracle_sql"]
