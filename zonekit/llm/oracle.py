@@ -13,14 +13,14 @@ def _quoted(text: str) -> str:
 
 
 def _found(kind: str, pattern: str) -> str:
-    """Rows (doc_id, kind, rank, s, e, found) of a pattern's matches; positions in code points, end exclusive."""
+    """Rows (row, kind, rank, s, e, found) of a pattern's matches; positions in code points, end exclusive."""
     p = _quoted(pattern)
     return f"""
-    select doc_id, '{kind}' as kind, {secret_scan.KINDS.index(kind)} as rank,
+    select row, '{kind}' as kind, {secret_scan.KINDS.index(kind)} as rank,
            coalesce(list_sum(list_transform(gaps[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0) as s,
            s + length(found[i]) as e, found[i] as found
     from (select *, unnest(range(1, len(found) + 1)) as i from (
-        select doc_id, regexp_extract_all(t, {p}) as found, string_split_regex(t, {p}) as gaps from d where regexp_matches(t, {p})))"""
+        select row, regexp_extract_all(t, {p}) as found, string_split_regex(t, {p}) as gaps from d where regexp_matches(t, {p})))"""
 
 
 def op2() -> str:
@@ -32,25 +32,26 @@ def op2() -> str:
         return (f"list_min(list_transform(range(1, length(found) - {w} + 2), lambda i: "
                 f"list_sum(list_transform(map_values(list_histogram(string_split(substr(found, i, {w}), ''))), lambda c: {gains}[c::bigint + 1]))))")
 
-    allow = _quoted("|".join(f"({p})" for p in secret_scan.ALLOW))
-    is_hex = f"(regexp_full_match(c.found, {_quoted(hex_run)}) and length(c.found) >= {hex_window})"
+    allowed = " or ".join("(" + " and ".join([f"regexp_matches(found, {_quoted(p)})" for p in must] + [f"not regexp_matches(found, {_quoted(p)})" for p in never]) + ")"
+                          for must, never in secret_scan.ALLOW)
+    is_hex = f"(regexp_full_match(found, {_quoted(hex_run)}) and length(found) >= {hex_window})"
     return f"""
 with d as (select row_number() over () as row, doc_id, coalesce(text, '') as t from documents),
 base as ({_found("assign", secret_scan.ASSIGN)} union all {_found("access", secret_scan.ACCESS)} union all {_found("hex", secret_scan.HEX)}),
 kept as (select * from base where kind <> 'assign' or length(regexp_extract(found, {_quoted(secret_scan.ASSIGN)}, 2)) >= 6),
-candidate as ({_found("entropy_token", secret_scan.CANDIDATE)}),
-open_ as (select c.doc_id, c.s, c.e, c.found, {is_hex} as hex from candidate c
-          where not regexp_full_match(c.found, {allow})
-            and not exists (select 1 from kept k where k.doc_id = c.doc_id and k.s <= c.s and c.e <= k.e)),
-added as (select doc_id, case when hex then 'entropy_hex' else 'entropy_token' end as kind, case when hex then 3 else 4 end as rank, s, e
-          from open_ where case when hex then {least(hex_window)} <= {secret_scan.limit(hex_window, hex_bits)} else {least(window)} <= {secret_scan.limit(window, bits)} end),
-spans as (select doc_id, string_agg(kind || ':' || s || ':' || e, ',' order by s, rank) as spans
-          from (select doc_id, kind, rank, s, e from kept union all select * from added) group by doc_id),
-base_spans as (select doc_id, count_if(kind = 'assign') as n_assign, count_if(kind = 'access') as n_access, count_if(kind = 'hex') as n_hex,
-                      string_agg(kind || ':' || s || ':' || e, ',' order by s, rank) as listed from kept group by doc_id)
+candidate as ({_found("entropy_hex", secret_scan.HEX_CANDIDATE)} union all
+              select * from ({_found("entropy_token", secret_scan.CANDIDATE)}) where not {is_hex}),
+open_ as (select c.* from candidate c where not ({allowed})
+          and not exists (select 1 from kept k where k.row = c.row and k.s <= c.s and c.e <= k.e)),
+added as (select row, kind, rank, s, e from open_
+          where case when kind = 'entropy_hex' then {least(hex_window)} <= {secret_scan.limit(hex_window, hex_bits)} else {least(window)} <= {secret_scan.limit(window, bits)} end),
+spans as (select row, string_agg(kind || ':' || s || ':' || e, ',' order by s, rank) as spans
+          from (select row, kind, rank, s, e from kept union all select * from added) group by row),
+base_spans as (select row, count_if(kind = 'assign') as n_assign, count_if(kind = 'access') as n_access, count_if(kind = 'hex') as n_hex,
+                      string_agg(kind || ':' || s || ':' || e, ',' order by s, rank) as listed from kept group by row)
 select d.doc_id, coalesce(n_assign, 0)::bigint as n_assign, coalesce(n_access, 0)::bigint as n_access, coalesce(n_hex, 0)::bigint as n_hex,
        sha256(coalesce(listed, '')) as base_sha256, coalesce(spans, '') as spans
-from d left join base_spans using (doc_id) left join spans using (doc_id)"""
+from d left join base_spans using (row) left join spans using (row)"""
 
 
 def op4() -> str:

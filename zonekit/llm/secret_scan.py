@@ -8,16 +8,18 @@ a pattern's matches (``split``) with the matches themselves
 
 The method adds ``entropy_hex`` and ``entropy_token`` spans: maximal runs of a
 character class that are long enough are candidates (a hex run also within a
-longer token run; a token run that is all hex is a hex run); a window slides over each, with
-counts per character updated incrementally by the entering and the leaving
-character, and the candidate is a secret if some window's Shannon entropy
-reaches its class's limit. Sums of c * log2(c) are whole millionths, so results do
-not depend on rounding. Candidates that match the allow-list (words, numbers,
-UUIDs, paths, placeholders) or lie inside a base span are suppressed.
-
-No shuffle; every text is scanned whole where it lies. Edge cases: a null or
-empty text has no span; columns named like the output columns are replaced;
-repeated rows each get their result.
+longer token run; a token run that is all hex is a hex run); a window slides over each, its
+sum of c * log2(c) updated by the counts of the entering and the leaving
+character alone, and the candidate is a secret if some window's Shannon entropy
+reaches its class's limit. The sums are whole millionths, so results do
+not depend on rounding. Candidates that the allow-list names (words, numbers,
+UUIDs, paths, placeholders) or that lie inside a base span are suppressed.
+
+No shuffle; every text is scanned whole where it lies. Runs of any length are handled:
+a run is split into characters once, a step costs a window's length, and no pattern repeats
+a group (the regular expression engine recurses there). Edge cases: a null or
+empty text has no span; columns named like the output columns are replaced by ``scan``, and
+``redact`` keeps all columns; repeated rows each get their result.
 """
 
 from __future__ import annotations
@@ -40,10 +42,17 @@ CLASSES = {"entropy_hex": (r"[0-9A-Fa-f]+", 24, 3.0), "entropy_token": (r"[A-Za-
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 #: every match lies in a match of CANDIDATE
 HEX_CANDIDATE = r"[0-9A-Fa-f]{24,}"
-#: a candidate that one of these matches whole is no secret
-ALLOW = (r"[A-Za-z_-]+", r"[0-9_=+/-]+", r"[A-Z]?[a-z]+([0-9]{1,4}|[_/-][A-Za-z]+)*",
-         r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",
-         r"(/?[A-Za-z_-]+[0-9]{0,4})(/[A-Za-z_-]+[0-9]{0,4})+/?", r".*(EXAMPLE|example|XXXX|xxxx).*")
+#: rules of the allow-list: a candidate in which every pattern of the first list and none of the second is found is no secret
+ALLOW = (
+    ((r"^[A-Za-z_-]+$",), ()),
+    ((r"^[0-9_=+/-]+$",), ()),
+    # a word, then numbers and further words behind separators
+    ((r"^[A-Za-z0-9_/-]+$", r"^[A-Z]?[a-z]+([^A-Za-z]|$)"), (r"[0-9][A-Za-z]", r"[_/-]([^A-Za-z]|$)")),
+    ((r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",), ()),
+    # a path: two components or more, each of letters, then up to four digits
+    ((r"^[A-Za-z0-9_/-]+$", r"[^/]/[^/]"), (r"//", r"[0-9][A-Za-z_-]", r"[0-9]{5}", r"(^|/)[0-9]")),
+    ((r"EXAMPLE|example|XXXX|xxxx",), ()),
+)
 _NONE = "array<struct<start:bigint,rank:int,end:bigint,kind:string,found:string>>"
 MILLION = 1_000_000
 
@@ -72,25 +81,39 @@ def _spans(text: Column, pattern: str, kind: str) -> Column:
 
 
 def least_sum(candidate: Column, window: int) -> Column:
-    """The least sum of c * log2(c) (millionths) over the candidate's windows."""
+    """The least sum of c * log2(c) (millionths) over the candidate's windows; it must have one."""
     gain = F.array(*[F.lit(round(c * math.log2(c) * MILLION) if c else 0).cast("long") for c in range(window + 2)])
 
-    def step(state: Column, i: Column) -> Column:
-        enters = F.ascii(F.substring(candidate, i, F.lit(1)))
-        leaves = F.when(i > window, F.ascii(F.substring(candidate, i - window, F.lit(1)))).otherwise(-1)
-        counts, up, down = state["counts"], state["counts"][enters], state["counts"][F.greatest(leaves, F.lit(0))]
-        moved = state["sum"] + F.when(enters == leaves, 0).otherwise(
-            gain[up + 1] - gain[up] + F.when(leaves >= 0, gain[F.greatest(down - 1, F.lit(0))] - gain[down]).otherwise(0))
-        return F.struct(
-            F.transform(counts, lambda c, k: c + (k == enters).cast("int") - (k == leaves).cast("int")).alias("counts"),
-            moved.cast("long").alias("sum"),
-            F.when(i >= window, F.least(state["least"], moved)).otherwise(state["least"]).cast("long").alias("least"))
+    def over(codes: Column) -> Column:
+        def step(state: Column, i: Column) -> Column:
+            # the window before holds the codes from i - window on (positions from 1)
+            before = F.slice(codes, F.greatest(i - window, F.lit(1)), F.least(i - 1, F.lit(window)))
+            enters, leaves = codes[i - 1], F.when(i > window, codes[i - window - 1])
+            up = F.size(F.filter(before, lambda c: c == enters)) - F.when(leaves == enters, 1).otherwise(0)
+            down = F.size(F.filter(before, lambda c: c == leaves))
+            left = F.when(leaves.isNull(), 0).otherwise(gain[down - 1] - gain[down])
+            moved = (state["sum"] + left + gain[up + 1] - gain[up]).cast("long")
+            return F.struct(moved.alias("sum"), F.when(i >= window, F.least(state["least"], moved)).otherwise(state["least"]).cast("long").alias("least"))
 
-    start = F.struct(F.array_repeat(F.lit(0), 128).alias("counts"), F.lit(0).cast("long").alias("sum"), F.lit(1 << 62).cast("long").alias("least"))
-    return F.aggregate(F.sequence(F.lit(1), F.length(candidate)), start, step, lambda state: state["least"])
+        start = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(1 << 62).cast("long").alias("least"))
+        return F.aggregate(F.sequence(F.lit(1), F.size(codes)), start, step, lambda state: state["least"])
 
+    return let(F.transform(F.split(candidate, "", -1), F.ascii), over)
 
-def _entropy_spans(text: Column, base: Column, allow: tuple[str, ...]) -> Column:
+
+def allowed(candidate: Column, allow: tuple) -> Column:
+    out = F.lit(False)
+    for found, never in allow:
+        rule = F.lit(True)
+        for pattern in found:
+            rule &= candidate.rlike(pattern)
+        for pattern in never:
+            rule &= ~candidate.rlike(pattern)
+        out |= rule
+    return out
+
+
+def _entropy_spans(text: Column, base: Column, allow: tuple) -> Column:
     hex_run, hex_window, _ = CLASSES["entropy_hex"]
 
     def secrets(pattern: str, kind: str) -> Column:
@@ -98,17 +121,16 @@ def _entropy_spans(text: Column, base: Column, allow: tuple[str, ...]) -> Column
 
         def secret(span: Column) -> Column:
             s = span["found"]
-            allowed = s.rlike("^(" + "|".join(f"({p})" for p in allow) + ")$")
             inside = F.exists(base, lambda b: (b["start"] <= span["start"]) & (span["end"] <= b["end"]))
             other = s.rlike(f"^{hex_run}$") & (F.length(s) >= hex_window) if kind == "entropy_token" else F.lit(False)
-            return F.when(allowed | inside | other, F.lit(False)).otherwise(least_sum(s, window) <= limit(window, bits))
+            return F.when(inside | other | allowed(s, allow), F.lit(False)).otherwise(least_sum(s, window) <= limit(window, bits))
 
         return F.filter(_spans(text, pattern, kind), secret)
 
     return F.concat(secrets(HEX_CANDIDATE, "entropy_hex"), secrets(CANDIDATE, "entropy_token"))
 
 
-def scan(docs: DataFrame, text_col: str = "text", allow: tuple[str, ...] = ALLOW) -> DataFrame:
+def scan(docs: DataFrame, text_col: str = "text", allow: tuple = ALLOW) -> DataFrame:
     """Add ``base_spans`` and ``all_spans`` to every row: arrays of
     ``(start, rank, end, kind, found)`` by start, then kind. Columns of these
     names are replaced."""
@@ -126,21 +148,22 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", allow: tuple[str, ...] = ALLOW) -> DataFrame:
-    """Replace every span (overlapping ones together) by ``mark``; texts without spans stay as they are."""
-    found = scan(docs.withColumnRenamed(text_col, "__text"), "__text", allow)
+def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", allow: tuple = ALLOW) -> DataFrame:
+    """Replace every span (overlapping ones together) by ``mark``; texts without spans and all other columns stay as they are."""
+    found = scan(docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text")), "text", allow)
+    text = F.col("text")
 
     def cover(state: Column, span: Column) -> Column:
         fresh = span["start"] >= state["end"]
-        kept = F.substring(F.col("__text"), (state["end"] + 1).cast("int"), (span["start"] - state["end"]).cast("int"))
+        kept = F.substring(text, (state["end"] + 1).cast("int"), (span["start"] - state["end"]).cast("int"))
         return F.struct(F.when(fresh, F.concat(state["parts"], F.array(kept, F.lit(mark)))).otherwise(state["parts"]).alias("parts"),
                         F.greatest(state["end"], span["end"]).alias("end"))
 
     start = F.struct(F.array().cast("array<string>").alias("parts"), F.lit(0).cast("long").alias("end"))
     clean = F.aggregate(F.col("all_spans"), start, cover, lambda state: F.concat(
-        F.array_join(state["parts"], ""), F.substring(F.col("__text"), (state["end"] + 1).cast("int"), F.length(F.col("__text")))))
-    text = F.when(F.size("all_spans") > 0, clean).otherwise(F.col("__text"))
-    return found.select(*[text.alias(text_col) if c == text_col else F.col(c) for c in docs.columns])
+        F.array_join(state["parts"], ""), F.substring(text, (state["end"] + 1).cast("int"), F.length(text))))
+    redacted = F.when(F.size("all_spans") > 0, clean).otherwise(text)
+    return found.select(*[redacted.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
 
 
-__all__ = ["scan", "redact", "listed", "least_sum", "limit", "KINDS", "CLASSES", "CANDIDATE", "HEX_CANDIDATE", "ALLOW", "ASSIGN", "ACCESS", "HEX"]
+__all__ = ["scan", "redact", "listed", "least_sum", "limit", "allowed", "KINDS", "CLASSES", "CANDIDATE", "HEX_CANDIDATE", "ALLOW", "ASSIGN", "ACCESS", "HEX"]
