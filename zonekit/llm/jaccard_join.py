@@ -4,13 +4,15 @@
 1. Every text becomes its set of distinct shingles (64-bit hashes). Equal sets
    are one class with one representative; copies are never compared.
 2. Shingles are put in one order for all: by how frequent their words are (from a
-   bounded list of counted words, others as the rarest), then by hash. Two sets that
+   bounded list of counted words, others as the rarest), those that many different sets of
+   a batch hold last (a bounded list too), then by hash. Two sets that
    reach the similarity share a shingle among the first n - ceil(t * n) + 1 of each,
    whatever the order is, so only these are joined on. Rare first, unrelated texts
-   hardly ever meet; the list's bound affects speed, never the result.
+   hardly ever meet, shared passages included; the lists' bounds affect speed, never the result.
 3. The sets that share such a shingle are cut by size into bands whose
-   neighbours are within the similarity; each band's smallest set is compared
-   with the band (a star, not all pairs).
+   neighbours are within the similarity; each band's smallest set, its hub, is compared
+   with the band (a star, not all pairs). Every set meets the hub that it shares most
+   bands with first, and the other hubs only where that left them in different components.
 4. Where that leaves a group in several components, the group is dealt into
    tiles of at most ``TILE`` sets (tile pairs, if it is larger), and sets of
    different components and fitting sizes are compared by hashed bitmaps: of
@@ -23,7 +25,10 @@
    sets become components.
 
 No group is gathered whole, no pair table is more than stars and the pairs that
-pass the bitmaps, and hashes of one task's documents leave it once per class.
+pass the bitmaps, and hashes of one task's documents leave it once per class. To be
+compared, sets move to their hub, whose own set moves once for every ``HUB`` of them.
+Equality of shingles, sets and rows is that of 64-bit digests (words beyond 256 bytes
+go through xxHash, so that long structured words don't collide).
 
 Edge cases: a text without words, or null, has an empty set and is linked with
 nothing; fewer words than ``k`` make one shingle of the whole sequence;
@@ -48,8 +53,13 @@ from zonekit.llm.textscan import Words, mix, slices, slices_of_rows, text_bytes
 TILE = 2048
 #: words whose counts order the shingles
 MAX_FREQUENT = 200_000
-#: a word is counted in a batch from this many occurrences on
+#: a word is counted in a batch from this many occurrences on, a shingle from this many different sets on
 _OFTEN = 8
+_OFTEN_SHINGLE = 3
+#: shingles of a batch that are counted together
+_COUNTED = 4_000_000
+#: sets that are sent to one copy of their hub
+HUB = 512
 #: classes whose prefix a task remembers having sent
 SENT = 1_000_000
 
@@ -103,56 +113,84 @@ def may_link(n_a, bits_a, n_b, bits_b, shared_bits, percent: int):
     return 100 * most >= percent * (n_a + n_b - most)
 
 
+def _often(counted: list[tuple[np.ndarray, np.ndarray]], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts) of what lists of (hashes, counts) hold ``least`` times or more together."""
+    known, place = np.unique(np.concatenate([h for h, _ in counted]), return_inverse=True)
+    counts = np.bincount(place, np.concatenate([c for _, c in counted]), len(known)).astype(np.int64)
+    return known[counts >= least], counts[counts >= least]
+
+
+_DOCUMENT = "doc_id long, n long, e long, h long, heard long, times long, shingle boolean"
+
+
 def _documents(docs: DataFrame, k: int) -> DataFrame:
-    """Stored ``(doc_id, n, e, word, times)``: a row per document (word null), and rows of
-    the words that a batch holds often."""
+    """Stored ``(doc_id, n, e, h)`` per document (heard is null), and ``(heard, times, shingle)`` of
+    the words and shingles that a batch holds often."""
+
+    def listed(counted, least: int, shingle: bool) -> pa.RecordBatch:
+        hashes, counts = _often(counted, least)
+        m = len(hashes)
+        return pa.RecordBatch.from_arrays([pa.nulls(m, pa.int64())] * 4 + [pa.array(hashes.view(np.int64)), pa.array(counts), pa.array([shingle] * m, pa.bool_())],
+                                          ["doc_id", "n", "e", "h", "heard", "times", "shingle"])
 
     def run(batches):
         for batch in batches:
-            heard = []
+            heard, shingles, seen, size = [], [], set(), 0
             for part in slices(batch, "text"):
                 words = Words(*text_bytes(part.column("text")), lower=True)
                 sets = _sets_of(words, k)
                 heard.append(np.unique(words.hash, return_counts=True))
                 ids = [class_of(s) for s in sets]
+                for e, own in zip(ids, sets):
+                    if e not in seen:
+                        seen.add(e)
+                        shingles.append((own, np.ones(len(own), np.int64)))
+                        size += len(own)
+                m = len(ids)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.int64()),
-                     pa.nulls(len(ids), pa.int64()), pa.nulls(len(ids), pa.int64())], ["doc_id", "n", "e", "word", "times"])
+                    [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.int64()), part.column("h"),
+                     pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.bool_())], ["doc_id", "n", "e", "h", "heard", "times", "shingle"])
+                if size > _COUNTED:
+                    yield listed(shingles, _OFTEN_SHINGLE, True)
+                    shingles, size = [], 0
             if heard:
-                known, place = np.unique(np.concatenate([h for h, _ in heard]), return_inverse=True)
-                counts = np.bincount(place, np.concatenate([c for _, c in heard]), len(known)).astype(np.int64)
-                often = counts >= _OFTEN
-                m = int(often.sum())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()),
-                     pa.array(known[often].view(np.int64)), pa.array(counts[often])], ["doc_id", "n", "e", "word", "times"])
+                yield listed(heard, _OFTEN, False)
+            if shingles:
+                yield listed(shingles, _OFTEN_SHINGLE, True)
 
-    return stored(docs.mapInArrow(run, "doc_id long, n long, e long, word long, times long"), "jaccard-documents")
+    return stored(docs.mapInArrow(run, _DOCUMENT), "jaccard-documents")
 
 
-def _frequent(rows: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent words' hashes (sorted) and the weights of their counts."""
-    counts = rows.where("word is not null").groupBy("word").agg(F.sum("times").alias("times"))
-    table = counts.orderBy(F.col("times").desc(), "word").limit(most).toArrow()
-    words, times = table["word"].to_numpy().view(np.uint64), table["times"].to_numpy()
-    order = np.argsort(words)
-    return words[order], np.round(np.log2(np.maximum(times[order], 1))).astype(np.uint64)
+def _frequent(rows: DataFrame, most: int, shingles: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes (sorted) of the most frequent words or shingles, at most ``most``, and the weights of their counts."""
+    counts = rows.where(F.col("shingle") == shingles).groupBy("heard").agg(F.sum("times").alias("times"))
+    table = counts.orderBy(F.col("times").desc(), "heard").limit(most).toArrow()
+    hashes, times = table["heard"].to_numpy().view(np.uint64), table["times"].to_numpy()
+    order = np.argsort(hashes)
+    return hashes[order], np.round(np.log2(np.maximum(times[order], 1)) * (16 if shingles else 1)).astype(np.uint64)
 
 
-def _first_shingles(words: Words, k: int, percent: int, frequent: tuple[np.ndarray, np.ndarray], wanted: list[int], sets: list[np.ndarray]):
-    """Of each wanted text, the shingles that come first in the common order."""
+def _weights(frequent: tuple[np.ndarray, np.ndarray], hashes: np.ndarray) -> np.ndarray:
+    """Weight of each hash; 0 beyond the list."""
     known, weight = frequent
-    weights = np.zeros(len(words.hash), np.uint64)
-    if len(known):
-        at = np.minimum(np.searchsorted(known, words.hash), len(known) - 1)
-        weights = np.where(known[at] == words.hash, weight[at], np.uint64(0))
+    if not len(known):
+        return np.zeros(len(hashes), np.uint64)
+    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    return np.where(known[at] == hashes, weight[at], np.uint64(0))
+
+
+def _first_shingles(words: Words, k: int, percent: int, frequent, wanted: list[int], sets: list[np.ndarray]):
+    """Of each wanted text, the shingles that come first in the common order."""
+    weights = _weights(frequent[0], words.hash)
     hashes = words.shingles(k)
     n = len(hashes)
     total = np.zeros(n, np.uint64)
     for j in range(k):
         total += weights[j:n + j]
+    own = _weights(frequent[1], hashes)
+    total = np.where(own > 0, np.minimum(own, np.uint64(511)) + np.uint64(512), np.minimum(total, np.uint64(511)))
     # weight, then most of the hash: one number orders the shingles
-    order = (np.minimum(total, np.uint64(1023)) << np.uint64(54)) | (hashes >> np.uint64(10))
+    order = (total << np.uint64(54)) | (hashes >> np.uint64(10))
     for i in wanted:
         first = len(sets[i]) - least_overlap(len(sets[i]), percent) + 1
         a, b = words.bounds[i], words.bounds[i + 1]
@@ -163,7 +201,7 @@ def _first_shingles(words: Words, k: int, percent: int, frequent: tuple[np.ndarr
         yield hashes[a + place[:first]]
 
 
-def _prefixes(docs: DataFrame, k: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def _prefixes(docs: DataFrame, k: int, percent: int, frequent) -> DataFrame:
     """``(key, n, e)``: each class's first shingles in the common order."""
 
     def run(batches):
@@ -232,34 +270,47 @@ def _groups(prefixes: DataFrame, percent: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """Stored ``(e, n, bits, grams)`` of the wanted classes, from one document of each."""
+    """Stored ``(e, n, bits, grams)`` of the wanted classes ``(e, h)``, from the rows of one id and text each
+    (equal rows may give a set once per task)."""
 
     def run(batches):
+        sent: set[int] = set()
         for batch in batches:
             for part in slices(batch, "text"):
-                sets = shingle_sets(*text_bytes(part.column("text")), k)
-                rows = [(e, len(s), bitmap(s).tobytes(), s.tobytes()) for e, s in zip(part.column("e").to_pylist(), sets) if class_of(s) == e]
+                rows = []
+                for e, s in zip(part.column("e").to_pylist(), shingle_sets(*text_bytes(part.column("text")), k)):
+                    if class_of(s) == e and e not in sent:
+                        sent.add(e)
+                        rows.append((e, len(s), bitmap(s).tobytes(), s.tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary(), pa.binary()))],
                                                  ["e", "n", "bits", "grams"])
 
-    texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["rep"])).select("e", "text")
+    texts = docs.join(wanted, "h").select("e", "text")
     return stored(texts.mapInArrow(run, "e long, n long, bits binary, grams binary"), "jaccard-sets")
 
 
-def _both(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
-    """``(a, b, sides)``: each pair with size and ``column`` of its two sets. The sets move once."""
-    sides = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("e")).join(sets.select("e", "n", column), "e")
-    return sides.groupBy("a", "b").agg(F.collect_set(F.struct("e", "n", F.col(column).alias("of"))).alias("sides"))
-
-
 def _kept_pairs(pairs: DataFrame, sets: DataFrame, column: str, keep) -> DataFrame:
+    """The pairs ``(a, b)`` whose sets pass ``keep``: the sets b move to a, which is copied for every ``HUB`` of them."""
+
     def run(batches):
+        hub = None
         for batch in batches:
             for part in slices_of_rows(batch, 256):
-                kept = [keep(*[(x["n"], np.frombuffer(x["of"], np.uint64)) for x in two]) for two in part.column("sides").to_pylist()]
-                yield part.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
-
-    return _both(pairs, sets, column).mapInArrow(run, "a long, b long")
+                kept = []
+                for a, e, member, n, of in zip(*(part.column(c).to_pylist() for c in ("a", "e", "member", "n", "of"))):
+                    own = (n, np.frombuffer(of, np.uint64))
+                    if not member:
+                        hub = own
+                    elif keep(hub, own):
+                        kept.append((a, e))
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in kept], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HUB).alias("copies"))
+    dealt = pairs.join(sizes, "a").select("a", F.pmod(F.xxhash64("b"), F.col("copies")).alias("copy"), "b")
+    hubs = dealt.select("a", "copy").distinct().select("a", "copy", F.col("a").alias("e"), F.lit(False).alias("member"))
+    sides = dealt.select("a", "copy", F.col("b").alias("e"), F.lit(True).alias("member")).union(hubs)
+    moved = sides.join(sets.select("e", "n", F.col(column).alias("of")), "e").repartition("a", "copy").sortWithinPartitions("a", "copy", "member")
+    return moved.select("a", "e", "member", "n", "of").mapInArrow(run, "a long, b long").distinct()
 
 
 def _within_bound(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -368,29 +419,46 @@ def _across(groups: DataFrame, roots: DataFrame, sets: DataFrame, percent: int,
     return dealt.select(*names).mapInArrow(run, "a long, b long, grp long").distinct()
 
 
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components."""
+    ends = [roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in ("a", "b")]
+    known = pairs.join(ends[0], "a", "left").join(ends[1], "b", "left")
+    return known.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+
+
+def _joined(roots: DataFrame | None, pairs: DataFrame, sets: DataFrame, percent: int, bound: bool = True) -> DataFrame:
+    """Components after the pairs that truly link are added to those of earlier rounds."""
+    pairs = stored(_within_bound(stored(pairs, "jaccard-pairs"), sets, percent) if bound else pairs, "jaccard-pairs")
+    links = stored(_verified(pairs, sets, percent), "jaccard-links")
+    if roots is None:
+        return stored(components(links), "jaccard-roots")
+    if not links.head(1):
+        return roots
+    return stored(components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links)), "jaccard-roots")
+
+
 def link_components(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", text_col: str = "text",
                     tile: int = TILE, max_frequent: int = MAX_FREQUENT) -> DataFrame:
     """One row per document: ``(doc_id, n_shingles, class_id, component_id)``; documents
     link when 100 * intersection >= ``percent`` * union of their shingle sets.
     ``component_id`` is the smallest id of the component, ``class_id`` that of the documents with an equal set."""
-    docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    docs = docs.withColumn("h", F.xxhash64("doc_id", "text"))
     rows = _documents(docs, k)
-    documents = rows.where("word is null").select("doc_id", "n", "e")
-    classes = stored(documents.where("n > 0").groupBy("e").agg(F.min("doc_id").alias("rep")), "jaccard-classes")
-    groups = stored(_groups(_prefixes(docs, k, percent, _frequent(rows, max_frequent)), percent), "jaccard-groups")
-    wanted = groups.select("e").distinct().join(classes, "e")
+    documents = rows.where("heard is null").select("doc_id", "n", "e")
+    classes = stored(rows.where("n > 0").groupBy("e").agg(F.min("doc_id").alias("rep"), F.min("h").alias("h")), "jaccard-classes")
+    frequent = [_frequent(rows, max_frequent, shingles) for shingles in (False, True)]
+    groups = stored(_groups(_prefixes(docs, k, percent, frequent), percent), "jaccard-groups")
+    wanted = groups.select("e").distinct().join(classes, "e").select("e", "h")
     sets = _sets(docs, wanted, k)
-    stars = groups.where("e <> hub").select(F.col("hub").alias("a"), F.col("e").alias("b")).distinct()
-    links = stored(_verified(stored(_within_bound(stars, sets, percent), "jaccard-pairs"), sets, percent), "jaccard-links")
-    roots = stored(components(links), "jaccard-roots")
+    stars = stored(groups.where("e <> hub").groupBy(F.col("hub").alias("a"), F.col("e").alias("b")).agg(F.count(F.lit(1)).alias("shared")), "jaccard-stars")
+    closest = stars.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", "b")
+    roots = _joined(None, closest, sets, percent)
+    roots = _joined(roots, _apart(stars.select("a", "b"), roots), sets, percent)
     for tree in (True, False):
         across = stored(_across(groups, roots, sets, percent, tile, tree), "jaccard-pairs")
         groups = groups.join(across.where("grp is not null").select("grp").distinct(), "grp", "left_semi")
-        more = stored(_verified(across.where("grp is null").select("a", "b"), sets, percent), "jaccard-links")
-        if more.head(1):
-            # links of earlier rounds are in the roots already
-            links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more)
-            roots = stored(components(links), "jaccard-roots")
+        roots = _joined(roots, across.where("grp is null").select("a", "b"), sets, percent, bound=False)
     member = classes.join(roots, classes["e"] == roots["node"], "left").select("e", "rep", F.coalesce("root", "e").alias("root"))
     named = member.join(member.groupBy("root").agg(F.min("rep").alias("component_id")), "root").select("e", "rep", "component_id")
     alone: Column = F.col("n") == 0
@@ -399,4 +467,20 @@ def link_components(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "
         F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-__all__ = ["link_components", "shingle_sets", "class_of", "bitmap", "TILE", "MAX_FREQUENT"]
+def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group of near copies, and all rows without words: of a group the row of the
+    smallest key (null last), then of the smallest digest of key and text, then the least by all columns."""
+    rows = docs.select(F.struct("*").alias("row"), F.col(key).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = rows.withColumn("h", F.xxhash64("id", "text"))
+    worded = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    linked = link_components(rows.where(worded).select("h", "text"), k, percent, key="h").select(F.col("doc_id").alias("h"), "component_id").distinct()
+    keys = stored(rows.where(worded).groupBy("h").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("times")), "jaccard-keys")
+    first = F.min(F.struct(F.col("id").isNull().alias("missing"), "id", "h", "times"))
+    kept = stored(linked.join(keys, "h").groupBy("component_id").agg(first.alias("first")).select("first.h", "first.times"), "jaccard-kept")
+    once = rows.join(kept.where("times = 1").select("h"), "h", "left_semi").where(worded).select("row")
+    # equal rows, however many: the least, combined before they move
+    again = rows.join(kept.where("times > 1").select("h"), "h", "left_semi").where(worded).groupBy("h").agg(F.min("row").alias("row")).select("row")
+    return once.union(again).union(rows.where(~worded).select("row")).select("row.*")
+
+
+__all__ = ["link_components", "one_of_each", "shingle_sets", "class_of", "bitmap", "TILE", "MAX_FREQUENT"]

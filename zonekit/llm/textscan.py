@@ -16,8 +16,8 @@ import xxhash
 
 #: bytes hashed at a time (bounds the temporary arrays)
 PIECE = 1 << 20
-#: longer words are hashed one by one
-LONG_WORD = 1 << 16
+#: longer words are hashed one by one, by xxHash (the polynomial has collisions among long structured words)
+LONG_WORD = 256
 
 
 def mix(h: np.ndarray) -> np.ndarray:
