@@ -25,14 +25,10 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (five-word shingles, similarity 0.8 or more) keep the
-    row with the smallest id (null last, then by a digest of the text). Rows are told apart by a
-    number of their own, so equal or missing ids neither join rows nor keep copies; a text without words is in no group."""
-    rows = docs.withColumn("__row", F.monotonically_increasing_id()).withColumn("__digest", F.xxhash64("text"))
-    rows = stored(rows, "near-copies")
-    linked = jaccard_join.link_components(rows, k=5, percent=80, key="__row").select(F.col("doc_id").alias("__row"), "component_id")
-    order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "__digest", "__row")
-    first = linked.join(rows.select("__row", "doc_id", "__digest"), "__row").groupBy("component_id").agg(F.min(order).alias("first"))
-    return rows.join(first.select(F.col("first.__row").alias("__row")), "__row", "left_semi").select(*docs.columns)
+    row with the smallest id (null last, then by a digest of id and text; of rows equal in both, the
+    least by all columns). Rows are told apart by that digest, so rows of equal or missing ids are no copies for it;
+    a text without words is in no group and stays."""
+    return jaccard_join.one_of_each(docs, k=5, percent=80)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
