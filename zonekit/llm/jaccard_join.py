@@ -7,7 +7,8 @@
    bounded list of counted words, others as the rarest), those that many different sets of
    a batch hold last (a bounded list too), then by hash. Two sets that
    reach the similarity share a shingle among the first n - ceil(t * n) + 1 of each,
-   whatever the order is, so only these are joined on. Rare first, unrelated texts
+   whatever the order is, so only these are joined on; and the smaller set's shared one is among its
+   first n - ceil(2t / (1 + t) * n) + 1, so a larger set's later ones only meet those. Rare first, unrelated texts
    hardly ever meet, shared passages included; the lists' bounds affect speed, never the result.
 3. The sets that share such a shingle are cut by size into bands whose
    neighbours are within the similarity; each band's smallest set, its hub, is compared
@@ -26,7 +27,9 @@
 
 No group is gathered whole, no pair table is more than stars and the pairs that
 pass the bitmaps, and hashes of one task's documents leave it once per class. To be
-compared, sets move to their hub, whose own set moves once for every ``HUB`` of them.
+compared, sets move to their hub, whose own set moves once for every ``HUB`` of them. Before
+large rows (texts, sets) meet a table of keys, a bitmap of the keys, of bounded size, leaves
+most of those that have no partner where they are.
 Equality of shingles, sets and rows is that of 64-bit digests (words beyond 256 bytes
 go through xxHash, so that long structured words don't collide).
 
@@ -60,6 +63,8 @@ _OFTEN_SHINGLE = 3
 _COUNTED = 4_000_000
 #: sets that are sent to one copy of their hub
 HUB = 512
+#: longest bitmap of keys (8 MB as words); beyond 16 bits a key, more rows without a partner move
+KEY_BITS = 1 << 25
 #: classes whose prefix a task remembers having sent
 SENT = 1_000_000
 
@@ -94,8 +99,8 @@ def least_overlap(n: int | np.ndarray, percent: int):
 
 
 def bitmap(grams: np.ndarray) -> np.ndarray:
-    """Hashed bitmap of 4 bits or more per shingle, a power of two long."""
-    bits = max(64, 1 << int(4 * max(1, len(grams)) - 1).bit_length())
+    """Hashed bitmap of 2 bits or more per shingle, a power of two long."""
+    bits = max(64, 1 << int(2 * max(1, len(grams)) - 1).bit_length())
     out = np.zeros(bits // 8, np.uint8)
     at = grams & np.uint64(bits - 1)
     np.bitwise_or.at(out, (at >> np.uint64(3)).astype(np.int64), (np.uint8(1) << (at & np.uint64(7)).astype(np.uint8)))
@@ -201,8 +206,13 @@ def _first_shingles(words: Words, k: int, percent: int, frequent, wanted: list[i
         yield hashes[a + place[:first]]
 
 
+def first_of_smaller(n: int, percent: int) -> int:
+    """How many of its n shingles a set must look at to meet every partner that is not smaller."""
+    return n - -(-2 * n * percent // (100 + percent)) + 1
+
+
 def _prefixes(docs: DataFrame, k: int, percent: int, frequent) -> DataFrame:
-    """``(key, n, e)``: each class's first shingles in the common order."""
+    """``(key, n, e, early)``: each class's first shingles in the common order; ``early`` ones also meet larger sets."""
 
     def run(batches):
         sent: set[int] = set()
@@ -218,59 +228,77 @@ def _prefixes(docs: DataFrame, k: int, percent: int, frequent) -> DataFrame:
                 if len(sent) > SENT:
                     sent.clear()
                 keys = list(_first_shingles(words, k, percent, frequent, wanted, sets))
-                sizes = [np.full(len(head), len(sets[i]), np.int64) for i, head in zip(wanted, keys)]
+                sizes = [np.full(len(head), len(sets[i]), np.int32) for i, head in zip(wanted, keys)]
                 owners = [np.full(len(head), ids[i], np.int64) for i, head in zip(wanted, keys)]
+                early = [np.arange(len(head)) < first_of_smaller(len(sets[i]), percent) for i, head in zip(wanted, keys)]
                 if keys:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(sizes)),
-                                                      pa.array(np.concatenate(owners))], ["key", "n", "e"])
+                                                      pa.array(np.concatenate(owners)), pa.array(np.concatenate(early))], ["key", "n", "e", "early"])
 
-    return docs.select("text").mapInArrow(run, "key long, n long, e long")
+    return docs.select("text").mapInArrow(run, "key long, n int, e long, early boolean")
 
 
 def _groups(prefixes: DataFrame, percent: int) -> DataFrame:
     """``(grp, e, n, hub)``: classes that share a key and whose sizes, in order,
-    are within the similarity; hub is the smallest of the size band. One pass over sorted rows, holding one row back."""
+    are within the similarity; hub is the smallest of the size band. A group begins with an early
+    key: without one no pair of it has to meet here. One pass over sorted rows, holding one row back."""
 
     def run(batches):
-        last = None  # key, n, e, group, hub, hub's n, is it sent
+        key0 = e0 = None          # of the row held back: its key and class
+        group = hub = hub_n = n0 = None
+        sent = False              # is the row held back written
         for batch in batches:
-            key, n, e = (batch.column(i).to_numpy() for i in range(3))
-            if last is not None:
-                key, n, e = (np.concatenate([[x], y]) for x, y in zip(last[:3], (key, n, e)))
-            if not len(key):
-                continue
-            fresh = np.ones(len(key), bool)
-            fresh[1:] = (key[1:] != key[:-1]) | (e[1:] != e[:-1])
-            key, n, e = key[fresh], n[fresh], e[fresh]
-            joined = np.zeros(len(key) + 1, bool)  # is a row within the similarity of the one before
-            joined[1:-1] = (key[1:] == key[:-1]) & (100 * n[:-1] >= percent * n[1:])
             rows = []
-            group = hub = hub_n = None
-            sent = False
-            if last is not None:
-                group, hub, hub_n, sent = last[3:]
-            for i in np.flatnonzero(joined[:-1] | joined[1:] | (np.arange(len(key)) == len(key) - 1)):
-                if not joined[i] and not (i == 0 and last is not None):
-                    group = int(mix(np.array([key[i]]).view(np.uint64) + np.array([e[i]]).view(np.uint64) * np.uint64(0xD6E8FEB86659FD93)).view(np.int64)[0])
-                    hub, hub_n, sent = int(e[i]), int(n[i]), False
-                elif joined[i] and 100 * hub_n < percent * n[i]:
-                    hub, hub_n = int(e[i]), int(n[i])
-                if joined[i] or joined[i + 1]:
-                    if not (i == 0 and sent):
-                        rows.append((group, int(e[i]), int(n[i]), hub))
-                    done = True
+            # rows that share their key with a neighbour, and the last one
+            keys = batch.column("key").to_numpy()
+            if not len(keys):
+                continue
+            same = keys[1:] == keys[:-1]
+            near = np.append(same, True) | np.insert(same, 0, keys[0] == key0)
+            for key, n, e, early in zip(*(batch.column(c).filter(pa.array(near)).to_pylist() for c in ("key", "n", "e", "early"))):
+                if key == key0 and e == e0:
+                    continue
+                if key == key0 and group is not None and 100 * n0 >= percent * n:
+                    if not sent:
+                        rows.append((group, e0, n0, hub))
+                    if 100 * hub_n < percent * n:
+                        hub, hub_n = e, n
+                    rows.append((group, e, n, hub))
+                    sent = True
                 else:
-                    done = sent if i == 0 else False
-            last = (key[-1], n[-1], e[-1], group, hub, hub_n, done)
+                    sent = False
+                    group = None
+                    if early:
+                        group = int(mix(np.array([key], np.int64).view(np.uint64) + np.array([e], np.int64).view(np.uint64) * np.uint64(0xD6E8FEB86659FD93)).view(np.int64)[0])
+                        hub, hub_n = e, n
+                key0, e0, n0 = key, e, n
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["grp", "e", "n", "hub"])
 
-    ordered = prefixes.repartition("key").sortWithinPartitions("key", "n", "e")
+    # of equal sizes the early ones first: a pair meets if either has the key early
+    ordered = prefixes.repartition("key").sortWithinPartitions("key", "n", F.desc("early"), "e")
     return ordered.mapInArrow(run, "grp long, e long, n long, hub long")
 
 
+def _key_bits(keys: DataFrame, most: int = KEY_BITS) -> tuple[DataFrame, int]:
+    """A bitmap of the hashed keys (one column) as rows ``(word, mask)``, and its length in bits, ``most`` at most."""
+    bits = min(most, max(1 << 10, 1 << int(16 * keys.count()).bit_length()))
+    slot = F.pmod(F.xxhash64(keys.columns[0]), F.lit(bits))
+    slots = keys.select(slot.alias("slot"))
+    return stored(slots.groupBy(F.expr("slot div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("mask")), "jaccard-bits"), bits
+
+
+def _narrowed(rows: DataFrame, column: str, bitmap: tuple[DataFrame, int], without: bool = False) -> DataFrame:
+    """The rows whose hashed key is in a bitmap (``without``: is not): all that have a partner among its keys, and a few more."""
+    words, bits = bitmap
+    slot = f"pmod(xxhash64({column}), {bits})"
+    holds = F.expr(f"{slot} div 64 = word") & F.expr(f"shiftright(mask, cast({slot} % 64 as int)) & 1 = 1")
+    # KEY_BITS / 64 short rows at most
+    return rows.join(F.broadcast(words), holds, "left_anti" if without else "left_semi")
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """Stored ``(e, n, bits, grams)`` of the wanted classes ``(e, h)``, from the rows of one id and text each
+    """Stored ``(e, n, bits, grams, a)`` of the wanted classes ``(e, h, a)``, from the rows of one id and text each
     (equal rows may give a set once per task)."""
 
     def run(batches):
@@ -278,19 +306,19 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text"):
                 rows = []
-                for e, s in zip(part.column("e").to_pylist(), shingle_sets(*text_bytes(part.column("text")), k)):
+                for e, a, s in zip(part.column("e").to_pylist(), part.column("a").to_pylist(), shingle_sets(*text_bytes(part.column("text")), k)):
                     if class_of(s) == e and e not in sent:
                         sent.add(e)
-                        rows.append((e, len(s), bitmap(s).tobytes(), s.tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary(), pa.binary()))],
-                                                 ["e", "n", "bits", "grams"])
+                        rows.append((e, len(s), bitmap(s).tobytes(), s.tobytes(), a))
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64()))],
+                                                 ["e", "n", "bits", "grams", "a"])
 
-    texts = docs.join(wanted, "h").select("e", "text")
-    return stored(texts.mapInArrow(run, "e long, n long, bits binary, grams binary"), "jaccard-sets")
+    texts = _narrowed(docs, "h", _key_bits(wanted.select("h"))).join(wanted.hint("merge"), "h").select("e", "a", "text")
+    return stored(texts.mapInArrow(run, "e long, n long, bits binary, grams binary, a long"), "jaccard-sets")
 
 
-def _kept_pairs(pairs: DataFrame, sets: DataFrame, column: str, keep) -> DataFrame:
-    """The pairs ``(a, b)`` whose sets pass ``keep``: the sets b move to a, which is copied for every ``HUB`` of them."""
+def _sent_to_hubs(members: DataFrame, hubs: DataFrame, keep) -> DataFrame:
+    """The pairs ``(a, b)`` whose sets pass ``keep``; ``members(a, copy, e, n, of)`` move to the copies of their hub in ``hubs``, of the same columns."""
 
     def run(batches):
         hub = None
@@ -305,12 +333,35 @@ def _kept_pairs(pairs: DataFrame, sets: DataFrame, column: str, keep) -> DataFra
                         kept.append((a, e))
                 yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in kept], pa.int64()) for i in (0, 1)], ["a", "b"])
 
+    columns = ["a", "copy", "e", "n", "of"]
+    sides = members.select(*columns, F.lit(True).alias("member")).union(hubs.select(*columns, F.lit(False).alias("member")))
+    moved = sides.repartition("a", "copy").sortWithinPartitions("a", "copy", "member")
+    return moved.select("a", "e", "member", "n", "of").mapInArrow(run, "a long, b long").distinct()
+
+
+def _kept_pairs(pairs: DataFrame, sets: DataFrame, column: str, keep) -> DataFrame:
+    """The pairs ``(a, b)`` whose sets pass ``keep``: the sets b move to a, which is copied for every ``HUB`` of them."""
+    pairs = stored(pairs, "jaccard-pairs")
     sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HUB).alias("copies"))
     dealt = pairs.join(sizes, "a").select("a", F.pmod(F.xxhash64("b"), F.col("copies")).alias("copy"), "b")
-    hubs = dealt.select("a", "copy").distinct().select("a", "copy", F.col("a").alias("e"), F.lit(False).alias("member"))
-    sides = dealt.select("a", "copy", F.col("b").alias("e"), F.lit(True).alias("member")).union(hubs)
-    moved = sides.join(sets.select("e", "n", F.col(column).alias("of")), "e").repartition("a", "copy").sortWithinPartitions("a", "copy", "member")
-    return moved.select("a", "e", "member", "n", "of").mapInArrow(run, "a long, b long").distinct()
+    asked = pairs.select(F.col("a").alias("e")).union(pairs.select("b")).distinct()
+    known = _narrowed(sets.select("e", "n", F.col(column).alias("of")), "e", _key_bits(asked))
+    members = dealt.select("a", "copy", F.col("b").alias("e")).join(known, "e")
+    hubs = dealt.select("a", "copy").distinct().select("a", "copy", F.col("a").alias("e")).join(known, "e")
+    return _sent_to_hubs(members, hubs, keep)
+
+
+def _closest_links(sets: DataFrame, percent: int) -> DataFrame:
+    """Links of the sets to the hub ``a`` that they name; their sets move to it without another table's help."""
+    copies = sets.where("a is not null").groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HUB).alias("copies"))
+    copies = stored(copies, "jaccard-hubs")
+    few = copies.where("copies > 1").withColumnRenamed("copies", "many")
+    members = sets.where("a is not null").select("a", "e", "n", F.col("grams").alias("of"))
+    # a set's copy of its hub follows from the hub's size, which is 1 but for few hubs
+    members = members.join(few, "a", "left").withColumn("copy", F.pmod(F.xxhash64("e"), F.coalesce("many", F.lit(1)).cast("long")))
+    hubs = _narrowed(sets.select("e", "n", F.col("grams").alias("of")), "e", _key_bits(copies.select("a")))
+    hubs = hubs.join(copies, hubs["e"] == copies["a"]).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    return _sent_to_hubs(members, hubs, _linking(percent))
 
 
 def _within_bound(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -323,14 +374,16 @@ def _within_bound(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return _kept_pairs(pairs, sets, "bits", keep)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that truly link, by intersecting the sorted arrays."""
-
+def _linking(percent: int):
     def keep(one, other):
         shared = len(np.intersect1d(one[1], other[1], assume_unique=True))
         return 100 * shared >= percent * (one[0] + other[0] - shared)
+    return keep
 
-    return _kept_pairs(pairs, sets, "grams", keep)
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that truly link, by intersecting the sorted arrays."""
+    return _kept_pairs(pairs, sets, "grams", _linking(percent))
 
 
 class _Forest:
@@ -426,12 +479,12 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return known.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
 
 
-def _joined(roots: DataFrame | None, pairs: DataFrame, sets: DataFrame, percent: int, bound: bool = True) -> DataFrame:
+def _joined(roots: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int, bound: bool = True) -> DataFrame:
     """Components after the pairs that truly link are added to those of earlier rounds."""
-    pairs = stored(_within_bound(stored(pairs, "jaccard-pairs"), sets, percent) if bound else pairs, "jaccard-pairs")
-    links = stored(_verified(pairs, sets, percent), "jaccard-links")
-    if roots is None:
-        return stored(components(links), "jaccard-roots")
+    pairs = stored(pairs, "jaccard-pairs")
+    if not pairs.head(1):
+        return roots
+    links = stored(_verified(_within_bound(pairs, sets, percent) if bound else pairs, sets, percent), "jaccard-links")
     if not links.head(1):
         return roots
     return stored(components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links)), "jaccard-roots")
@@ -449,11 +502,11 @@ def link_components(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "
     classes = stored(rows.where("n > 0").groupBy("e").agg(F.min("doc_id").alias("rep"), F.min("h").alias("h")), "jaccard-classes")
     frequent = [_frequent(rows, max_frequent, shingles) for shingles in (False, True)]
     groups = stored(_groups(_prefixes(docs, k, percent, frequent), percent), "jaccard-groups")
-    wanted = groups.select("e").distinct().join(classes, "e").select("e", "h")
-    sets = _sets(docs, wanted, k)
     stars = stored(groups.where("e <> hub").groupBy(F.col("hub").alias("a"), F.col("e").alias("b")).agg(F.count(F.lit(1)).alias("shared")), "jaccard-stars")
-    closest = stars.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", "b")
-    roots = _joined(None, closest, sets, percent)
+    closest = stars.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a"))
+    found = groups.select("e").distinct().join(classes, "e").join(closest, F.col("e") == F.col("b"), "left")
+    sets = _sets(docs, stored(found.select("e", "h", "a"), "jaccard-wanted"), k)
+    roots = stored(components(stored(_closest_links(sets, percent), "jaccard-links")), "jaccard-roots")
     roots = _joined(roots, _apart(stars.select("a", "b"), roots), sets, percent)
     for tree in (True, False):
         across = stored(_across(groups, roots, sets, percent, tile, tree), "jaccard-pairs")
@@ -469,18 +522,23 @@ def link_components(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each group of near copies, and all rows without words: of a group the row of the
-    smallest key (null last), then of the smallest digest of key and text, then the least by all columns."""
-    rows = docs.select(F.struct("*").alias("row"), F.col(key).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.withColumn("h", F.xxhash64("id", "text"))
-    worded = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    linked = link_components(rows.where(worded).select("h", "text"), k, percent, key="h").select(F.col("doc_id").alias("h"), "component_id").distinct()
-    keys = stored(rows.where(worded).groupBy("h").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("times")), "jaccard-keys")
-    first = F.min(F.struct(F.col("id").isNull().alias("missing"), "id", "h", "times"))
-    kept = stored(linked.join(keys, "h").groupBy("component_id").agg(first.alias("first")).select("first.h", "first.times"), "jaccard-kept")
-    once = rows.join(kept.where("times = 1").select("h"), "h", "left_semi").where(worded).select("row")
-    # equal rows, however many: the least, combined before they move
-    again = rows.join(kept.where("times > 1").select("h"), "h", "left_semi").where(worded).groupBy("h").agg(F.min("row").alias("row")).select("row")
-    return once.union(again).union(rows.where(~worded).select("row")).select("row.*")
+    smallest key (null last), then of the smallest digest of all columns. Rows equal in all columns are one row.
+    Rows that are neither dropped nor repeated stay where they are; the others are told by their digest."""
+    rows = docs.select(F.struct("*").alias("row"), F.xxhash64(*docs.columns).alias("h"),
+                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]").alias("worded"))
+    worded = rows.where("worded")
+    linked = link_components(worded.select("h", F.col("row")[text_col].alias("text")), k, percent, key="h")
+    linked = linked.select(F.col("doc_id").alias("h"), "component_id").distinct()
+    keys = worded.groupBy("h").agg(F.min(F.col("row")[key].cast("long")).alias("id"), F.count(F.lit(1)).alias("times"))
+    known = stored(linked.join(keys, "h"), "jaccard-known")
+    first = known.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("missing"), "id", "h")).alias("first")).select(F.col("first.h").alias("h"), F.lit(True).alias("first"))
+    odd = known.join(first, "h", "left").where("first is null or times > 1").select("h", F.col("first").isNotNull().alias("kept"))
+    odd = stored(odd, "jaccard-odd")
+    bitmap_ = _key_bits(odd.select("h"))
+    as_they_are = _narrowed(worded, "h", bitmap_, without=True).select("row")
+    told = _narrowed(worded, "h", bitmap_).select("h", "row").join(odd.hint("merge"), "h", "left")
+    again = told.where("kept").groupBy("h").agg(F.min("row").alias("row")).select("row")
+    return as_they_are.union(told.where("kept is null").select("row")).union(again).union(rows.where(~F.col("worded")).select("row")).select("row.*")
 
 
 __all__ = ["link_components", "one_of_each", "shingle_sets", "class_of", "bitmap", "TILE", "MAX_FREQUENT"]
