@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +38,39 @@ def conform(df: DataFrame, schema: T.StructType, keep_extra: bool = False,
     return df.select(*cols)
 
 
+def _rejects_of(column: str):
+    return lambda r: r["column"] == column
+
+
+def conform_reported(df: DataFrame, schema: T.StructType, keep: Sequence[str] = (), name: str | None = None):
+    """``(typed, observation)``: ``conform`` in one pass with a report of what did not fit. ``typed`` has
+    the declared columns, the input columns named in ``keep`` and ``rejected``, an array of ``(column, value)`` with the original text of every
+    top-level value that was there and became null; the observation holds, once a query over ``typed`` has
+    run, the number of rows and of rejects per column (``rows`` and the column names)."""
+    cols, rejects = [], []
+    for tf in schema.fields:
+        sf = _find_field(df.schema, tf.name)
+        if sf is None:
+            cols.append(F.lit(None).cast(tf.dataType).alias(tf.name))
+            continue
+        source = F.col(f"`{sf.name}`")
+        typed = conform_column(source, sf.dataType, tf.dataType)
+        cols.append(typed.alias(tf.name))
+        if sf.dataType != tf.dataType:
+            text = source.cast("string") if not isinstance(sf.dataType, (T.ArrayType, T.StructType, T.MapType)) else F.to_json(source)
+            rejects.append(F.when(source.isNotNull() & typed.isNull(), F.struct(F.lit(tf.name).alias("column"), text.alias("value"))))
+    found = F.filter(F.array(*rejects), lambda r: r.isNotNull()) if rejects else F.array().cast("array<struct<column:string,value:string>>")
+    out = df.select(*cols, *[F.col(f"`{c}`") for c in keep], found.alias("rejected"))
+    observation = Observation(name) if name else Observation()
+    counts = [F.count_if(F.exists("rejected", _rejects_of(tf.name))).alias(tf.name) for tf in schema.fields]
+    return out.observe(observation, F.count(F.lit(1)).alias("rows"), *counts), observation
+
+
+def rejected_values(typed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """``(column, value)`` and the columns named in ``keep``: a row per value that did not fit, from a (written) result of ``conform_reported``."""
+    return typed.where(F.size("rejected") > 0).select(*[F.col(f"`{c}`") for c in keep], F.inline("rejected"))
+
+
 def bad_values(df: DataFrame, schema: T.StructType, column: str) -> DataFrame:
     """Rows whose ``column`` is non-null before and null after conforming:
     values that did not fit the declared type."""

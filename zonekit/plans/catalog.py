@@ -23,7 +23,7 @@ from zonekit.operators.model import (FLAG_FEATURES, NUMERIC_FEATURES, build_pipe
 from zonekit.operators.nested import explode_rows, flatten_if_nested
 from zonekit.operators.reconcile import alias_table, reconcile
 from zonekit.operators.rename import merge_synonyms, rename_columns
-from zonekit.plans import star
+from zonekit.plans import catalog_jobs, star
 from zonekit.plans.features import feature_table, predict_prices
 from zonekit.plans.kpi import kpi_table
 from zonekit.session import scratch_path
@@ -904,6 +904,7 @@ def queries() -> dict:
         "gbt_metrics": q_gbt_metrics,
         "kpi_stream": q_kpi_stream,
         "zones_kpis": q_zones_kpis,
+        **catalog_jobs.queries(),
     }
 
 
@@ -937,4 +938,5 @@ def oracle_sql() -> dict:
         "lookup_files": SQL_MERGE_LOOKUP_NEIGHBORHOOD,
         "kpi_stream": SQL_KPI_STREAM,
         "zones_kpis": SQL_ZONES_KPIS,
+        **catalog_jobs.oracle_sql(),
     }

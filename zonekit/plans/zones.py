@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +41,7 @@ from zonekit.schemas import (DISTRICT_RENAMES, NEIGHBORHOOD_RENAMES, density_sch
                              listing_schema, lookup_district_schema, lookup_neighborhood_schema,
                              parse, rentals_schema, rentals_source_schema)
 from zonekit.session import scratch_path
+from zonekit.sinks.pointer import current, current_number, publish
 
 DISTRICT_NAME_COLS = ["district", "district_name", "district_reconciled"]
 NEIGHBORHOOD_NAME_COLS = ["neighborhood", "neighborhood_name", "neighborhood_reconciled"]
@@ -145,9 +146,8 @@ def newest_listings(listings: DataFrame, listing_key: str = "propertyCode") -> D
     position, so it collapses with nothing else."""
     if listing_key == "_id":
         return dedup(listings, "_id", ["propertyCode", "_place"]).drop("_order", "_place")
-    lost = F.concat_ws(":", F.lit("?"), F.coalesce("_id", F.lit("")), F.col("_place").cast("string"), F.xxhash64(F.struct("*")).cast("string"))
-    keyed = listings.withColumn("_key", F.when(F.col(listing_key).isNull(), lost))
-    return dedup(keyed, [listing_key, "_key"], ["_order", "_id", "_place"], descending=True).drop("_order", "_place", "_key")
+    known = dedup(listings.where(F.col(listing_key).isNotNull()), listing_key, ["_order", "_id", "_place"], descending=True)
+    return known.unionByName(listings.where(F.col(listing_key).isNull())).drop("_order", "_place")
 
 
 def formatted_zone(spark: SparkSession, inp: ZoneInputs, root: str, mode: str = "canon",
@@ -239,3 +239,32 @@ def run_zones(spark: SparkSession, inputs: ZoneInputs | None, cfg: ZoneConfig |
     else:
         formatted = {t: f"{root}/formatted/{t}" for t in FORMATTED_TABLES}
     return {**formatted, **exploitation_zone(spark, formatted, root, cfg)}
+
+
+def run_zones_versioned(spark: SparkSession, inputs: ZoneInputs | None, cfg: ZoneConfig) -> dict:
+    """``run_zones`` into a new folder below ``cfg.root``, published as one state by an atomic
+    pointer when every step is done: readers (``current_zones``) see the tables of the run before or
+    those of this run, also if it dies halfway or another job runs beside it (the
+    later of two jobs that began from one state fails). Without the ``formatted`` step the published formatted
+    tables are used and stay part of the state."""
+    if not cfg.root:
+        raise ValueError("a versioned run needs a root folder")
+    root = cfg.root.rstrip("/")
+    number = current_number(spark, root)
+    before = current(spark, root, number) or {}
+    own = replace(cfg, root=f"{root}/runs/{uuid.uuid4().hex}")
+    if "formatted" in cfg.steps:
+        paths = run_zones(spark, inputs, own)
+    else:
+        lost = [t for t in FORMATTED_TABLES if t not in before]
+        if lost:
+            raise ValueError(f"{root}: no formatted tables are published ({lost})")
+        formatted = {t: before[t] for t in FORMATTED_TABLES}
+        paths = {**formatted, **exploitation_zone(spark, formatted, own.root, own)}
+    publish(spark, root, paths, after=number)
+    return paths
+
+
+def current_zones(spark: SparkSession, root: str, number: int | None = None) -> dict:
+    """Paths of the tables last published under ``root`` (or as of a number); empty before the first run."""
+    return current(spark, root.rstrip("/"), number) or {}
