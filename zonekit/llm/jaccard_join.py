@@ -345,7 +345,8 @@ def _kept_pairs(pairs: DataFrame, sets: DataFrame, column: str, keep) -> DataFra
     sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HUB).alias("copies"))
     dealt = pairs.join(sizes, "a").select("a", F.pmod(F.xxhash64("b"), F.col("copies")).alias("copy"), "b")
     asked = pairs.select(F.col("a").alias("e")).union(pairs.select("b")).distinct()
-    known = _narrowed(sets.select("e", "n", F.col(column).alias("of")), "e", _key_bits(asked))
+    # sets move by shuffle whatever their number: one plan for all sizes
+    known = _narrowed(sets.select("e", "n", F.col(column).alias("of")), "e", _key_bits(asked)).hint("merge")
     members = dealt.select("a", "copy", F.col("b").alias("e")).join(known, "e")
     hubs = dealt.select("a", "copy").distinct().select("a", "copy", F.col("a").alias("e")).join(known, "e")
     return _sent_to_hubs(members, hubs, keep)
@@ -360,7 +361,7 @@ def _closest_links(sets: DataFrame, percent: int) -> DataFrame:
     # a set's copy of its hub follows from the hub's size, which is 1 but for few hubs
     members = members.join(few, "a", "left").withColumn("copy", F.pmod(F.xxhash64("e"), F.coalesce("many", F.lit(1)).cast("long")))
     hubs = _narrowed(sets.select("e", "n", F.col("grams").alias("of")), "e", _key_bits(copies.select("a")))
-    hubs = hubs.join(copies, hubs["e"] == copies["a"]).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    hubs = hubs.hint("merge").join(copies, hubs["e"] == copies["a"]).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
     return _sent_to_hubs(members, hubs, _linking(percent))
 
 
@@ -439,7 +440,7 @@ def _across(groups: DataFrame, roots: DataFrame, sets: DataFrame, percent: int,
     rows = known.join(mixed, "grp").withColumn("own", F.pmod(F.xxhash64("e"), F.col("tiles")).cast("int"))
     dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     dealt = dealt.select("grp", F.least("own", "other").alias("t0"), F.greatest("own", "other").alias("t1"), "own", "e", "root")
-    dealt = dealt.join(sets.select("e", "n", "bits"), "e").repartition("grp", "t0", "t1")
+    dealt = dealt.join(sets.select("e", "n", "bits").hint("merge"), "e").repartition("grp", "t0", "t1")
     # by class, so that the trees of groups with the same members are the same pairs
     dealt = dealt.sortWithinPartitions("grp", "t0", "t1", "e")
     names = ["grp", "t0", "t1", "own", "e", "root", "n", "bits"]
