@@ -12,10 +12,10 @@ from zonekit.sources.readers import read_collection, read_json_lines, read_table
 def test_json_lines_lookup_with_declared_schema(spark, tmp_dir):
     path = os.path.join(tmp_dir, "district.json")
     with open(path, "w", encoding="utf-8") as f:
-        f.write(json.dumps({"_id": "D1", "di": "Sant Martí", "di_n": "sant marti", "di_re": "Sant Martí",
+        f.write(json.dumps({"_id": "D1", "di": "Alt Molí", "di_n": "alt moli", "di_re": "Molí, Alt",
                             "ne_id": ["N1", "N2"]}, ensure_ascii=False) + "\n")
-        f.write(json.dumps({"_id": "D2", "district": "Gràcia", "district_name": "gracia",
-                            "district_reconciled": "Gràcia", "neighborhood_id": ["N3"]},
+        f.write(json.dumps({"_id": "D2", "district": "Vall Gròga", "district_name": "vall groga",
+                            "district_reconciled": "Gròga, Vall", "neighborhood_id": ["N3"]},
                            ensure_ascii=False) + "\n")
     short = read_json_lines(spark, path, "_id string, di string, di_n string, di_re string, ne_id array<string>")
     renamed = short.withColumnsRenamed(DISTRICT_RENAMES)
@@ -23,7 +23,7 @@ def test_json_lines_lookup_with_declared_schema(spark, tmp_dir):
     got = {r._id: r for r in renamed.collect()}
     assert got["D1"].neighborhood_id == ["N1", "N2"] and got["D2"].district is None
     full = read_json_lines(spark, path, lookup_district_schema())
-    assert {r._id: r.district for r in full.collect()}["D2"] == "Gràcia"
+    assert {r._id: r.district for r in full.collect()}["D2"] == "Vall Gròga"
 
 
 def test_write_and_upsert_to_new_path(spark, tmp_dir):

@@ -47,6 +47,8 @@ def conform_reported(df: DataFrame, schema: T.StructType, keep: Sequence[str] =
     the declared columns, the input columns named in ``keep`` and ``rejected``, an array of ``(column, value)`` with the original text of every
     top-level value that was there and became null; the observation holds, once a query over ``typed`` has
     run, the number of rows and of rejects per column (``rows`` and the column names)."""
+    if twice := [c for c in (*keep, "rejected") if c in schema.fieldNames()]:
+        raise ValueError(f"conform_reported: columns {twice} are declared as well")
     cols, rejects = [], []
     for tf in schema.fields:
         sf = _find_field(df.schema, tf.name)

@@ -24,7 +24,7 @@ from zonekit.operators.nested import explode_rows, flatten_if_nested
 from zonekit.operators.reconcile import alias_table, reconcile
 from zonekit.operators.rename import merge_synonyms, rename_columns
 from zonekit.plans import catalog_jobs, star
-from zonekit.plans.features import feature_table, predict_prices
+from zonekit.plans.features import feature_means, feature_table, predict_prices
 from zonekit.plans.kpi import kpi_table
 from zonekit.session import scratch_path
 from zonekit.schemas import NEIGHBORHOOD_RENAMES, DISTRICT_RENAMES, listing_schema
@@ -802,9 +802,8 @@ def q_lookup_files(spark: SparkSession, d: str) -> DataFrame:
 
 def model_frame(spark: SparkSession, d: str) -> DataFrame:
     inc, den = _sources(spark, d)
-    ft = feature_table(star.listings(spark, d), inc, den)
-    ft = ft.withColumn("l_linenumber", F.col("rooms"))
-    return prepare_features(ft)
+    ft = feature_means(star.listings(spark, d), inc, den)
+    return prepare_features(ft.dropna().withColumn("l_linenumber", F.col("rooms")))
 
 
 def q_gbt_metrics(spark: SparkSession, d: str) -> DataFrame:
