@@ -284,6 +284,104 @@ def test_ngram_counts_equal_brute_force():
     assert set(owner) == {0, 3}
 
 
+def letters_ngrams(text):
+    stream = f" {' '.join(''.join(c if c.isalpha() else ' ' for c in (text or '').lower()).split())} ".encode()
+    return Counter(stream[i:i + n] for n in (1, 2, 3) for i in range(len(stream) - n + 1) if stream[i:i + n].strip(b" ") and b" " not in stream[i + 1:i + n - 1])
+
+
+@pytest.mark.parametrize("profile", [1, 5, 40])
+def test_profiles_and_distances_equal_brute_force(spark, profile):
+    rng = random.Random(profile)
+    rows = [(i, " ".join("".join(rng.choice("abcé") for _ in range(rng.randrange(1, 4))) for _ in range(rng.randrange(0, 9))), rng.choice(("xx", "yy", "zz"))) for i in range(80)]
+    rows += [(90, "ab ab", None), (91, None, "xx"), (92, "12 !", "yy"), (93, rows[0][1], "yy"), (93, rows[0][1], "yy"), (94, "日本語 テスト", "zz"), (None, "abc", "xx")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    ranked = lambda counts: [g for g, _ in sorted(counts.items(), key=lambda x: (-x[1], len(x[0]), x[0]))[:profile]]
+    totals = {}
+    for _, text, lang in rows:
+        if text is not None and lang is not None:
+            totals.setdefault(lang, Counter()).update(letters_ngrams(text))
+    known = {lang: {g: r for r, g in enumerate(ranked(c))} for lang, c in totals.items()}
+    learned = language_id.learn(docs, profile=profile)
+    assert {(r.lang, language_id.ngram_text(r.gram), r["rank"]) for r in learned.collect()} == {(lang, g, r) for lang, ranks in known.items() for g, r in ranks.items()}
+
+    def best(text):
+        own = ranked(letters_ngrams(text))
+        if not own:
+            return "und", 0.0
+        far = {lang: sum(abs(ranks[g] - r) if g in ranks else profile for r, g in enumerate(own)) for lang, ranks in known.items()}
+        lang = min(sorted(far), key=far.get)
+        return lang, 1 - far[lang] / (profile * len(own))
+
+    got = language_id.predict(docs, learned, profile=profile).collect()
+    key = lambda x: (x[0] is None, x[0] or 0, str(x[1]), x[2:])
+    assert sorted([(r.doc_id, r.text, r.lang_pred, round(r.score, 9)) for r in got], key=key) == sorted([(i, t, best(t)[0], round(best(t)[1], 9)) for i, t, _ in rows], key=key)
+
+
+def test_weights_threshold_and_verdicts_equal_brute_force(spark):
+    import pyarrow as pa
+
+    from zonekit.llm.textscan import Words, text_bytes
+
+    rng = random.Random(14)
+    vocabulary = [f"w{i}" for i in range(60)]
+    made = [" ".join(rng.choice(vocabulary[:40] if i % 3 else vocabulary[20:]) + ("" if i % 3 else "#") for _ in range(rng.randrange(3, 90))) for i in range(120)]
+    rows = [*enumerate(made), (200, None), (201, ""), (5, made[5]), (None, made[7]), (202, "same " * 80), (203, made[10])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    good = {i for i in range(120) if i % 3 and i % 2} | {202}
+    labels = spark.createDataFrame([(i, int(i in good), 0) for i in [*range(120), 202]], "doc_id long, quality int, toxic int")
+    buckets = 128
+
+    def scanned(text):
+        return Words(*text_bytes(pa.array([text or ""])))
+
+    known = {}
+
+    def grams(text):
+        words = WORD.findall(text or "")
+        out = []
+        for g in [(w,) for w in words] + list(zip(words, words[1:])):
+            if g not in known:
+                one, two, _ = quality._grams(scanned(" ".join(g)), buckets)
+                known[g] = int(one[0] if len(g) == 1 else two[0])
+            out.append(known[g])
+        return out
+
+    def failed(text):
+        words = WORD.findall(text or "")
+        threes = Counter(zip(words, words[1:], words[2:]))
+        again = {j for i, t in enumerate(zip(words, words[1:], words[2:])) if threes[t] > 1 for j in (i, i + 1, i + 2)}
+        return len(words) < 50 or 100 * len(again) > 50 * len(words)
+
+    def weighed(raw, target):
+        rate = sum(target.values()) / sum(raw.values())
+        return {b: math.log((target[b] + quality.SMOOTHING) / (raw[b] * rate + quality.SMOOTHING)) for b in range(buckets)}
+
+    raw, folds, texts_of = Counter(), [Counter() for _ in range(quality.FOLDS)], [[] for _ in range(quality.FOLDS)]
+    for i, text in rows:
+        raw.update(grams(text))
+        if i in good:
+            fold = int(quality._folds(scanned(text))[0])
+            folds[fold].update(grams(text))
+            texts_of[fold].append(text)
+    mean = lambda text, w: sum(w[b] for b in grams(text)) / len(grams(text))
+    held = []
+    for k, own in enumerate(texts_of):
+        without = sum((f for j, f in enumerate(folds) if j != k), Counter())
+        held += [math.floor(mean(t, weighed(raw, without)) * quality.STEPS) for t in own if not failed(t)]
+    held.sort()
+    at = lambda share: held[math.ceil(share * len(held)) - 1] / quality.STEPS
+    threshold = min(quality.THRESHOLD, at(0.5) - quality.SPREAD * (at(0.5) - at(0.1)))
+    weight = weighed(raw, sum(folds, Counter()))
+    got = quality.quality(docs, labels, buckets=buckets).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        score = mean(r.text, weight) if grams(r.text) else None
+        assert (r.score is None) == (score is None) and (score is None or abs(r.score - score) < 1e-9)
+        assert r.base_failed == failed(r.text)
+        assert r.kept == (not r.base_failed and score >= threshold)
+    assert {r.kept for r in got if not r.base_failed} == {True, False}
+
+
 def test_language_of_held_out_texts(spark):
     rng = random.Random(6)
     stems = {"xx": ["the", "and", "ing", "tion"], "yy": ["der", "und", "sch", "ung"], "zz": ["los", "que", "ción", "ado"]}

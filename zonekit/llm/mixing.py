@@ -120,8 +120,9 @@ def mixture(sized: DataFrame, sources: DataFrame, block_words: int = BLOCK_WORDS
 
 
 def taken(sized: DataFrame, sources: DataFrame, block_words: int = BLOCK_WORDS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """Per document: ``(row, key, size, source_size, target, taken)``."""
-    words = mixture(sized, sources, block_words, max_epochs).groupBy("row").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken"))
+    """Per document: ``(row, key, size, source_size, target, taken, first_time)``; ``first_time`` is the time of
+    the first slot that takes of it (null: none does)."""
+    words = mixture(sized, sources, block_words, max_epochs).groupBy("row").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken"), F.min("time").alias("first_time"))
     known = sized.join(sources, sized["source"].eqNullSafe(sources["source"])).select("row", "key", "size", "source_size", "target")
     return known.join(words, "row", "left").withColumn("taken", F.coalesce("taken", F.lit(0).cast("long")))
 
@@ -132,19 +133,20 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", text_col: str = "text"
     taken, its text cut to the words taken where the target ends inside it (its white space
     before each word stays). Documents not taken are left out. Rows are dealt by ranges of, and sorted
     by, the time of the first block that holds them, and in a block in the source's order."""
-    docs = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-documents")
-    slim = stored(docs.select(F.col("__row").alias("row"), F.col(key).alias("key"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
+    columns = docs.columns
+    docs = stored(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), "mix-documents")
+    doc = F.col("doc")
+    slim = stored(docs.select("row", doc[key].alias("key"), doc[source_col].alias("source"), word_count(doc[text_col]).alias("size"))
                   .withColumn("order", hashed_order(F.col("key"))), "mix-sizes")
     sources = stored(targets(slim, weights, max_epochs), "mix-sources")
     mix = mixture(slim, sources, block_words, max_epochs)
-    times = mix.groupBy("row", "epoch").agg(F.max("to_word").alias("__to"), F.min("time").alias("__time"))
-    whole = slim.select(F.col("row").alias("__row"), F.col("size").alias("__size"), F.col("order").alias("__order"), F.col("key").alias("__key"))
-    out = docs.join(times.select(F.col("row").alias("__row"), F.col("epoch").alias("__epoch"), "__to", "__time"), "__row").join(whole, "__row")
-    place = ["__time", "__epoch", "__order", "__key", "__row"]
+    times = mix.groupBy("row", "epoch").agg(F.max("to_word").alias("upto"), F.min("time").alias("time"))
+    out = docs.join(times.join(slim.select("row", "size", "order", "key"), "row"), "row")
+    place = ["time", "epoch", "order", "key", "row"]
     out = out.repartitionByRange(*place).sortWithinPartitions(*place)
-    first = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), 0), F.lit(1), F.col("__to").cast("int")), "")
-    text = F.when(F.col("__to") < F.col("__size"), first).otherwise(F.col(text_col))
-    return out.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns if c != "__row"])
+    first = F.array_join(F.slice(F.regexp_extract_all(doc[text_col], F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), 0), F.lit(1), F.col("upto").cast("int")), "")
+    text = F.when(F.col("upto") < F.col("size"), first).otherwise(doc[text_col])
+    return out.select(*[text.alias(c) if c == text_col else doc[c].alias(c) for c in columns])
 
 
 __all__ = ["sizes", "targets", "schedule", "pieces", "mixture", "taken", "mixed_documents", "word_count", "WEIGHTS", "MAX_EPOCHS", "BLOCK_WORDS"]

@@ -64,13 +64,17 @@ c as (select *, total - coalesce(sum(most) over f, 0) as rest, sum(weight) over
              row_number() over (order by most / weight, idx) as place
       from w window f as (order by most / weight, idx rows between unbounded preceding and 1 preceding)),
 share as (select rest, weights, place from c where rest::decimal(38, 0) * weight <= most::decimal(38, 0) * weights order by place limit 1),
-t as (select c.source, c.source_size, case when c.place >= s.place then (c.weight * s.rest)::double / s.weights::double else c.most::double end as target from c, share s),
-o as (select d.*, t.source_size, t.target, coalesce(sum(size) over (partition by d.source
+t as (select c.source, c.idx, c.source_size, case when c.place >= s.place then (c.weight * s.rest)::double / s.weights::double else c.most::double end as target from c, share s),
+slots as (select idx, ceil(floor(target) / {mixing.BLOCK_WORDS}.0)::bigint as slots from t),
+points as (select idx, unnest(range(slots)) + coalesce(sum(slots) over (order by idx rows between unbounded preceding and 1 preceding), 0) as point, sum(slots) over () as n from slots),
+timed as (select idx, case when n <= 1 then 0 else ('0b' || reverse(lpad(bin(point::bigint), length(bin((n - 1)::bigint))::int, '0')))::bigint end as first_time from points),
+blocks as (select idx, first_time, row_number() over (partition by idx order by first_time) - 1 as block from timed),
+o as (select d.*, t.idx, t.source_size, t.target, coalesce(sum(size) over (partition by d.source
              order by ('0x' || substr(md5('7:' || coalesce(doc_id::varchar, '')), 1, 15))::bigint, doc_id rows between unbounded preceding and 1 preceding), 0) as start
       from d join t on d.source is not distinct from t.source)
 select doc_id, size, source_size, target,
-       ({" + ".join(f"greatest(0, least(start + {e} * source_size + size, floor(target)) - (start + {e} * source_size))" for e in range(mixing.MAX_EPOCHS))})::bigint as taken
-from o"""
+       ({" + ".join(f"greatest(0, least(start + {e} * source_size + size, floor(target)) - (start + {e} * source_size))" for e in range(mixing.MAX_EPOCHS))})::bigint as taken, first_time
+from o left join blocks on blocks.idx = o.idx and size > 0 and start < floor(target) and block = start // {mixing.BLOCK_WORDS}"""
 
 
 def op5(k: int = 3, percent: int = 90) -> str:

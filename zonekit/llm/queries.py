@@ -46,7 +46,7 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = mixing.sizes(table(spark, sf_dir, "documents"))
     sources = stored(mixing.targets(sized), "mix-sources")
-    return mixing.taken(sized, sources).select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken")
+    return mixing.taken(sized, sources).select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken", "first_time")
 
 
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
