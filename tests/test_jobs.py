@@ -70,6 +70,38 @@ def test_a_batch_that_is_replayed_changes_nothing(spark, tmp_dir):
     assert _kpis(spark, tmp_dir) == before and rows(late_rows(spark, f"{tmp_dir}/out")) == late
 
 
+# ------------------------------------------------------ incremental landing
+
+def test_a_delivery_lands_what_was_not_seen_and_reads_no_listings(spark, tmp_dir):
+    import shutil
+
+    from zonekit.streaming.landing import landed_listings, start_landing
+
+    ddl = "_id string, value array<struct<propertyCode: string, price: string>>"
+
+    def deliver(docs):
+        spark.createDataFrame(docs, ddl).repartition(3).write.mode("append").parquet(f"{tmp_dir}/landing")
+        start_landing(spark.readStream.schema(ddl).parquet(f"{tmp_dir}/landing"), f"{tmp_dir}/out", f"{tmp_dir}/ckpt").awaitTermination()
+
+    def landed():
+        return rows(landed_listings(spark, f"{tmp_dir}/out").select("_id", "propertyCode", "price"))
+
+    assert landed_listings(spark, f"{tmp_dir}/out") is None
+    deliver([("a", [("p1", "1.5"), ("p2", "x")]), ("a", [("p1", "1.5"), ("p2", "x")]), (None, [("n", "1")]), (None, [("n", "1")])])
+    first = [(None, "n", 1.0)] * 2 + [("a", "p1", 1.5), ("a", "p2", None)]
+    assert landed() == first
+    hidden = f"{tmp_dir}/hidden"  # the stored listings and documents are not there: the delivery must not need them
+    os.mkdir(hidden)
+    for name in ("documents", "listings"):
+        shutil.move(f"{tmp_dir}/out/{name}/batch_id=0", f"{hidden}/{name}")
+    deliver([("a", [("p1", "9.0")]), ("b", [("p3", "2.0")]), ("b", [("p3", "2.0")])])
+    for name in ("documents", "listings"):
+        shutil.move(f"{hidden}/{name}", f"{tmp_dir}/out/{name}/batch_id=0")
+    assert landed() == first + [("b", "p3", 2.0)]
+    deliver([("b", [("p3", "2.0")]), ("a", [])])
+    assert landed() == first + [("b", "p3", 2.0)]
+
+
 # ------------------------------------------------------------- keyed tables
 
 def _files(path):
