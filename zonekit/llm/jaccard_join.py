@@ -60,7 +60,7 @@ MAX_FREQUENT = 200_000
 _OFTEN = 8
 _OFTEN_SHINGLE = 3
 #: shingles of a batch that are counted together
-_COUNTED = 4_000_000
+_COUNTED = 1_000_000
 #: sets that are sent to one copy of their hub
 HUB = 512
 #: longest bitmap of keys (8 MB as words); beyond 16 bits a key, more rows without a partner move
@@ -125,6 +125,12 @@ def _often(counted: list[tuple[np.ndarray, np.ndarray]], least: int) -> tuple[np
     return known[counts >= least], counts[counts >= least]
 
 
+def _widely(sets: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(shingles, counts) of the shingles that ``least`` of the sets or more hold."""
+    known, counts = np.unique(np.concatenate(sets), return_counts=True)
+    return known[counts >= least], counts[counts >= least]
+
+
 _DOCUMENT = "doc_id long, n long, e long, h long, heard long, times long, shingle boolean"
 
 
@@ -132,8 +138,7 @@ def _documents(docs: DataFrame, k: int) -> DataFrame:
     """Stored ``(doc_id, n, e, h)`` per document (heard is null), and ``(heard, times, shingle)`` of
     the words and shingles that a batch holds often."""
 
-    def listed(counted, least: int, shingle: bool) -> pa.RecordBatch:
-        hashes, counts = _often(counted, least)
+    def listed(hashes: np.ndarray, counts: np.ndarray, shingle: bool) -> pa.RecordBatch:
         m = len(hashes)
         return pa.RecordBatch.from_arrays([pa.nulls(m, pa.int64())] * 4 + [pa.array(hashes.view(np.int64)), pa.array(counts), pa.array([shingle] * m, pa.bool_())],
                                           ["doc_id", "n", "e", "h", "heard", "times", "shingle"])
@@ -149,19 +154,19 @@ def _documents(docs: DataFrame, k: int) -> DataFrame:
                 for e, own in zip(ids, sets):
                     if e not in seen:
                         seen.add(e)
-                        shingles.append((own, np.ones(len(own), np.int64)))
+                        shingles.append(own)
                         size += len(own)
                 m = len(ids)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.int64()), part.column("h"),
                      pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.bool_())], ["doc_id", "n", "e", "h", "heard", "times", "shingle"])
                 if size > _COUNTED:
-                    yield listed(shingles, _OFTEN_SHINGLE, True)
+                    yield listed(*_widely(shingles, _OFTEN_SHINGLE), True)
                     shingles, size = [], 0
             if heard:
-                yield listed(heard, _OFTEN, False)
+                yield listed(*_often(heard, _OFTEN), False)
             if shingles:
-                yield listed(shingles, _OFTEN_SHINGLE, True)
+                yield listed(*_widely(shingles, _OFTEN_SHINGLE), True)
 
     return stored(docs.mapInArrow(run, _DOCUMENT), "jaccard-documents")
 
