@@ -212,7 +212,8 @@ def test_means_per_key_are_those_of_the_joined_arrays(spark):
     docs = spark.createDataFrame([(1, "a", [(1.0,), (4.0,)]), (2, "a", [(7.0,)]), (3, "b", []), (4, "b", None), (5, "c", [(1.0,), (None,)]), (6, None, [(1.0,)]),
                                   (7, "d", [(2.0,)]), (8, "d", None)], "_id int, k string, info array<struct<RFD: double>>")
     want = one_doc_per_key(docs, "k").select("k", "_id", array_mean(F.col("info.RFD")).alias("mean"))
-    assert rows(key_means(docs, "k", "RFD").drop("found")) == rows(want) == [("a", 1, 4.0), ("b", 3, None), ("c", 5, None), ("d", 7, 2.0)]
+    means = key_means(docs, "k", "RFD").withColumnRenamed("key", "k").drop("found")
+    assert rows(means) == rows(want) == [("a", 1, 4.0), ("b", 3, None), ("c", 5, None), ("d", 7, 2.0)]
 
 
 def test_every_new_listing_comes_back(spark):
