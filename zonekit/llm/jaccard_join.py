@@ -20,8 +20,9 @@
    the n shingles of a set, at least as many are not shared as it has bits
    that the other lacks, which bounds the overlap from above. In a first round a
    tile passes on only pairs that join components not joined in it before, so a
-   large group of near copies gives a tree, not all pairs; in a second, the groups
-   where this left pairs out pass on every pair of components that are still apart.
+   large group of near copies gives a tree, not all pairs; so it does in a second, with longer bitmaps
+   that hardly let unlinked pairs pass, over the groups where the first left pairs out; in a third, the groups
+   where this did too pass on every pair of components that are still apart.
 5. Pairs that are passed on are verified on the sorted hash arrays, and linked
    sets become components.
 
@@ -65,6 +66,8 @@ _COUNTED = 1_000_000
 HUB = 512
 #: longest bitmap of keys (8 MB as words); beyond 16 bits a key, more rows without a partner move
 KEY_BITS = 1 << 25
+#: bits per shingle of the bitmaps of later rounds
+FINE = 16
 #: classes whose prefix a task remembers having sent
 SENT = 1_000_000
 
@@ -98,9 +101,9 @@ def least_overlap(n: int | np.ndarray, percent: int):
     return -(-n * percent // 100)
 
 
-def bitmap(grams: np.ndarray) -> np.ndarray:
-    """Hashed bitmap of 2 bits or more per shingle, a power of two long."""
-    bits = max(64, 1 << int(2 * max(1, len(grams)) - 1).bit_length())
+def bitmap(grams: np.ndarray, per_shingle: int = 2) -> np.ndarray:
+    """Hashed bitmap of that many bits or more per shingle, a power of two long."""
+    bits = max(64, 1 << int(per_shingle * max(1, len(grams)) - 1).bit_length())
     out = np.zeros(bits // 8, np.uint8)
     at = grams & np.uint64(bits - 1)
     np.bitwise_or.at(out, (at >> np.uint64(3)).astype(np.int64), (np.uint8(1) << (at & np.uint64(7)).astype(np.uint8)))
@@ -303,7 +306,7 @@ def _narrowed(rows: DataFrame, column: str, bitmap: tuple[DataFrame, int], witho
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """Stored ``(e, n, bits, grams, a)`` of the wanted classes ``(e, h, a)``, from the rows of one id and text each
+    """Stored ``(e, n, bits, grams, a, fine)`` of the wanted classes ``(e, h, a)``, from the rows of one id and text each
     (equal rows may give a set once per task)."""
 
     def run(batches):
@@ -314,12 +317,12 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                 for e, a, s in zip(part.column("e").to_pylist(), part.column("a").to_pylist(), shingle_sets(*text_bytes(part.column("text")), k)):
                     if class_of(s) == e and e not in sent:
                         sent.add(e)
-                        rows.append((e, len(s), bitmap(s).tobytes(), s.tobytes(), a))
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64()))],
-                                                 ["e", "n", "bits", "grams", "a"])
+                        rows.append((e, len(s), bitmap(s).tobytes(), s.tobytes(), a, bitmap(s, FINE).tobytes()))
+                kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], ["e", "n", "bits", "grams", "a", "fine"])
 
     texts = _narrowed(docs, "h", _key_bits(wanted.select("h"))).join(wanted.hint("merge"), "h").select("e", "a", "text")
-    return stored(texts.mapInArrow(run, "e long, n long, bits binary, grams binary, a long"), "jaccard-sets")
+    return stored(texts.mapInArrow(run, "e long, n long, bits binary, grams binary, a long, fine binary"), "jaccard-sets")
 
 
 def _sent_to_hubs(members: DataFrame, hubs: DataFrame, keep) -> DataFrame:
@@ -422,8 +425,9 @@ def _tile_pairs(e, n, root, side, maps, percent: int, alone: bool, tree: bool):
         open_ = (root[j, None] != root) & (100 * np.minimum(n[j, None], n) >= percent * np.maximum(n[j, None], n))
         open_ &= (np.arange(len(e))[j, None] < np.arange(len(e))) if alone else (side[j, None] < side)
         x, y = np.nonzero(open_)
-        for a in range(0, len(x), 1 << 16):
-            p, q = x[a:a + (1 << 16)] + i, y[a:a + (1 << 16)]
+        some = max(1, (1 << 20) // words)
+        for a in range(0, len(x), some):
+            p, q = x[a:a + some] + i, y[a:a + some]
             shared = np.bitwise_count(maps[p] & maps[q]).sum(axis=1).astype(np.int64)
             ok = may_link(n[p], counts[p], n[q], counts[q], shared, percent)
             p, q = p[ok], q[ok]
@@ -435,7 +439,7 @@ def _tile_pairs(e, n, root, side, maps, percent: int, alone: bool, tree: bool):
                 yield e[p], e[q], passed - len(p)
 
 
-def _across(groups: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, tile: int, tree: bool) -> DataFrame:
+def _across(groups: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, tile: int, tree: bool, bits: str) -> DataFrame:
     """``(a, b, grp)``: pairs of different components within a group that the bitmaps let
     pass (grp null); with ``tree`` only as many as join the components of each
     tile, and the groups in which pairs were left out (a, b null)."""
@@ -445,7 +449,7 @@ def _across(groups: DataFrame, roots: DataFrame, sets: DataFrame, percent: int,
     rows = known.join(mixed, "grp").withColumn("own", F.pmod(F.xxhash64("e"), F.col("tiles")).cast("int"))
     dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     dealt = dealt.select("grp", F.least("own", "other").alias("t0"), F.greatest("own", "other").alias("t1"), "own", "e", "root")
-    dealt = dealt.join(sets.select("e", "n", "bits").hint("merge"), "e").repartition("grp", "t0", "t1")
+    dealt = dealt.join(sets.select("e", "n", F.col(bits).alias("bits")).hint("merge"), "e").repartition("grp", "t0", "t1")
     # by class, so that the trees of groups with the same members are the same pairs
     dealt = dealt.sortWithinPartitions("grp", "t0", "t1", "e")
     names = ["grp", "t0", "t1", "own", "e", "root", "n", "bits"]
@@ -514,8 +518,8 @@ def link_components(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "
     sets = _sets(docs, stored(found.select("e", "h", "a"), "jaccard-wanted"), k)
     roots = stored(components(stored(_closest_links(sets, percent), "jaccard-links")), "jaccard-roots")
     roots = _joined(roots, _apart(stars.select("a", "b"), roots), sets, percent)
-    for tree in (True, False):
-        across = stored(_across(groups, roots, sets, percent, tile, tree), "jaccard-pairs")
+    for tree, bits in ((True, "bits"), (True, "fine"), (False, "fine")):
+        across = stored(_across(groups, roots, sets, percent, tile, tree, bits), "jaccard-pairs")
         groups = groups.join(across.where("grp is not null").select("grp").distinct(), "grp", "left_semi")
         roots = _joined(roots, across.where("grp is null").select("a", "b"), sets, percent, bound=False)
     member = classes.join(roots, classes["e"] == roots["node"], "left").select("e", "rep", F.coalesce("root", "e").alias("root"))
