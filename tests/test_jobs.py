@@ -226,3 +226,42 @@ def test_every_new_listing_comes_back(spark):
     for r in out:
         by_line[r.line].add((r.not_priced, r.prediction is None))
     assert {k: v for k, v in by_line.items() if k in (1, 3, 6)} == {1: {("incomplete", True)}, 3: {(None, False)}, 6: {("no documents", True)}}
+
+
+# ----------------------------------------------------------- rows that move
+
+def _tables(spark, root):
+    """A few rows of the tables that the zone job reads."""
+    put = lambda name, rows_, ddl: spark.createDataFrame(rows_, ddl).coalesce(1).write.parquet(f"{root}/{name}.parquet")
+    put("region", [(0, "EAST")], "r_regionkey int, r_name string")
+    put("nation", [(0, "NATION_0", 0), (1, "NATION_1", 0)], "n_nationkey int, n_name string, n_regionkey int")
+    put("supplier", [(k, k % 2) for k in range(4)], "s_suppkey long, s_nationkey int")
+    put("customer", [(k, k % 2) for k in range(3)], "c_custkey long, c_nationkey int")
+    put("orders", [(k, k % 3, START, 10.0 * k) for k in range(6)], "o_orderkey long, o_custkey long, o_orderdate timestamp, o_totalprice double")
+    lines = [(k, 7, k % 4, n, 10.0 + n, 100.0 * k + n, 0.05, 0.04, "R", "F", START + timedelta(days=200 * n)) for k in range(6) for n in range(1, 6)]
+    put("lineitem", lines + lines[:1], "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+        "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp")
+    return lines
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lines_move_once_to_their_documents(spark, tmp_dir):
+    lines = _tables(spark, tmp_dir)
+    assert "Exchange hashpartitioning" not in _plan(star.listings(spark, tmp_dir))
+    flat = zones.flat_listings(star.zone_inputs(spark, tmp_dir).rentals)
+    assert _plan(flat).count("Exchange hashpartitioning") == 1
+    newest = newest_listings(flat)
+    assert _plan(newest).count("lineitem.parquet") == 1
+    assert newest.count() == len(lines) and flat.count() == len(lines) + 1
+    assert {(r._id, r.n) for r in flat.groupBy("_id").agg(F.count("price").alias("n")).collect()} == {(f"{k}:{c}", 3 if c == 0 else 2) for k in range(6) for c in (0, 1)} - {("0:0", 3)} | {("0:0", 4)}
+
+
+def test_listings_without_code_come_back_in_the_same_pass(spark):
+    listings = spark.createDataFrame([("b", None, 1.0, "b", 0)] * 3 + [("b", None, None, "b", 0), ("b", "p", 1.0, "b", 0), ("b", "p", 1.0, "b", 1), ("c", "p", 2.0, "c", 0), ("", "q", None, None, None)],
+                                     "_id string, propertyCode string, price double, _order string, _place int")
+    got = newest_listings(listings)
+    assert rows(got) == rows(spark.createDataFrame([("b", None, 1.0)] * 3 + [("b", None, None), ("c", "p", 2.0), ("", "q", None)], "_id string, propertyCode string, price double"))
+    assert got.columns == ["_id", "propertyCode", "price"] and "Union" not in _plan(got)
