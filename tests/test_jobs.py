@@ -265,3 +265,17 @@ def test_listings_without_code_come_back_in_the_same_pass(spark):
     got = newest_listings(listings)
     assert rows(got) == rows(spark.createDataFrame([("b", None, 1.0)] * 3 + [("b", None, None), ("c", "p", 2.0), ("", "q", None)], "_id string, propertyCode string, price double"))
     assert got.columns == ["_id", "propertyCode", "price"] and "Union" not in _plan(got)
+
+
+def test_training_keeps_what_the_pipeline_reads(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import SQLTransformer
+
+    from zonekit.operators.model import build_pipeline, train, training_columns
+
+    columns = ["_id", "exterior", "floor", "RFD", "price"]
+    assert training_columns(build_pipeline(numeric=["floor"], flags=["exterior"]), columns) == ["exterior", "floor", "price"]
+    assert training_columns(Pipeline(stages=[SQLTransformer(statement="SELECT RFD FROM __THIS__")]), columns) == columns
+    df = spark.createDataFrame([(k, "true" if k % 2 else "false", float(k), [1.0], 10.0 * (k % 2)) for k in range(20)], "_id int, exterior string, floor double, RFD array<double>, price double")
+    model = train(df, build_pipeline(numeric=[], flags=["exterior"], maxIter=1, maxDepth=1))
+    assert {(r.price, r.prediction) for r in model.transform(df).collect()} == {(0.0, 0.0), (10.0, 10.0)}
