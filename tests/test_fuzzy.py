@@ -74,3 +74,31 @@ def test_rows_keep_their_number_and_columns(spark):
     got = {r.k: (r.hood, r.edit_distance) for r in reconcile_fuzzy(df, "place", aliases, "hood").collect()}
     assert got == {1: ("N1", 1), 2: (None, None), 3: (None, None), 4: (None, None), 5: ("N1", 0)}
     assert reconcile_fuzzy(df.where("false"), "place", aliases, "hood").count() == 0
+
+
+@pytest.mark.parametrize("edits", [1, 2, 3])
+def test_a_text_is_asked_where_one_piece_must_lie(spark, edits):
+    from pyspark.sql import functions as F
+
+    from zonekit.operators.fuzzy import _cuts, _probes
+
+    rng, n = random.Random(edits), 9
+    asked = {(r.n, r.i, r.start, r.size) for r in _probes(_cuts(spark.createDataFrame([(n, n)], "length int, left int"), F.lit(edits))).collect()}
+    cuts = [(r.i, r.start, r.size) for r in _cuts(spark.createDataFrame([(n, n)], "length int, left int"), F.lit(edits)).collect()]
+    assert sorted(s for _, s, z in cuts for s in range(s, s + z)) == list(range(n))
+    assert len({a[1:] for a in asked if a[0] == n}) == {1: 2, 2: 5, 3: 8}[edits]
+    for _ in range(300):
+        alias = "".join(rng.choice("ab") for _ in range(n))
+        name = edited(rng, alias, edits)
+        assert any(len(name) == m and name[q:q + z] == alias[s:s + z] for i, s, z in cuts for m, j, q, _ in asked if i == j)
+
+
+def test_names_that_an_alias_equals_are_not_cut(spark, monkeypatch):
+    from zonekit.operators import fuzzy
+
+    seen, whole = [], fuzzy.candidates
+    monkeypatch.setattr(fuzzy, "candidates", lambda names, *a: seen.extend(r.name for r in names.collect()) or whole(names, *a))
+    names = spark.createDataFrame([("abcdefgh",), ("abcdefgx",), ("",), (None,)], "name string")
+    got = fuzzy_matches(names, spark.createDataFrame([("abcdefgh", "1"), ("abcdefgh", "2"), ("abcdefgy", "3"), ("", "4")], "alias string, id string"))
+    assert {tuple(r) for r in got.collect()} == {("abcdefgh", None, "abcdefgh", 0, True), ("abcdefgx", None, "abcdefgh", 1, True)}
+    assert sorted(seen) == ["", "abcdefgx"]
