@@ -267,6 +267,19 @@ def test_listings_without_code_come_back_in_the_same_pass(spark):
     assert got.columns == ["_id", "propertyCode", "price"] and "Union" not in _plan(got)
 
 
+def test_a_delivery_is_made_unique_once(spark, tmp_dir, monkeypatch):
+    from zonekit.streaming.landing import landed_listings, start_landing
+
+    def again(*_, **__):
+        raise AssertionError("documents are unique already")
+
+    monkeypatch.setattr(zones, "dedup", again)
+    ddl = "_id string, value array<struct<propertyCode: string, price: string>>"
+    spark.createDataFrame([("a", [("p", "1")]), ("a", [("p", "1")]), (None, [("n", "2")]), (None, [("n", "2")]), ("b", None)], ddl).write.parquet(f"{tmp_dir}/landing")
+    start_landing(spark.readStream.schema(ddl).parquet(f"{tmp_dir}/landing"), f"{tmp_dir}/out", f"{tmp_dir}/ckpt").awaitTermination()
+    assert rows(landed_listings(spark, f"{tmp_dir}/out").select("_id", "propertyCode", "price")) == [(None, "n", 2.0)] * 2 + [("a", "p", 1.0)]
+
+
 def test_training_keeps_what_the_pipeline_reads(spark):
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import SQLTransformer

@@ -34,16 +34,17 @@ def start_landing(stream: DataFrame, path: str, checkpoint_location: str, key: s
         before = spark.conf.get(ADAPTIVE)
         spark.conf.set(ADAPTIVE, "true")
         try:
-            known = batch.where(F.col(f"`{key}`").isNotNull())
-            once = dedup(known, key, [batch_order] if batch_order else None, descending=bool(batch_order))
+            known = batch.where(F.col(f"`{key}`").isNotNull()).withColumn("_digest", _digest(key))
             earlier = [f"{path}/seen/batch_id={b}" for b in _batches(spark, f"{path}/seen") if b < batch_id]
+            # copies meet by digest, as they then meet the digests landed before: documents move once
+            once = dedup(known, "_digest", [batch_order] if batch_order else None, descending=bool(batch_order))
             if earlier:
-                once = once.withColumn("_digest", _digest(key)).join(spark.read.schema("digest binary").parquet(*earlier), F.col("_digest") == F.col("digest"), "left_anti").drop("_digest")
+                once = once.join(spark.read.schema("digest binary").parquet(*earlier), F.col("_digest") == F.col("digest"), "left_anti")
             # written once: the listings and the digests come from the same rows
-            new = once.unionByName(batch.where(F.col(f"`{key}`").isNull()))
+            new = once.drop("_digest").unionByName(batch.where(F.col(f"`{key}`").isNull()))
             new.write.mode("overwrite").parquet(f"{path}/documents/batch_id={batch_id}")
             new = spark.read.schema(batch.schema).parquet(f"{path}/documents/batch_id={batch_id}")
-            flat_listings(new, batch_order).write.mode("overwrite").parquet(f"{path}/listings/batch_id={batch_id}")
+            flat_listings(new, batch_order, unique=key == "_id").write.mode("overwrite").parquet(f"{path}/listings/batch_id={batch_id}")
             new.where(F.col(f"`{key}`").isNotNull()).select(_digest(key)).write.mode("overwrite").parquet(f"{path}/seen/batch_id={batch_id}")
         finally:
             spark.conf.set(ADAPTIVE, before)
