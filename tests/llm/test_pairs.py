@@ -2,7 +2,9 @@
 
 import hashlib
 import random
+import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -11,6 +13,7 @@ from tests.llm.fixture import documents, prose, texts
 from zonekit.llm import jaccard_join, repeats
 from zonekit.llm.components import components
 from zonekit.llm.run_index import RunIndex
+from zonekit.session import checkpoint_root
 
 
 def shingles(text, k):
@@ -60,6 +63,28 @@ def test_every_row_is_answered_and_ids_may_be_missing(spark):
     assert jaccard_join.link_components(docs.where("false"), 3, 90).count() == 0
 
 
+def test_sets_that_only_share_a_passage_are_not_written_out(spark):
+    rng = random.Random(5)
+    passage = prose(rng, 1000, 9000)
+    rows = [(i, f"{prose(rng, 3000, 9000)} {passage}") for i in range(60)]
+    root = Path(re.sub("^file:", "", checkpoint_root(spark)))
+    written = lambda: {p: p.stat().st_size for p in root.rglob("*.parquet")}
+    before = written()
+    out = jaccard_join.link_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90, max_frequent=0).collect()
+    assert sorted((r.doc_id, r.component_id) for r in out) == [(i, i) for i, _ in rows]
+    assert sum(size for p, size in written().items() if p not in before) < sum(len(t) for _, t in rows) / 3
+
+
+def test_tiles_tell_the_members_of_pairs_left_out():
+    rng = np.random.default_rng(6)
+    near, other = (np.unique(rng.integers(1, 1 << 62, 100).astype(np.uint64)) for _ in range(2))
+    sets = [near, near[1:], near[2:], other]
+    e, n = np.arange(10, 14), np.array([len(s) for s in sets])
+    found = list(jaccard_join._tile_pairs(e, n, e, np.zeros(4, int), [jaccard_join.bitmap(s) for s in sets], 90, alone=True, tree=True))
+    assert [(a, b) for p, q, _ in found for a, b in zip(p.tolist(), q.tolist())] == [(10, 11), (10, 12)]
+    assert [m for _, _, members in found for m in members.tolist()] == [11, 12]
+
+
 def test_connected_components(spark):
     rng = random.Random(3)
     links = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(300 + i, 301 + i) for i in range(40)] + [(7, 7)]

@@ -21,15 +21,16 @@
    that the other lacks, which bounds the overlap from above. In a first round a
    tile passes on only pairs that join components not joined in it before, so a
    large group of near copies gives a tree, not all pairs; so it does in a second, with longer bitmaps
-   that hardly let unlinked pairs pass, over the groups where the first left pairs out; in a third, the groups
-   where this did too pass on every pair of components that are still apart.
-5. Pairs that are passed on are verified on the sorted hash arrays, and linked
-   sets become components.
+   that hardly let unlinked pairs pass, over the members of the pairs that the first left out; in a third, the members
+   of those that this did too pass on every pair of components that are still apart.
+5. Pairs that are passed on, by tiles or by stars, whose bitmaps are compared as well, are verified on the
+   sorted hash arrays, and linked sets become components.
 
 No group is gathered whole, no pair table is more than stars and the pairs that
-pass the bitmaps, and hashes of one task's documents leave it once per class. To be
-compared, sets move to their hub, whose own set moves once for every ``HUB`` of them. Before
-large rows (texts, sets) meet a table of keys, a bitmap of the keys, of bounded size, leaves
+pass the bitmaps, and hashes of one task's documents leave it once per class. Texts never
+move: bitmaps and arrays are made where the text is, arrays only of the sets in pairs that have passed
+the bitmaps. To be compared, they move to their hub, whose own moves once for every ``HUB`` of them. Before
+texts or sets meet a table of keys, a bitmap of the keys, of bounded size, leaves
 most of those that have no partner where they are.
 Equality of shingles, sets and rows is that of 64-bit digests (words beyond 256 bytes
 go through xxHash, so that long structured words don't collide).
@@ -43,6 +44,8 @@ columns other than id and text are not looked at.
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -220,7 +223,8 @@ def first_of_smaller(n: int, percent: int) -> int:
 
 
 def _prefixes(docs: DataFrame, k: int, percent: int, frequent) -> DataFrame:
-    """``(key, n, e, early)``: each class's first shingles in the common order; ``early`` ones also meet larger sets."""
+    """``(key, place, e)``: each class's first shingles in the common order; ``place`` is twice the size,
+    plus 1 but for ``early`` shingles, which also meet larger sets."""
 
     def run(batches):
         sent: set[int] = set()
@@ -236,14 +240,13 @@ def _prefixes(docs: DataFrame, k: int, percent: int, frequent) -> DataFrame:
                 if len(sent) > SENT:
                     sent.clear()
                 keys = list(_first_shingles(words, k, percent, frequent, wanted, sets))
-                sizes = [np.full(len(head), len(sets[i]), np.int32) for i, head in zip(wanted, keys)]
+                places = [2 * len(sets[i]) + (np.arange(len(head)) >= first_of_smaller(len(sets[i]), percent)) for i, head in zip(wanted, keys)]
                 owners = [np.full(len(head), ids[i], np.int64) for i, head in zip(wanted, keys)]
-                early = [np.arange(len(head)) < first_of_smaller(len(sets[i]), percent) for i, head in zip(wanted, keys)]
                 if keys:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(sizes)),
-                                                      pa.array(np.concatenate(owners)), pa.array(np.concatenate(early))], ["key", "n", "e", "early"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(places)),
+                                                      pa.array(np.concatenate(owners))], ["key", "place", "e"])
 
-    return docs.select("text").mapInArrow(run, "key long, n int, e long, early boolean")
+    return docs.select("text").mapInArrow(run, "key long, place long, e long")
 
 
 def _groups(prefixes: DataFrame, percent: int) -> DataFrame:
@@ -263,7 +266,8 @@ def _groups(prefixes: DataFrame, percent: int) -> DataFrame:
                 continue
             same = keys[1:] == keys[:-1]
             near = np.append(same, True) | np.insert(same, 0, keys[0] == key0)
-            for key, n, e, early in zip(*(batch.column(c).filter(pa.array(near)).to_pylist() for c in ("key", "n", "e", "early"))):
+            for key, place, e in zip(*(batch.column(c).filter(pa.array(near)).to_pylist() for c in ("key", "place", "e"))):
+                n, early = place // 2, place % 2 == 0
                 if key == key0 and e == e0:
                     continue
                 if key == key0 and group is not None and 100 * n0 >= percent * n:
@@ -284,7 +288,7 @@ def _groups(prefixes: DataFrame, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["grp", "e", "n", "hub"])
 
     # of equal sizes the early ones first: a pair meets if either has the key early
-    ordered = prefixes.repartition("key").sortWithinPartitions("key", "n", F.desc("early"), "e")
+    ordered = prefixes.repartition("key").sortWithinPartitions("key", "place", "e")
     return ordered.mapInArrow(run, "grp long, e long, n long, hub long")
 
 
@@ -305,28 +309,32 @@ def _narrowed(rows: DataFrame, column: str, bitmap: tuple[DataFrame, int], witho
     return rows.join(F.broadcast(words), holds, "left_anti" if without else "left_semi")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """Stored ``(e, n, bits, grams, a, fine)`` of the wanted classes ``(e, h, a)``, from the rows of one id and text each
-    (equal rows may give a set once per task)."""
+def _of_sets(docs: DataFrame, wanted: DataFrame, k: int, of) -> DataFrame:
+    """``(e, n, of)`` of the wanted classes ``(e, h)``: what ``of`` makes of a set, made where the text is, so that
+    no text moves (equal rows may give a set once per task)."""
 
     def run(batches):
         sent: set[int] = set()
         for batch in batches:
             for part in slices(batch, "text"):
                 rows = []
-                for e, a, s in zip(part.column("e").to_pylist(), part.column("a").to_pylist(), shingle_sets(*text_bytes(part.column("text")), k)):
-                    if class_of(s) == e and e not in sent:
-                        sent.add(e)
-                        rows.append((e, len(s), bitmap(s).tobytes(), s.tobytes(), a, bitmap(s, FINE).tobytes()))
-                kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], ["e", "n", "bits", "grams", "a", "fine"])
+                for h, s in zip(part.column("h").to_pylist(), shingle_sets(*text_bytes(part.column("text")), k)):
+                    if len(s) and h not in sent:
+                        sent.add(h)
+                        rows.append((class_of(s), h, len(s), of(s).tobytes()))
+                if len(sent) > SENT:
+                    sent.clear()
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], ["e", "h", "n", "of"])
 
-    texts = _narrowed(docs, "h", _key_bits(wanted.select("h"))).join(wanted.hint("merge"), "h").select("e", "a", "text")
-    return stored(texts.mapInArrow(run, "e long, n long, bits binary, grams binary, a long, fine binary"), "jaccard-sets")
+    made = _narrowed(docs.select("h", "text"), "h", _key_bits(wanted.select("h"))).mapInArrow(run, "e long, h long, n long, of binary")
+    # texts that are not wanted and have passed the first bitmap hardly ever pass a second
+    known = wanted.select("e", F.col("h").alias("first")).hint("merge")
+    return _narrowed(made, "e", _key_bits(wanted.select("e"))).join(known, "e").where("h = first").select("e", "n", "of")
 
 
-def _sent_to_hubs(members: DataFrame, hubs: DataFrame, keep) -> DataFrame:
-    """The pairs ``(a, b)`` whose sets pass ``keep``; ``members(a, copy, e, n, of)`` move to the copies of their hub in ``hubs``, of the same columns."""
+def _sent_to_hubs(sides: DataFrame, keep) -> DataFrame:
+    """The pairs ``(a, b)`` whose sets pass ``keep``; of ``sides(a, copy, e, member, n, of)`` the members move to the copies of their hub, the other rows."""
 
     def run(batches):
         hub = None
@@ -341,46 +349,33 @@ def _sent_to_hubs(members: DataFrame, hubs: DataFrame, keep) -> DataFrame:
                         kept.append((a, e))
                 yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in kept], pa.int64()) for i in (0, 1)], ["a", "b"])
 
-    columns = ["a", "copy", "e", "n", "of"]
-    sides = members.select(*columns, F.lit(True).alias("member")).union(hubs.select(*columns, F.lit(False).alias("member")))
     moved = sides.repartition("a", "copy").sortWithinPartitions("a", "copy", "member")
     return moved.select("a", "e", "member", "n", "of").mapInArrow(run, "a long, b long").distinct()
 
 
-def _kept_pairs(pairs: DataFrame, sets: DataFrame, column: str, keep) -> DataFrame:
-    """The pairs ``(a, b)`` whose sets pass ``keep``: the sets b move to a, which is copied for every ``HUB`` of them."""
+def _kept_pairs(pairs: DataFrame, sets, keep) -> DataFrame:
+    """The pairs ``(a, b)`` whose sets pass ``keep``: the sets b move to a, which is copied for every ``HUB`` of them.
+    ``sets`` gives ``(e, n, of)`` of the classes ``(e)`` that it is asked for, and maybe of a few more."""
     pairs = stored(pairs, "jaccard-pairs")
     sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HUB).alias("copies"))
     dealt = pairs.join(sizes, "a").select("a", F.pmod(F.xxhash64("b"), F.col("copies")).alias("copy"), "b")
+    members = dealt.select("a", "copy", F.col("b").alias("e"), F.lit(True).alias("member"))
+    hubs = dealt.select("a", "copy").distinct().select("a", "copy", F.col("a").alias("e"), F.lit(False).alias("member"))
     asked = pairs.select(F.col("a").alias("e")).union(pairs.select("b")).distinct()
     # sets move by shuffle whatever their number: one plan for all sizes
-    known = _narrowed(sets.select("e", "n", F.col(column).alias("of")), "e", _key_bits(asked)).hint("merge")
-    members = dealt.select("a", "copy", F.col("b").alias("e")).join(known, "e")
-    hubs = dealt.select("a", "copy").distinct().select("a", "copy", F.col("a").alias("e")).join(known, "e")
-    return _sent_to_hubs(members, hubs, keep)
-
-
-def _closest_links(sets: DataFrame, percent: int) -> DataFrame:
-    """Links of the sets to the hub ``a`` that they name; their sets move to it without another table's help."""
-    copies = sets.where("a is not null").groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HUB).alias("copies"))
-    copies = stored(copies, "jaccard-hubs")
-    few = copies.where("copies > 1").withColumnRenamed("copies", "many")
-    members = sets.where("a is not null").select("a", "e", "n", F.col("grams").alias("of"))
-    # a set's copy of its hub follows from the hub's size, which is 1 but for few hubs
-    members = members.join(few, "a", "left").withColumn("copy", F.pmod(F.xxhash64("e"), F.coalesce("many", F.lit(1)).cast("long")))
-    hubs = _narrowed(sets.select("e", "n", F.col("grams").alias("of")), "e", _key_bits(copies.select("a")))
-    hubs = hubs.hint("merge").join(copies, hubs["e"] == copies["a"]).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
-    return _sent_to_hubs(members, hubs, _linking(percent))
-
-
-def _within_bound(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    return _sent_to_hubs(members.union(hubs).join(sets(asked).hint("merge"), "e"), keep)
+
+
+def _within_bound(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose bitmaps allow the similarity."""
+
     def keep(one, other):
         words = min(len(one[1]), len(other[1]))
         x, y = folded(one[1], words), folded(other[1], words)
         counts = [int(np.bitwise_count(z).sum()) for z in (x, y, x & y)]
         return bool(may_link(one[0], counts[0], other[0], counts[1], counts[2], percent))
 
-    return _kept_pairs(pairs, sets, "bits", keep)
+    return _kept_pairs(pairs, lambda asked: _narrowed(maps, "e", _key_bits(asked)), keep)
 
 
 def _linking(percent: int):
@@ -390,9 +385,13 @@ def _linking(percent: int):
     return keep
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that truly link, by intersecting the sorted arrays."""
-    return _kept_pairs(pairs, sets, "grams", _linking(percent))
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs that truly link, by intersecting the sorted arrays; only the sets of these pairs are made and move."""
+
+    def grams(asked: DataFrame) -> DataFrame:
+        return _of_sets(docs, stored(asked.join(classes, "e").select("e", "h"), "jaccard-wanted"), k, np.asarray)
+
+    return _kept_pairs(pairs, grams, _linking(percent))
 
 
 class _Forest:
@@ -414,7 +413,7 @@ class _Forest:
 
 def _tile_pairs(e, n, root, side, maps, percent: int, alone: bool, tree: bool):
     """Pairs of one tile (or of two tiles with each other) that the bitmaps let
-    pass, and how many were left out; with ``tree`` those that join nothing are."""
+    pass, and the members of those left out; with ``tree`` those that join nothing are."""
     forest = _Forest()
     words = min(len(m) for m in maps)
     maps = np.stack([folded(m, words) for m in maps])
@@ -431,25 +430,27 @@ def _tile_pairs(e, n, root, side, maps, percent: int, alone: bool, tree: bool):
             shared = np.bitwise_count(maps[p] & maps[q]).sum(axis=1).astype(np.int64)
             ok = may_link(n[p], counts[p], n[q], counts[q], shared, percent)
             p, q = p[ok], q[ok]
-            passed = len(p)
+            if not len(p):
+                continue
+            new = np.ones(len(p), bool)
             if tree:
-                new = [forest.joins(a, b) for a, b in zip(root[p].tolist(), root[q].tolist())]
-                p, q = p[new], q[new]
-            if passed:
-                yield e[p], e[q], passed - len(p)
+                new[:] = [forest.joins(a, b) for a, b in zip(root[p].tolist(), root[q].tolist())]
+            yield e[p[new]], e[q[new]], np.unique(e[np.concatenate([p[~new], q[~new]])])
 
 
-def _across(groups: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, tile: int, tree: bool, bits: str) -> DataFrame:
-    """``(a, b, grp)``: pairs of different components within a group that the bitmaps let
+def _across(groups: DataFrame, roots: DataFrame, maps: DataFrame, percent: int, tile: int, tree: bool, least: int) -> DataFrame:
+    """``(a, b, grp)``: pairs of different components within a group ``(grp, e)`` of ``least`` or more that the bitmaps let
     pass (grp null); with ``tree`` only as many as join the components of each
-    tile, and the groups in which pairs were left out (a, b null)."""
+    tile, and the members (as a, b null) of the pairs that were left out, by group. Of groups with the same members one is looked at."""
     known = groups.join(roots, groups["e"] == roots["node"], "left").select("grp", "e", F.coalesce("root", "e").alias("root"))
-    mixed = (known.groupBy("grp").agg(F.count(F.lit(1)).alias("g"), F.min("root").alias("r0"), F.max("root").alias("r1"))
-             .where("g > 2 and r0 <> r1").select("grp", F.ceil(F.col("g") / tile).cast("int").alias("tiles")))
+    mixed = (known.groupBy("grp").agg(F.count(F.lit(1)).alias("g"), F.min("root").alias("r0"), F.max("root").alias("r1"),
+                                      F.bit_xor(F.xxhash64("e")).alias("x"), F.bit_xor(F.xxhash64("e", F.lit(1))).alias("y"))
+             .where((F.col("g") >= least) & (F.col("r0") != F.col("r1"))).groupBy("g", "x", "y").agg(F.min("grp").alias("grp"))
+             .select("grp", F.ceil(F.col("g") / tile).cast("int").alias("tiles")))
     rows = known.join(mixed, "grp").withColumn("own", F.pmod(F.xxhash64("e"), F.col("tiles")).cast("int"))
     dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     dealt = dealt.select("grp", F.least("own", "other").alias("t0"), F.greatest("own", "other").alias("t1"), "own", "e", "root")
-    dealt = dealt.join(sets.select("e", "n", F.col(bits).alias("bits")).hint("merge"), "e").repartition("grp", "t0", "t1")
+    dealt = dealt.join(maps.select("e", "n", F.col("of").alias("bits")).hint("merge"), "e").repartition("grp", "t0", "t1")
     # by class, so that the trees of groups with the same members are the same pairs
     dealt = dealt.sortWithinPartitions("grp", "t0", "t1", "e")
     names = ["grp", "t0", "t1", "own", "e", "root", "n", "bits"]
@@ -472,12 +473,12 @@ def _across(groups: DataFrame, roots: DataFrame, sets: DataFrame, percent: int,
             t0, t1 = group["t0"][0].as_py(), group["t1"][0].as_py()
             e, n, root, side = (group[c].to_numpy() for c in ("e", "n", "root", "own"))
             maps = [np.frombuffer(b, np.uint64) for b in group["bits"].to_pylist()]
-            left_out = 0
-            for p, q, more in _tile_pairs(e, n, root, side, maps, percent, t0 == t1, tree):
-                left_out += more
+            left_out = [e[:0]]
+            for p, q, members in _tile_pairs(e, n, root, side, maps, percent, t0 == t1, tree):
+                left_out = [np.unique(np.concatenate([*left_out, members]))]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q)), pa.nulls(len(p), pa.int64())], ["a", "b", "grp"])
-            if left_out:
-                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), group["grp"].combine_chunks()[:1]], ["a", "b", "grp"])
+            if m := len(left_out[0]):
+                yield pa.RecordBatch.from_arrays([pa.array(left_out[0]), pa.nulls(m, pa.int64()), pa.array([group["grp"][0].as_py()] * m, pa.int64())], ["a", "b", "grp"])
 
     return dealt.select(*names).mapInArrow(run, "a long, b long, grp long").distinct()
 
@@ -489,15 +490,17 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return known.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
 
 
-def _joined(roots: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int, bound: bool = True) -> DataFrame:
-    """Components after the pairs that truly link are added to those of earlier rounds."""
+def _joined(roots: DataFrame | None, pairs: DataFrame, verified) -> DataFrame:
+    """Components after the pairs that truly link are added to those of earlier rounds, if there are any."""
     pairs = stored(pairs, "jaccard-pairs")
-    if not pairs.head(1):
-        return roots
-    links = stored(_verified(_within_bound(pairs, sets, percent) if bound else pairs, sets, percent), "jaccard-links")
-    if not links.head(1):
+    if roots is not None and not pairs.head(1):
         return roots
-    return stored(components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links)), "jaccard-roots")
+    links = stored(verified(pairs), "jaccard-links")
+    if roots is not None:
+        if not links.head(1):
+            return roots
+        links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links)
+    return stored(components(links), "jaccard-roots")
 
 
 def link_components(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", text_col: str = "text",
@@ -513,15 +516,25 @@ def link_components(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "
     frequent = [_frequent(rows, max_frequent, shingles) for shingles in (False, True)]
     groups = stored(_groups(_prefixes(docs, k, percent, frequent), percent), "jaccard-groups")
     stars = stored(groups.where("e <> hub").groupBy(F.col("hub").alias("a"), F.col("e").alias("b")).agg(F.count(F.lit(1)).alias("shared")), "jaccard-stars")
-    closest = stars.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a"))
-    found = groups.select("e").distinct().join(classes, "e").join(closest, F.col("e") == F.col("b"), "left")
-    sets = _sets(docs, stored(found.select("e", "h", "a"), "jaccard-wanted"), k)
-    roots = stored(components(stored(_closest_links(sets, percent), "jaccard-links")), "jaccard-roots")
-    roots = _joined(roots, _apart(stars.select("a", "b"), roots), sets, percent)
-    for tree, bits in ((True, "bits"), (True, "fine"), (False, "fine")):
-        across = stored(_across(groups, roots, sets, percent, tile, tree, bits), "jaccard-pairs")
-        groups = groups.join(across.where("grp is not null").select("grp").distinct(), "grp", "left_semi")
-        roots = _joined(roots, across.where("grp is null").select("a", "b"), sets, percent, bound=False)
+    closest = stars.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", "b")
+    found = stored(groups.select("e").distinct().join(classes, "e").select("e", "h"), "jaccard-wanted")
+    maps = stored(_of_sets(docs, found, k, bitmap), "jaccard-maps")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        return _verified(pairs, docs, classes, k, percent)
+
+    roots = _joined(None, _within_bound(closest, maps, percent), verified)
+    roots = _joined(roots, _within_bound(_apart(stars.select("a", "b"), roots), maps, percent), verified)
+    # a group of two has met its hub
+    for turn, (tree, least) in enumerate(((True, 3), (True, 2), (False, 2))):
+        across = stored(_across(groups.select("grp", "e"), roots, maps, percent, tile, tree, least), "jaccard-pairs")
+        roots = _joined(roots, across.where("grp is null").select("a", "b"), verified)
+        groups = across.where("grp is not null").select("grp", F.col("a").alias("e"))
+        if not groups.head(1):
+            break
+        if turn == 0:
+            left = stored(groups.select("e").distinct().join(classes, "e").select("e", "h"), "jaccard-wanted")
+            maps = stored(_of_sets(docs, left, k, partial(bitmap, per_shingle=FINE)), "jaccard-maps")
     member = classes.join(roots, classes["e"] == roots["node"], "left").select("e", "rep", F.coalesce("root", "e").alias("root"))
     named = member.join(member.groupBy("root").agg(F.min("rep").alias("component_id")), "root").select("e", "rep", "component_id")
     alone: Column = F.col("n") == 0
