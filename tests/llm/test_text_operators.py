@@ -497,3 +497,12 @@ def test_near_copies_stage_tells_rows_with_equal_ids_apart(spark):
     kept = [(r.doc_id, r.text) for r in out.collect()]
     without, want = [k for k in kept if k[1] not in (lost, lost + " tail")], [(3, copied), (7, alone), (None, own[0]), *((1, t) for t in own[1:])]
     assert sorted(map(str, without)) == sorted(map(str, want)) and len(kept) == len(want) + 1
+
+
+def test_encoding_stage_has_one_python_step_a_task(spark):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(1, "s", "a b"), (2, None, None)], "doc_id long, source string, text string")
+    out = corpus_pipeline.encode_texts(spark, docs, "")
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted((r.doc_id, r.source, len(r.ids) == r.n_tokens, r.round_trip) for r in out.collect()) == [(1, "s", True, True), (2, None, True, True)]

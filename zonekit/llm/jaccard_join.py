@@ -71,8 +71,10 @@ HUB = 512
 KEY_BITS = 1 << 25
 #: bits per shingle of the bitmaps of later rounds
 FINE = 16
-#: classes whose prefix a task remembers having sent
+#: classes (rows, for sets) that a task remembers having sent
 SENT = 1_000_000
+#: text bytes that are hashed at a time: the arrays of hashes and shingles are many times as large
+PART = 1 << 18
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> list[np.ndarray]:
@@ -152,7 +154,7 @@ def _documents(docs: DataFrame, k: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             heard, shingles, seen, size = [], [], set(), 0
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", PART):
                 words = Words(*text_bytes(part.column("text")), lower=True)
                 sets = _sets_of(words, k)
                 heard.append(np.unique(words.hash, return_counts=True))
@@ -229,7 +231,7 @@ def _prefixes(docs: DataFrame, k: int, percent: int, frequent) -> DataFrame:
     def run(batches):
         sent: set[int] = set()
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", PART):
                 words = Words(*text_bytes(part.column("text")), lower=True)
                 sets = _sets_of(words, k)
                 ids, wanted = [class_of(s) for s in sets], []
@@ -316,7 +318,7 @@ def _of_sets(docs: DataFrame, wanted: DataFrame, k: int, of) -> DataFrame:
     def run(batches):
         sent: set[int] = set()
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", PART):
                 rows = []
                 for h, s in zip(part.column("h").to_pylist(), shingle_sets(*text_bytes(part.column("text")), k)):
                     if len(s) and h not in sent:
