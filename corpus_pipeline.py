@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonekit.llm import bpe_codec, jaccard_join, mixing, quality, secret_scan
-from zonekit.llm.common import stored, table
+from zonekit.llm.common import small_batches, stored, table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -19,6 +19,7 @@ def _sized(docs: DataFrame) -> DataFrame:
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the base rules or the n-gram ratio reject."""
+    small_batches(spark)
     scored = quality.quality(docs, table(spark, sf_dir, "labels"))
     return scored.where("kept").select(*docs.columns)
 
@@ -43,6 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether they decode to its text again."""
+    small_batches(spark)
     # decoded from the stored ids: in one go, each core would keep two Python workers, in the stages of a next run as well
     ids = stored(bpe_codec.encode(docs.select("doc_id", "source", "text"), BYTE_RANKS, public_tokenizers.PATTERN), "pipeline-ids")
     coded = bpe_codec.decode(ids, BYTE_RANKS, public_tokenizers.PATTERN)

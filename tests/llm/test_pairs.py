@@ -3,10 +3,12 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.fixture import documents, prose, texts
@@ -75,6 +77,48 @@ def test_sets_that_only_share_a_passage_are_not_written_out(spark):
     assert sum(size for p, size in written().items() if p not in before) < sum(len(t) for _, t in rows) / 3
 
 
+def test_widely_held_shingles_are_counted_in_little_memory():
+    rng = np.random.default_rng(8)
+    sets = [np.unique(rng.integers(0, 1 << 16, 2000).astype(np.uint64)) for _ in range(300)]
+    times = Counter(x for s in sets for x in s.tolist())
+    for least in (1, 3, 1000):
+        known, counts = jaccard_join._widely(sets, least)
+        assert dict(zip(known.tolist(), counts.tolist())) == {x: c for x, c in times.items() if c >= least}
+    many = [np.unique(rng.integers(0, 1 << 62, 50_000).astype(np.uint64)) for _ in range(20)]
+    tracemalloc.start()
+    assert not len(jaccard_join._widely(many, 3)[0])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2 * sum(s.nbytes for s in many)
+
+
+def test_words_and_shingles_are_counted_across_batches(spark):
+    docs = spark.createDataFrame([(i, f"x{i} often said here y{i}") for i in range(12)], "doc_id long, text string")
+    docs = docs.selectExpr("doc_id", "text", "xxhash64(doc_id, text) h").coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        rows = jaccard_join._documents(docs, 3)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted((r.shingle, r.times) for r in rows.where("heard is not null").collect()) == [(False, 12)] * 3 + [(True, 12)]
+
+
+def test_rows_go_to_python_in_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    rows = spark.range(4000, numPartitions=1).selectExpr("id doc_id", "repeat(concat('w', id, ' '), 200) text")
+
+    def widest(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([max(b.nbytes for b in batches)])], ["n"])
+
+    spark.conf.unset(key)
+    jaccard_join.link_components(rows.limit(3))
+    assert rows.mapInArrow(widest, "n long").first().n < 2 << 20
+    spark.conf.set(key, "3m")  # a size that the user has set stays
+    jaccard_join.link_components(rows.limit(3))
+    assert spark.conf.get(key) == "3m"
+    spark.conf.unset(key)
+
+
 def test_tiles_tell_the_members_of_pairs_left_out():
     rng = np.random.default_rng(6)
     near, other = (np.unique(rng.integers(1, 1 << 62, 100).astype(np.uint64)) for _ in range(2))

@@ -52,7 +52,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonekit.llm.common import stored
+from zonekit.llm.common import small_batches, stored
 from zonekit.llm.components import components
 from zonekit.llm.textscan import Words, mix, slices, slices_of_rows, text_bytes
 
@@ -60,11 +60,12 @@ from zonekit.llm.textscan import Words, mix, slices, slices_of_rows, text_bytes
 TILE = 2048
 #: words whose counts order the shingles
 MAX_FREQUENT = 200_000
-#: a word is counted in a batch from this many occurrences on, a shingle from this many different sets on
+#: a word is listed from this many occurrences on among those counted together, a shingle from this many different sets on
 _OFTEN = 8
 _OFTEN_SHINGLE = 3
-#: shingles of a batch that are counted together
+#: shingles of a task's different sets that are counted together, and words of its parts
 _COUNTED = 1_000_000
+_COUNTED_WORDS = 250_000
 #: sets that are sent to one copy of their hub
 HUB = 512
 #: longest bitmap of keys (8 MB as words); beyond 16 bits a key, more rows without a partner move
@@ -135,8 +136,11 @@ def _often(counted: list[tuple[np.ndarray, np.ndarray]], least: int) -> tuple[np
 
 def _widely(sets: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
     """(shingles, counts) of the shingles that ``least`` of the sets or more hold."""
-    known, counts = np.unique(np.concatenate(sets), return_counts=True)
-    return known[counts >= least], counts[counts >= least]
+    held = np.concatenate(sets)
+    held.sort()
+    # a shingle is found once less often than it is held, for each set but the first that it needs: no more arrays of all
+    known, more = np.unique(held[least - 1:][held[least - 1:] == held[:max(0, len(held) - least + 1)]], return_counts=True)
+    return known, more + (least - 1)
 
 
 _DOCUMENT = "doc_id long, n long, e long, h long, heard long, times long, shingle boolean"
@@ -144,7 +148,7 @@ _DOCUMENT = "doc_id long, n long, e long, h long, heard long, times long, shingl
 
 def _documents(docs: DataFrame, k: int) -> DataFrame:
     """Stored ``(doc_id, n, e, h)`` per document (heard is null), and ``(heard, times, shingle)`` of
-    the words and shingles that a batch holds often."""
+    the words and shingles that a task's texts hold often, however Spark cuts these into batches."""
 
     def listed(hashes: np.ndarray, counts: np.ndarray, shingle: bool) -> pa.RecordBatch:
         m = len(hashes)
@@ -152,12 +156,13 @@ def _documents(docs: DataFrame, k: int) -> DataFrame:
                                           ["doc_id", "n", "e", "h", "heard", "times", "shingle"])
 
     def run(batches):
+        heard, listening, shingles, seen, size = [], 0, [], set(), 0
         for batch in batches:
-            heard, shingles, seen, size = [], [], set(), 0
             for part in slices(batch, "text", PART):
                 words = Words(*text_bytes(part.column("text")), lower=True)
                 sets = _sets_of(words, k)
                 heard.append(np.unique(words.hash, return_counts=True))
+                listening += len(heard[-1][0])
                 ids = [class_of(s) for s in sets]
                 for e, own in zip(ids, sets):
                     if e not in seen:
@@ -170,11 +175,14 @@ def _documents(docs: DataFrame, k: int) -> DataFrame:
                      pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.bool_())], ["doc_id", "n", "e", "h", "heard", "times", "shingle"])
                 if size > _COUNTED:
                     yield listed(*_widely(shingles, _OFTEN_SHINGLE), True)
-                    shingles, size = [], 0
-            if heard:
-                yield listed(*_often(heard, _OFTEN), False)
-            if shingles:
-                yield listed(*_widely(shingles, _OFTEN_SHINGLE), True)
+                    shingles, seen, size = [], set(), 0
+                if listening > _COUNTED_WORDS:
+                    yield listed(*_often(heard, _OFTEN), False)
+                    heard, listening = [], 0
+        if heard:
+            yield listed(*_often(heard, _OFTEN), False)
+        if shingles:
+            yield listed(*_widely(shingles, _OFTEN_SHINGLE), True)
 
     return stored(docs.mapInArrow(run, _DOCUMENT), "jaccard-documents")
 
@@ -510,6 +518,7 @@ def link_components(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "
     """One row per document: ``(doc_id, n_shingles, class_id, component_id)``; documents
     link when 100 * intersection >= ``percent`` * union of their shingle sets.
     ``component_id`` is the smallest id of the component, ``class_id`` that of the documents with an equal set."""
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     docs = docs.withColumn("h", F.xxhash64("doc_id", "text"))
     rows = _documents(docs, k)

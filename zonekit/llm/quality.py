@@ -48,6 +48,8 @@ SPREAD = 2.5
 STEPS = 1000
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
+#: text bytes that are measured at a time: the arrays of words and hashes are many times as large
+PART = 1 << 18
 
 _IS_SYMBOL = np.zeros(256, bool)
 _IS_SYMBOL[list(b"#*$%&|<>")] = True
@@ -155,7 +157,7 @@ def counts(docs: DataFrame, targets: list[int], key: str = "doc_id", text_col: s
         # the last row is the raw corpus
         seen = np.zeros((FOLDS + 1, buckets), np.int64)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", PART):
                 data, offsets = text_bytes(part.column("text"))
                 words = Words(data, offsets)
                 ids = part.column("id").fill_null(-1 << 63).to_numpy(zero_copy_only=False)
@@ -185,7 +187,7 @@ def held_out_threshold(docs: DataFrame, targets: list[int], raw: np.ndarray, fol
         times: dict[int, int] = {}
         for batch in batches:
             ids = batch.column("id").fill_null(-1 << 63).to_numpy(zero_copy_only=False)
-            for part in slices(batch.filter(pa.array(np.isin(ids, targets))), "text"):
+            for part in slices(batch.filter(pa.array(np.isin(ids, targets))), "text", PART):
                 data, offsets = text_bytes(part.column("text"))
                 words = Words(data, offsets)
                 out, fold = measure(data, offsets, words), _folds(words)
@@ -228,7 +230,7 @@ def score(docs: DataFrame, ratio: np.ndarray, text_col: str = "text", threshold:
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, text_col):
+            for part in slices(batch, text_col, PART):
                 data, offsets = text_bytes(part.column(text_col))
                 words = Words(data, offsets)
                 out = measure(data, offsets, words)
