@@ -1,6 +1,7 @@
 """Jobs that keep state: windowed KPIs, keyed tables, published zone runs, reports."""
 
 import os
+import time
 from collections import defaultdict
 from datetime import datetime, timedelta
 
@@ -292,3 +293,41 @@ def test_training_keeps_what_the_pipeline_reads(spark):
     df = spark.createDataFrame([(k, "true" if k % 2 else "false", float(k), [1.0], 10.0 * (k % 2)) for k in range(20)], "_id int, exterior string, floor double, RFD array<double>, price double")
     model = train(df, build_pipeline(numeric=[], flags=["exterior"], maxIter=1, maxDepth=1))
     assert {(r.price, r.prediction) for r in model.transform(df).collect()} == {(0.0, 0.0), (10.0, 10.0)}
+
+
+def test_listings_are_sorted_once_on_each_side_of_their_shuffle(spark, tmp_dir):
+    from zonekit.session import WRITE_CONF, settings
+
+    lines = _tables(spark, tmp_dir)
+    before = {k: spark.conf.get(k) for k in WRITE_CONF}
+    with settings(spark, WRITE_CONF):
+        flat = zones.flat_listings(star.zone_inputs(spark, tmp_dir).rentals)
+        newest = newest_listings(flat)
+        assert _plan(flat).count("Sort [") == 1 and _plan(newest).count("Sort [") == 2 and "HashAggregate" not in _plan(newest)
+        assert newest.count() == len(lines) and flat.count() == len(lines) + 1
+    assert {k: spark.conf.get(k) for k in WRITE_CONF} == before
+    with pytest.raises(OSError), settings(spark, {**WRITE_CONF, "zonekit.test": "1"}):
+        raise OSError("lost")
+    assert {k: spark.conf.get(k) for k in WRITE_CONF} == before and spark.conf.get("zonekit.test", None) is None
+
+
+def test_the_newest_copy_of_a_listing_stays_whatever_its_order(spark):
+    columns = "_id string, propertyCode string, price double, _order string, _place int"
+    copies = [("a", "p", 9.0, "1", 0), ("a", "p", 1.0, "2", 0), ("b", "p", None, "2", 1), ("b", "p", 2.0, "2", 1), ("b", "p", 2.0, "2", 1), (None, "p", 7.0, "2", None), ("z", "p", 8.0, None, 5),
+              ("a", "q", None, None, 0), ("a", None, float("nan"), None, 0), ("a", None, float("nan"), None, 0)]
+    for some in (copies, copies[::-1]):
+        got = rows(newest_listings(spark.createDataFrame(some, columns).repartition(3)))
+        assert [str(r) for r in got] == [str(r) for r in [("a", None, float("nan"))] * 2 + [("a", "q", None), ("b", "p", 2.0)]]
+
+
+def test_shuffles_of_a_write_leave_the_disk(spark, tmp_dir):
+    def shuffles():
+        blocks = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllBlocks()
+        return {b for b in blocks.mkString(" ").split() if b.startswith("shuffle_")}
+
+    before = shuffles()
+    written = zones._write(spark.range(2000).groupBy((F.col("id") % 7).alias("k")).count(), f"{tmp_dir}/t")
+    until = time.time() + 10
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffles() - before and written.count() == 7
